@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,3 +63,8 @@ def five_minute_start(at: Column) -> Column:
     """Start of the five-minute interval that holds ``at``."""
     seconds = F.unix_seconds(at)
     return F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(300)))
+
+
+def utc(moment: dt.datetime) -> Column:
+    """A naive datetime as the instant it names in UTC, whatever the driver's own zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp")

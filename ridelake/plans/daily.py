@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake import rules
 from ridelake.functions import calendar
 from ridelake.functions.bands import choose
 from ridelake.functions.numeric import clamp, ratio
+from ridelake.operators.windows import last_rows, trailing
 
 SUPPLY = [
     "typical_capacity",
@@ -123,19 +124,8 @@ def with_balance(joined: DataFrame) -> DataFrame:
 
 
 def with_history(rows: DataFrame) -> DataFrame:
-    """Trailing averages and lags of each station.
-
-    Frames count rows, not days: a station without a row on some day reaches further
-    back. All thirteen share one partitioning and ordering, so Spark shuffles and
-    sorts once. A station holds one row per day, however busy it is.
-    """
-    by_day = Window.partitionBy("station_id").orderBy("date_day")
-    averages = {
-        name: F.avg(source).over(by_day.rowsBetween(1 - rows_in, 0))
-        for name, (source, rows_in) in ROLLING.items()
-    }
-    lags = {name: F.lag(source, back).over(by_day) for name, (source, back) in LAGS.items()}
-    return rows.withColumns({**averages, **lags})
+    """Trailing averages and lags of each station, which has one row per day at most."""
+    return trailing(rows, "station_id", "date_day", ROLLING, LAGS)
 
 
 def with_trend(rows: DataFrame) -> DataFrame:
@@ -170,13 +160,7 @@ def station_daily_fact_since(
             demand.where(F.col("date_day") >= F.lit(first_day)),
         )
     )
-    recent = Window.partitionBy("station_id").orderBy(F.desc("date_day"))
-    history = (
-        stored.where(F.col("date_day") < F.lit(first_day))
-        .select(*base.columns)
-        .withColumn("_back", F.row_number().over(recent))
-        .where(F.col("_back") <= LOOK_BACK_ROWS)
-        .drop("_back")
-    )
+    before = stored.where(F.col("date_day") < F.lit(first_day)).select(*base.columns)
+    history = last_rows(before, "station_id", "date_day", LOOK_BACK_ROWS)
     computed = with_trend(with_history(history.unionByName(base)))
     return computed.where(F.col("date_day") >= F.lit(first_day))

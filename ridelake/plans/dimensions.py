@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ridelake import rules
 from ridelake.functions import calendar
 from ridelake.functions.bands import choose, in_lists, in_ranges, ladder
+from ridelake.functions.calendar import utc
 from ridelake.functions.keys import instant_text, surrogate_key
 from ridelake.operators.aggregates import modal_values
 from ridelake.plans.staging import trip_ends
@@ -40,7 +41,7 @@ def station_master(trips: DataFrame, updated_at: dt.datetime) -> DataFrame:
         F.lit(None).cast("long").alias("capacity"),
         F.lit(None).cast("string").alias("region"),
         F.lit(True).alias("is_active"),
-        F.lit(updated_at).cast("timestamp").alias("updated_at"),
+        utc(updated_at).alias("updated_at"),
     )
 
 
@@ -53,7 +54,7 @@ def borough(latitude: Column, longitude: Column) -> Column:
 
 def dim_station(history: DataFrame, created_at: dt.datetime) -> DataFrame:
     """Current station versions and the row that unmatched facts point to."""
-    created = F.lit(created_at).cast("timestamp_ntz")
+    created = utc(created_at).cast("timestamp_ntz")
     current = history.where("valid_to is null").select(
         surrogate_key(F.col("station_id"), instant_text(F.col("valid_from"))).alias("station_key"),
         "station_id",
@@ -79,7 +80,7 @@ def dim_station(history: DataFrame, created_at: dt.datetime) -> DataFrame:
         "is_active": F.lit(False),
         "borough": F.lit("Unknown"),
         "station_size": F.lit("unknown"),
-        "effective_date": F.lit(dt.datetime(1900, 1, 1)),
+        "effective_date": F.lit("1900-01-01 00:00:00"),
         "is_current": F.lit(True),
         "created_at": created,
     }
@@ -142,7 +143,7 @@ def dim_date(bounds: DataFrame, as_of: dt.date, created_at: dt.datetime) -> Data
         "season": in_lists(month, rules.SEASON_OF_MONTH),
         "is_peak_biking_season": month.between(*rules.PEAK_BIKING_MONTHS),
         "is_summer_vacation": month.isin(7, 8) | ((month == 6) & (of_month >= 15)),
-        "created_at": F.lit(created_at).cast("timestamp"),
+        "created_at": utc(created_at),
     }
     dated = date_spine(bounds).select(*[c.alias(name) for name, c in columns.items()])
     integers = [f.name for f in dated.schema if isinstance(f.dataType, T.IntegerType)]
@@ -168,7 +169,7 @@ def dim_time(spark: SparkSession, created_at: dt.datetime) -> DataFrame:
         "is_business_hours": hour.between(*rules.BUSINESS_HOURS),
         "is_peak_biking_hours": hour.between(*rules.PEAK_BIKING_HOURS),
         "shift": in_ranges(hour, rules.SHIFTS, "night"),
-        "created_at": F.lit(created_at).cast("timestamp"),
+        "created_at": utc(created_at),
     }
     return spark.range(24).select(F.col("id").alias("hour")).select(
         *[c.alias(name) for name, c in columns.items()]
@@ -188,7 +189,7 @@ def dim_user_type(spark: SparkSession, created_at: dt.datetime) -> DataFrame:
         "user_type_key BIGINT, user_type_id STRING, user_type_name STRING, "
         "user_type_description STRING, has_subscription BOOLEAN"
     )
-    stamp = F.lit(created_at).cast("timestamp")
+    stamp = utc(created_at)
     return spark.createDataFrame(rows, schema).select(
         "*", stamp.alias("created_at"), stamp.alias("updated_at")
     )

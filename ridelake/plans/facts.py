@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.functions.calendar import date_key
+from ridelake.functions.calendar import date_key, utc
 from ridelake.functions.keys import surrogate_key, unknown_station_key
 from ridelake.functions.numeric import elapsed, great_circle_km
 from ridelake.operators.joins import lookup
@@ -56,7 +56,7 @@ def fct_trips(trips: DataFrame, stations: DataFrame, user_types: DataFrame, load
         (F.col("start_station_id") == F.col("end_station_id")).alias("is_round_trip"),
         (minutes < SHORT_TRIP_BELOW_MINUTES).alias("is_short_trip"),
         (minutes > LONG_TRIP_ABOVE_MINUTES).alias("is_long_trip"),
-        F.lit(loaded_at).cast("timestamp").alias("loaded_at"),
+        utc(loaded_at).alias("loaded_at"),
     )
 
 
@@ -158,5 +158,5 @@ def fct_station_day(daily: DataFrame, stations: DataFrame, loaded_at: dt.datetim
         *[F.sum(c).alias(c) for c in ADDED],
         *[F.avg(c).alias(c) for c in AVERAGED],
         *[F.max(c).alias(c) for c in HIGHEST],
-        F.lit(loaded_at).cast("timestamp").alias("loaded_at"),
+        utc(loaded_at).alias("loaded_at"),
     )

@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 
 from ridelake import rules
 from ridelake.functions.bands import ladder
+from ridelake.functions.calendar import utc
 from ridelake.functions.numeric import elapsed
 from ridelake.sources.status import parse_stations
 
 
-def _instant(now: dt.datetime) -> Column:
-    return F.lit(now).cast("timestamp")
-
-
 def source_freshness(sources: Mapping[str, tuple[DataFrame, str]], now: dt.datetime) -> DataFrame:
     """Hours since the last load of each source, as pass, warn or error.
 
@@ -32,7 +29,7 @@ def source_freshness(sources: Mapping[str, tuple[DataFrame, str]], now: dt.datet
     table = parts[0]
     for part in parts[1:]:
         table = table.unionByName(part)
-    minutes = elapsed("MINUTE", F.col("max_loaded_at"), _instant(now))
+    minutes = elapsed("MINUTE", F.col("max_loaded_at"), utc(now))
     status = (
         F.when(minutes > rules.SOURCE_ERROR_HOURS * 60, "error")
         .when(minutes > rules.SOURCE_WARN_HOURS * 60, "warn")
@@ -42,14 +39,14 @@ def source_freshness(sources: Mapping[str, tuple[DataFrame, str]], now: dt.datet
     return table.select(
         "source",
         "max_loaded_at",
-        elapsed("HOUR", F.col("max_loaded_at"), _instant(now)).alias("hours_old"),
+        elapsed("HOUR", F.col("max_loaded_at"), utc(now)).alias("hours_old"),
         status.alias("status"),
     )
 
 
 def stream_health(status: DataFrame, now: dt.datetime) -> DataFrame:
     """Newest report, its age, the stations seen, and the class of the age."""
-    age = elapsed("MINUTE", F.col("latest_data"), _instant(now))
+    age = elapsed("MINUTE", F.col("latest_data"), utc(now))
     newest = status.agg(
         F.max("last_reported").alias("latest_data"),
         F.count_distinct("station_id").alias("stations"),
@@ -64,7 +61,7 @@ def stream_health(status: DataFrame, now: dt.datetime) -> DataFrame:
 
 def active_entities(status: DataFrame, now: dt.datetime, minutes: int = 10) -> DataFrame:
     """Stations that reported in the last minutes."""
-    since = _instant(now) - F.make_dt_interval(mins=F.lit(minutes))
+    since = utc(now) - F.make_dt_interval(mins=F.lit(minutes))
     active = status.where(F.col("last_reported") >= since).agg(
         F.count_distinct("station_id").alias("active_stations")
     )
@@ -79,7 +76,7 @@ def stale_entities(
     """Stations that reported today, but not lately; longest silence first."""
     today = F.to_date("last_reported") == F.lit(now.date())
     latest = status.where(today).groupBy("station_id").agg(F.max("last_reported").alias("last_update"))
-    silent = elapsed("MINUTE", F.col("last_update"), _instant(now))
+    silent = elapsed("MINUTE", F.col("last_update"), utc(now))
     return (
         latest.withColumn("minutes_stale", silent)
         .where(F.col("minutes_stale") > minutes)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ridelake import rules
 from ridelake.functions.bands import choose, ladder
+from ridelake.functions.calendar import utc
 from ridelake.functions.numeric import elapsed, ratio
 from ridelake.operators.ranking import (
     latest_per_key,
@@ -113,7 +114,7 @@ def station_operations(
 
 def realtime_status(metrics: DataFrame, history: DataFrame, now: dt.datetime) -> DataFrame:
     """Latest report of each station in the last 24 hours, with its station record."""
-    at = F.lit(now).cast("timestamp")
+    at = utc(now)
     recent = metrics.where(F.col("last_reported") >= at - F.expr("interval 24 hours"))
     newest = [F.desc("last_reported"), F.desc_nulls_last("ingestion_timestamp")]
     latest = latest_per_key(recent, ["station_id"], newest)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelake.functions.calendar import utc
 from ridelake.schemas import WEATHER_RESPONSE
 
 CITY, LATITUDE, LONGITUDE = "New York City", "40.7128", "-74.0060"
@@ -46,7 +47,7 @@ def parse_weather(responses: DataFrame, body: str, loaded_at: dt.datetime) -> Da
         F.lit(LATITUDE).alias("latitude"),
         F.lit(LONGITUDE).alias("longitude"),
         F.lit(CITY).alias("city"),
-        F.lit(loaded_at).cast("timestamp").alias("loaded_at"),
+        utc(loaded_at).alias("loaded_at"),
     )
 
 
