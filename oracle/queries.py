@@ -326,10 +326,10 @@ Q["stream_dedupe"] = plain(
 ORDER BY station_id, last_reported, api_last_updated"""
 )
 Q["stream_windows"] = rounded(
-    """(SELECT station_id, time_bucket(INTERVAL 5 MINUTE, last_reported) AS bucket_start,
-  count(*) AS reports, avg(num_bikes_available) AS avg_bikes FROM accepted_reports
-GROUP BY ALL
-HAVING bucket_start + INTERVAL 5 MINUTE <= (SELECT max(last_reported) - INTERVAL 1 DAY FROM accepted_reports))""",
+    """(SELECT * FROM (
+  SELECT station_id, time_bucket(INTERVAL 5 MINUTE, last_reported) AS bucket_start,
+    count(*) AS reports, avg(num_bikes_available) AS avg_bikes FROM accepted_reports GROUP BY ALL)
+WHERE bucket_start + INTERVAL 5 MINUTE <= (SELECT max(last_reported) - INTERVAL 1 DAY FROM accepted_reports))""",
     _DOUBLES,
 )
 Q["stream_latest"] = plain(

@@ -6,16 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def share(condition: Column) -> Column:
-    """Fraction of all rows that satisfy ``condition``."""
-    return F.count_if(condition) / F.count("*")
-
-
-def small_mode(value: Column) -> Column:
-    """Most frequent value of a column with a small fixed domain, lowest on ties."""
-    return F.mode(value, True)
-
-
 def modal_values(df: DataFrame, keys: list[str], texts: list[str], numbers: list[str]) -> DataFrame:
     """Most frequent value per key of each listed column, lowest on ties, in one pass.
 
@@ -41,31 +31,36 @@ def modal_values(df: DataFrame, keys: list[str], texts: list[str], numbers: list
     )
 
 
-def slot_masks(slot: Column, slots: int) -> dict[str, Column]:
-    """Bit masks of the slots seen, 64 to a column: an exact distinct count for a
-    small domain that merges like a sum and needs no extra shuffle."""
-    words = -(-slots // 64)
-    masks = {}
-    for word in range(words):
-        inside = (slot >= word * 64) & (slot < (word + 1) * 64)
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot - word * 64).cast("int"))
-        masks[f"_slots{word}"] = F.bit_or(F.when(inside, bit).otherwise(F.lit(0).cast("long")))
-    return masks
+def slot_masks(slot: str, slots: int) -> dict[str, str]:
+    """Bit masks of the slots seen, 64 to a column, as SQL aggregates: an exact distinct
+    count for a small domain that merges like a sum and needs no extra shuffle."""
+    return {
+        f"_slots{word}": f"bit_or(if({slot} div 64 = {word}, "
+        f"shiftleft(1L, cast({slot} % 64 AS int)), 0L))"
+        for word in range(-(-slots // 64))
+    }
 
 
-def count_slots(masks: list[str]) -> Column:
+def count_slots(masks: list[str]) -> str:
     """Number of slots in masks built by ``slot_masks``, while merging groups."""
-    total = F.lit(0).cast("long")
-    for mask in masks:
-        total = total + F.bit_count(F.bit_or(mask))
-    return total
+    return "cast(" + " + ".join(f"bit_count(bit_or({m}))" for m in masks) + " AS bigint)"
 
 
-def merged_stddev(n: str, mean: str, variance: str) -> Column:
+def merged_mean(n: str, mean: str) -> str:
+    """Mean of a group from the counts and means of its parts."""
+    return f"try_divide(sum({mean} * {n}), sum({n}))"
+
+
+def merged_stddev(n: str, mean: str, variance: str) -> str:
     """Sample standard deviation of a group from the count, mean and population
     variance of its parts; null for fewer than two values."""
-    count, center = F.col(n), F.col(mean)
-    rows = F.sum(count)
-    spread = F.sum(count * F.col(variance)) + F.sum(count * center * center)
-    spread = spread - F.try_divide(F.pow(F.sum(count * center), F.lit(2)), rows)
-    return F.when(rows > 1, F.sqrt(F.greatest(F.lit(0.0), spread) / (rows - 1)))
+    within, between = f"sum({n} * {variance})", f"sum({n} * {mean} * {mean})"
+    center = f"try_divide(pow(sum({n} * {mean}), 2), sum({n}))"
+    spread = f"greatest(0.0D, {within} + {between} - {center})"
+    return f"if(sum({n}) > 1, sqrt(try_divide({spread}, sum({n}) - 1)), NULL)"
+
+
+def sql_columns(expressions: dict[str, str]) -> list[Column]:
+    """Columns from SQL texts by name. One call each, where a wide aggregate built from
+    column functions makes thousands."""
+    return [F.expr(f"{text} AS {name}") for name, text in expressions.items()]

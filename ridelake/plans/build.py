@@ -112,7 +112,7 @@ class Models:
     @cached_property
     def snap_station(self) -> DataFrame:
         master = dimensions.station_master(self.stg_trips, self.now)
-        return self._keep("snap_station", first_snapshot(master, "station_id"), small=True)
+        return self._keep("snap_station", first_snapshot(master, "station_id"))
 
     @cached_property
     def dim_station(self) -> DataFrame:

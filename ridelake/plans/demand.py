@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake import rules
 from ridelake.functions.bands import choose
 from ridelake.functions.numeric import ratio
-from ridelake.operators.aggregates import small_mode
+from ridelake.operators.aggregates import sql_columns
 from ridelake.plans.staging import trip_ends
 
 RIDERS = {"member": "member", "casual": "casual"}
@@ -16,50 +16,46 @@ BIKES = {"ebike": "electric_bike", "classic_bike": "classic_bike"}
 QUANTILE_ACCURACY = 10_000
 
 
-def _periods(hour: Column) -> dict[str, Column]:
-    periods = {
-        "morning_rush": hour.between(*rules.MORNING_RUSH),
-        "evening_rush": hour.between(*rules.EVENING_RUSH),
-        "midday": hour.between(*rules.MIDDAY),
+def _periods() -> dict[str, str]:
+    morning, midday, evening = rules.MORNING_RUSH, rules.MIDDAY, rules.EVENING_RUSH
+    return {
+        "morning_rush": f"hour BETWEEN {morning[0]} AND {morning[1]}",
+        "evening_rush": f"hour BETWEEN {evening[0]} AND {evening[1]}",
+        "midday": f"hour BETWEEN {midday[0]} AND {midday[1]}",
+        "night": f"hour > {evening[1]} OR hour < {morning[0]}",
     }
-    day_end, day_start = rules.EVENING_RUSH[1], rules.MORNING_RUSH[0]
-    periods["night"] = (hour > day_end) | (hour < day_start)
-    return periods
 
 
-def duration_quantile(minutes: Column, fraction: float) -> Column:
+def duration_quantile(minutes: str, fraction: float) -> str:
     """Quantile from a sketch of bounded size; exact for groups within its accuracy."""
-    return F.percentile_approx(minutes, fraction, QUANTILE_ACCURACY).cast("long")
+    return f"cast(percentile_approx({minutes}, {fraction}, {QUANTILE_ACCURACY}) AS bigint)"
 
 
 def demand_daily(trips: DataFrame) -> DataFrame:
     """Trips started and ended per station and day, with durations, riders, bikes,
     times of day, peak hours and the resulting flow."""
     ends = trip_ends(trips).withColumn("hour", F.hour("at").cast("long"))
-    hour = F.col("hour")
-    sides = {"started": F.col("side") == "start", "ended": F.col("side") == "end"}
-    minutes = F.col("minutes")  # null on the end side, so aggregates see starts only
-
-    def counts(conditions: dict[str, Column]) -> list[Column]:
-        return [
-            F.count_if(on_side & condition).alias(f"{name}_trips_{side}")
-            for side, on_side in sides.items()
-            for name, condition in conditions.items()
-        ]
-
+    sides = {"started": "start", "ended": "end"}
+    kinds = {name: f"member_casual = '{value}'" for name, value in RIDERS.items()}
+    kinds |= {name: f"rideable_type = '{value}'" for name, value in BIKES.items()}
+    kinds |= _periods()
+    # ``minutes`` is null on the end side, so its aggregates see starts only.
+    columns = {
+        "avg_trip_duration_minutes": "avg(minutes)",
+        "median_trip_duration_minutes": duration_quantile("minutes", 0.5),
+        "p95_trip_duration_minutes": duration_quantile("minutes", 0.95),
+        "min_trip_duration_minutes": "min(minutes)",
+        "max_trip_duration_minutes": "max(minutes)",
+        "stddev_trip_duration_minutes": "stddev_samp(minutes)",
+    }
+    for name, side in sides.items():
+        columns[f"trips_{name}"] = f"count_if(side = '{side}')"
+        for kind, test in kinds.items():
+            columns[f"{kind}_trips_{name}"] = f"count_if(side = '{side}' AND ({test}))"
+        # At most 24 hours to count, lowest on ties.
+        columns[f"peak_{side}_hour"] = f"mode(if(side = '{side}', hour, NULL), true)"
     grouped = ends.groupBy("station_id", F.to_date("at").alias("date_day")).agg(
-        *[F.count_if(on_side).alias(f"trips_{side}") for side, on_side in sides.items()],
-        F.avg(minutes).alias("avg_trip_duration_minutes"),
-        duration_quantile(minutes, 0.5).alias("median_trip_duration_minutes"),
-        duration_quantile(minutes, 0.95).alias("p95_trip_duration_minutes"),
-        F.min(minutes).alias("min_trip_duration_minutes"),
-        F.max(minutes).alias("max_trip_duration_minutes"),
-        F.stddev_samp(minutes).alias("stddev_trip_duration_minutes"),
-        *counts({n: F.col("member_casual") == v for n, v in RIDERS.items()}),
-        *counts({n: F.col("rideable_type") == v for n, v in BIKES.items()}),
-        *counts(_periods(hour)),
-        small_mode(F.when(sides["started"], hour)).alias("peak_start_hour"),
-        small_mode(F.when(sides["ended"], hour)).alias("peak_end_hour"),
+        *sql_columns(columns)
     )
     started, ended = F.col("trips_started"), F.col("trips_ended")
     net = started - ended

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ridelake.functions.calendar import date_key, utc
 from ridelake.functions.keys import surrogate_key, unknown_station_key
 from ridelake.functions.numeric import elapsed, great_circle_km
+from ridelake.operators.aggregates import sql_columns
 from ridelake.operators.joins import lookup
 from ridelake.plans.dimensions import user_type_keys
 
@@ -155,8 +156,8 @@ def fct_station_day(daily: DataFrame, stations: DataFrame, loaded_at: dt.datetim
     keyed = keyed.withColumn("station_key", F.coalesce("_key", unknown_station_key()))
     keyed = keyed.withColumn("date_key", date_key(F.col("date_day")))
     return keyed.groupBy("station_key", "date_key", "date_day").agg(
-        *[F.sum(c).alias(c) for c in ADDED],
-        *[F.avg(c).alias(c) for c in AVERAGED],
-        *[F.max(c).alias(c) for c in HIGHEST],
+        *sql_columns({c: f"sum({c})" for c in ADDED}),
+        *sql_columns({c: f"avg({c})" for c in AVERAGED}),
+        *sql_columns({c: f"max({c})" for c in HIGHEST}),
         utc(loaded_at).alias("loaded_at"),
     )

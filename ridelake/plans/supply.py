@@ -9,7 +9,13 @@ from ridelake import rules
 from ridelake.functions.bands import choose, ladder
 from ridelake.functions.calendar import five_minute_start
 from ridelake.functions.numeric import ratio, total
-from ridelake.operators.aggregates import count_slots, merged_stddev, slot_masks
+from ridelake.operators.aggregates import (
+    count_slots,
+    merged_mean,
+    merged_stddev,
+    slot_masks,
+    sql_columns,
+)
 
 COUNTERS = [
     "num_bikes_available",
@@ -63,10 +69,26 @@ def station_metrics(status: DataFrame) -> DataFrame:
     )
 
 
+# Order of the averaged counters in the day summary.
+AVERAGED_COUNTERS = [
+    "num_bikes_available",
+    "num_ebikes_available",
+    "num_docks_available",
+    "num_bikes_disabled",
+    "num_docks_disabled",
+    "num_scooters_available",
+    "num_scooters_unavailable",
+]
+
+
 def _short(counter: str) -> str:
     return counter.removeprefix("num_")
 
 
+def _merged_spread(column: str) -> str:
+    return merged_stddev(f"{column}_n", f"{column}_mean", f"{column}_var")
+
+
 def station_daily(metrics: DataFrame) -> DataFrame:
     """One row per station and day.
 
@@ -75,86 +97,68 @@ def station_daily(metrics: DataFrame) -> DataFrame:
     station-day. All first-step aggregates are plain sums, extremes and moments:
     they run as generated hash aggregation with map-side combine, on one scan.
     """
-    day = F.to_date("reported_at_5min")
-    slot = F.floor(F.pmod(F.unix_seconds("reported_at_5min"), F.lit(86400)) / rules.POLL_SECONDS)
+    slot = f"((unix_seconds(reported_at_5min) % 86400) div {rules.POLL_SECONDS})"
     masks = slot_masks(slot, rules.POLLS_PER_DAY)
     extremes = ["num_bikes_available", "num_docks_available", "num_scooters_available"]
     ratios = ["occupancy_ratio", "utilization_percentage"]
     averaged = [*COUNTERS, "ebike_ratio"]
 
-    parts = metrics.groupBy("station_id", day.alias("date_day"), "total_capacity").agg(
-        F.count("*").alias("n"),
-        *[F.sum(c).alias(f"{c}_sum") for c in averaged],
-        *[F.count(c).alias(f"{c}_n") for c in [*averaged, *ratios]],
-        *[F.avg(c).alias(f"{c}_mean") for c in ratios],
-        *[F.var_pop(c).alias(f"{c}_var") for c in ratios],
-        *[F.max(c).alias(f"{c}_max") for c in [*extremes, "occupancy_ratio"]],
-        *[F.min(c).alias(f"{c}_min") for c in [*extremes, "occupancy_ratio"]],
-        F.count_if("is_empty").alias("empty_n"),
-        F.count_if("is_full").alias("full_n"),
-        F.count_if(F.col("operational_status") == "operational").alias("operational_n"),
-        F.count_if(F.col("operational_status") == "out_of_service").alias("out_of_service_n"),
-        *[mask.alias(name) for name, mask in masks.items()],
-        F.bool_and("is_installed").alias("installed_all"),
-        F.bool_or("is_renting").alias("renting_any"),
-        F.bool_or("is_returning").alias("returning_any"),
-        F.min("last_reported").alias("first_at"),
-        F.max("last_reported").alias("last_at"),
-    )
+    first = {"n": "count(*)"}
+    for c in averaged:
+        first |= {f"{c}_sum": f"sum({c})", f"{c}_n": f"count({c})"}
+    for c in ratios:
+        first |= {f"{c}_mean": f"avg({c})", f"{c}_var": f"var_pop({c})", f"{c}_n": f"count({c})"}
+    for c in [*extremes, "occupancy_ratio"]:
+        first |= {f"{c}_max": f"max({c})", f"{c}_min": f"min({c})"}
+    first |= {
+        "empty_n": "count_if(is_empty)",
+        "full_n": "count_if(is_full)",
+        "operational_n": "count_if(operational_status = 'operational')",
+        "out_of_service_n": "count_if(operational_status = 'out_of_service')",
+        **masks,
+        "installed_all": "bool_and(is_installed)",
+        "renting_any": "bool_or(is_renting)",
+        "returning_any": "bool_or(is_returning)",
+        "first_at": "min(last_reported)",
+        "last_at": "max(last_reported)",
+    }
+    day = F.to_date("reported_at_5min").alias("date_day")
+    parts = metrics.groupBy("station_id", day, "total_capacity").agg(*sql_columns(first))
 
-    rows = F.sum("n")
     intervals = count_slots(list(masks))
-    most_seen = F.struct(-F.col("n"), F.col("total_capacity").isNull(), F.col("total_capacity"))
-
-    def mean(column: str):
-        return F.try_divide(F.sum(f"{column}_sum").cast("double"), F.sum(f"{column}_n"))
-
-    def merged_mean(column: str):
-        return F.try_divide(
-            F.sum(F.col(f"{column}_mean") * F.col(f"{column}_n")), F.sum(f"{column}_n")
-        )
-
-    def spread(column: str):
-        return merged_stddev(f"{column}_n", f"{column}_mean", f"{column}_var")
-
-    daily = parts.groupBy("station_id", "date_day").agg(
-        F.min_by("total_capacity", most_seen).alias("typical_capacity"),
-        F.max("total_capacity").alias("max_capacity"),
-        F.min("total_capacity").alias("min_capacity"),
-        *[
-            mean(f"num_{name}").alias(f"avg_{name}")
-            for name in (
-                "bikes_available",
-                "ebikes_available",
-                "docks_available",
-                "bikes_disabled",
-                "docks_disabled",
-                "scooters_available",
-                "scooters_unavailable",
-            )
-        ],
-        *[F.max(f"{c}_max").alias(f"max_{_short(c)}") for c in extremes],
-        *[F.min(f"{c}_min").alias(f"min_{_short(c)}") for c in extremes],
-        merged_mean("occupancy_ratio").alias("avg_occupancy_ratio"),
-        spread("occupancy_ratio").alias("occupancy_volatility"),
-        F.min("occupancy_ratio_min").alias("min_occupancy_ratio"),
-        F.max("occupancy_ratio_max").alias("max_occupancy_ratio"),
-        merged_mean("utilization_percentage").alias("avg_utilization_percentage"),
-        spread("utilization_percentage").alias("utilization_volatility"),
-        mean("ebike_ratio").alias("avg_ebike_ratio"),
-        (F.sum("empty_n") / rows).alias("pct_time_empty"),
-        (F.sum("full_n") / rows).alias("pct_time_full"),
-        (F.sum("operational_n") / rows).alias("pct_time_operational"),
-        (F.sum("out_of_service_n") / rows).alias("pct_time_out_of_service"),
-        rows.alias("total_observations"),
-        intervals.alias("unique_5min_intervals"),
-        (intervals / float(rules.POLLS_PER_DAY)).alias("time_coverage_ratio"),
-        F.bool_and("installed_all").alias("was_installed_all_day"),
-        F.bool_or("renting_any").alias("was_renting_any_time"),
-        F.bool_or("returning_any").alias("was_returning_any_time"),
-        F.min("first_at").alias("first_reported_at"),
-        F.max("last_at").alias("last_reported_at"),
-    )
+    second = {
+        "typical_capacity": "min_by(total_capacity, struct(-n, total_capacity IS NULL, total_capacity))",
+        "max_capacity": "max(total_capacity)",
+        "min_capacity": "min(total_capacity)",
+    }
+    for c in AVERAGED_COUNTERS:
+        second[f"avg_{_short(c)}"] = f"try_divide(cast(sum({c}_sum) AS double), sum({c}_n))"
+    for edge in ("max", "min"):
+        second |= {f"{edge}_{_short(c)}": f"{edge}({c}_{edge})" for c in extremes}
+    second |= {
+        "avg_occupancy_ratio": merged_mean("occupancy_ratio_n", "occupancy_ratio_mean"),
+        "occupancy_volatility": _merged_spread("occupancy_ratio"),
+        "min_occupancy_ratio": "min(occupancy_ratio_min)",
+        "max_occupancy_ratio": "max(occupancy_ratio_max)",
+        "avg_utilization_percentage": merged_mean(
+            "utilization_percentage_n", "utilization_percentage_mean"
+        ),
+        "utilization_volatility": _merged_spread("utilization_percentage"),
+        "avg_ebike_ratio": "try_divide(sum(ebike_ratio_sum), sum(ebike_ratio_n))",
+        "pct_time_empty": "sum(empty_n) / sum(n)",
+        "pct_time_full": "sum(full_n) / sum(n)",
+        "pct_time_operational": "sum(operational_n) / sum(n)",
+        "pct_time_out_of_service": "sum(out_of_service_n) / sum(n)",
+        "total_observations": "sum(n)",
+        "unique_5min_intervals": intervals,
+        "time_coverage_ratio": f"{intervals} / {rules.POLLS_PER_DAY}D",
+        "was_installed_all_day": "bool_and(installed_all)",
+        "was_renting_any_time": "bool_or(renting_any)",
+        "was_returning_any_time": "bool_or(returning_any)",
+        "first_reported_at": "min(first_at)",
+        "last_reported_at": "max(last_at)",
+    }
+    daily = parts.groupBy("station_id", "date_day").agg(*sql_columns(second))
     unusable = F.col("pct_time_empty") + F.col("pct_time_full")
     return daily.withColumns(
         {

@@ -21,7 +21,6 @@ def all_queries() -> dict[str, Query]:
 def comparable(query: Query) -> Query:
     """The query with its result in a form both engines print alike: doubles with six
     decimals, instants without zone, audit columns left out."""
-    from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
     from ridelake.session import configure
@@ -32,16 +31,18 @@ def comparable(query: Query) -> Query:
         result = query(configure(spark), sf_dir)
         columns = []
         for field in result.schema:
-            column = F.col(field.name)
-            if field.name in audit and isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            name, kind = field.name, field.dataType
+            instant = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+            if name in audit and instant:
                 continue
-            if isinstance(field.dataType, T.DoubleType):
-                column = F.round(column, 6)
-            elif isinstance(field.dataType, T.TimestampType):
-                column = column.cast("timestamp_ntz")
-            elif isinstance(field.dataType, T.IntegerType):
-                column = column.cast("long")
-            columns.append(column.alias(field.name))
-        return result.select(*columns)
+            if isinstance(kind, T.DoubleType):
+                columns.append(f"round({name}, 6) AS {name}")
+            elif instant:
+                columns.append(f"cast({name} AS timestamp_ntz) AS {name}")
+            elif isinstance(kind, T.IntegerType):
+                columns.append(f"cast({name} AS bigint) AS {name}")
+            else:
+                columns.append(name)
+        return result.selectExpr(*columns)
 
     return run

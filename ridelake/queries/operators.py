@@ -148,13 +148,13 @@ def mode_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def duration_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     minutes = elapsed("MINUTE", F.col("started_at"), F.col("ended_at"))
-    return (
-        models(spark, sf_dir)
-        .stg_trips.groupBy("rideable_type", F.to_date("started_at").alias("date_day"))
-        .agg(
-            demand.duration_quantile(minutes, 0.5).alias("p50"),
-            demand.duration_quantile(minutes, 0.95).alias("p95"),
-        )
+    trips = models(spark, sf_dir).stg_trips.withColumn("minutes", minutes)
+    quantiles = {
+        "p50": demand.duration_quantile("minutes", 0.5),
+        "p95": demand.duration_quantile("minutes", 0.95),
+    }
+    return trips.groupBy("rideable_type", F.to_date("started_at").alias("date_day")).agg(
+        *aggregates.sql_columns(quantiles)
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRING, LONG, DOUBLE, BOOLEAN = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
@@ -79,7 +78,9 @@ STATUS_RESPONSE = """
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` to the names, order and types of ``schema``."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(
+        *[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    )
 
 
 def schema_differences(df: DataFrame, schema: T.StructType) -> list[tuple[str, str, str]]:
