@@ -311,6 +311,27 @@ Q["run_layer"] = each(
         for name, (layer, source) in LAYERS.items()
     ]
 )
+_FIRST_RUN = f"(SELECT {key('station_id', repr('2024-01-20 00:00:00+00'))} AS first_key, station_key FROM dim_station)"
+
+
+def rekeyed(columns: str) -> str:
+    """Station keys as the first run, at the cutoff, gave them; the unknown key is fixed."""
+    return ", ".join(
+        f"(SELECT CASE WHEN k.station_key = md5('-1') THEN k.station_key ELSE first_key END "
+        f"FROM {_FIRST_RUN} k WHERE k.station_key = f.{c}) AS {c}"
+        for c in columns.split()
+    )
+
+
+Q["refresh_trips"] = rounded(
+    f"(SELECT * REPLACE ({rekeyed('start_station_key end_station_key')}) FROM fct_trips f)", _DOUBLES
+)
+Q["refresh_station_days"] = rounded(
+    f"""(SELECT {rekeyed('station_key')}, date_key, trips_started, trips_ended, avg_bikes_available,
+  avg_trips_started_28d, avg_occupancy_ratio_7d, trips_started_same_day_last_week, demand_trend,
+  weather_condition FROM fct_station_day f)""",
+    _DOUBLES + _FACT_DOUBLES,
+)
 Q["materialize_view"] = Q["weather_impact"]
 
 # --- streams ------------------------------------------------------------------------------

@@ -58,9 +58,3 @@ def point_in_time(
         F.col(valid_to).isNull() | (F.col(at) < F.col(valid_to))
     )
     return events.join(versions, (F.col(key) == F.col("_key")) & current, "left").drop("_key")
-
-
-def unmatched(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:
-    """Rows whose key, null included, is absent from the dimension."""
-    keys = dimension.select(F.col(dimension_key).alias("_key"))
-    return fact.join(keys, F.col(fact_key) == F.col("_key"), "left_anti")

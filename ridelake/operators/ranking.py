@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,29 +22,42 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 
 def number_within(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
-    """Row number inside each key. Keys must be small groups (a day's summary rows)."""
+    """Row number inside each key, for keys whose groups are small by construction
+    (the hours, user types and bike types of one day). Otherwise use ``number_all``."""
     return df.withColumn(
         name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
     )
 
 
-def number_all(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Row number over the whole table, without one task that sorts everything.
-
-    A plain window without keys moves all rows to one partition. Here rows are
-    range-partitioned, each slice is numbered on its own, and the sizes of the
-    slices before it (one row per slice) are added. The slices are written
-    first: their bounds are sampled, so they must not be worked out twice.
+def number_all(
+    df: DataFrame, order: list[Column], name: str, keys: list[str] | None = None
+) -> DataFrame:
+    """Row number over the whole table, or over each key, without a task that sorts
+    a whole table or a whole key.
+
+    A plain window moves each group to one task. Here rows are range-partitioned by
+    key and order, each slice is numbered on its own, and the rows of the same group
+    in the slices before it are added: a table of one row per slice and per key.
+    The slices are written first: their bounds are sampled, so they must not be
+    worked out twice.
     """
-    sliced = df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
+    keys = keys or []
+    spread = [F.col(k) for k in keys] + list(order)
+    sliced = df.repartitionByRange(*spread).withColumn("_slice", F.spark_partition_id())
     sliced = stage(sliced, "slices")
-    before = F.sum("_rows").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sliced.groupBy("_slice").agg(F.count("*").alias("_rows"))
-    offsets = sizes.select("_slice", F.coalesce(before, F.lit(0)).alias("_before"))
-    # One row per shuffle partition, so always small enough to broadcast.
-    placed = sliced.join(F.broadcast(offsets), "_slice")
-    local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
-    return placed.withColumn(name, F.col("_before") + local).drop("_slice", "_before")
+    by_group = ["_slice", *keys]
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy(*by_group).agg(F.count("*").alias("_rows"))
+    offsets = sizes.select(
+        *[F.col(c).alias(f"_of{c}") for c in by_group],
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in by_group])
+    if not keys:
+        offsets = F.broadcast(offsets)  # one row per shuffle partition
+    local = F.row_number().over(Window.partitionBy(*by_group).orderBy(*order))
+    numbered = sliced.withColumn("_local", local).join(offsets, same)
+    return numbered.withColumn(name, F.col("_before") + F.col("_local")).select(*df.columns, name)
 
 
 def number_by_leading_key(

@@ -32,6 +32,7 @@ TABLES: dict[str, tuple[str, str | None, list[str]]] = {
     "fct_trips": ("marts", "start_date_key", ["start_station_key", "user_type_key"]),
     "fct_station_day": ("marts", "date_day", ["station_key"]),
 }
+PARTITION_TYPES = {"date_day": "date", "start_date_key": "bigint"}
 VIEWS = [
     "vw_station_operations",
     "vw_station_operations_realtime",
@@ -57,6 +58,19 @@ class Models:
         self.as_of = now.date()
         self.root = root
 
+    @classmethod
+    def opened(cls, spark: SparkSession, feeds: Feeds, now: dt.datetime, root: str) -> Models:
+        """The tables written under ``root`` by an earlier run. Nothing is worked out again."""
+        models = cls(spark, feeds, now, root)
+        for name, (layer, partition_by, _) in TABLES.items():
+            if layer != "staging" and name != "int_station_metrics":
+                table = spark.read.parquet(models.path(name))
+                if partition_by:
+                    kind = PARTITION_TYPES[partition_by]
+                    table = table.withColumn(partition_by, F.col(partition_by).cast(kind))
+                models.__dict__[name] = table
+        return models
+
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name][0]}/{name}"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelake import rules
@@ -147,7 +147,7 @@ def station_daily_fact(supply: DataFrame, demand: DataFrame) -> DataFrame:
 
 
 def station_daily_fact_since(
-    supply: DataFrame, demand: DataFrame, stored: DataFrame, first_day
+    supply: DataFrame, demand: DataFrame, stored: DataFrame, first_day: Column
 ) -> DataFrame:
     """The fact from ``first_day`` on, equal to the same rows of a full refresh.
 
@@ -156,11 +156,11 @@ def station_daily_fact_since(
     """
     base = with_balance(
         supply_demand(
-            supply.where(F.col("date_day") >= F.lit(first_day)),
-            demand.where(F.col("date_day") >= F.lit(first_day)),
+            supply.where(F.col("date_day") >= first_day),
+            demand.where(F.col("date_day") >= first_day),
         )
     )
-    before = stored.where(F.col("date_day") < F.lit(first_day)).select(*base.columns)
+    before = stored.where(F.col("date_day") < first_day).select(*base.columns)
     history = last_rows(before, "station_id", "date_day", LOOK_BACK_ROWS)
     computed = with_trend(with_history(history.unionByName(base)))
-    return computed.where(F.col("date_day") >= F.lit(first_day))
+    return computed.where(F.col("date_day") >= first_day)

@@ -108,7 +108,7 @@ def station_operations(
         ladder(F.col("trips_started"), ">=", rules.ACTIVITY).alias("activity_category"),
     )
     order = [F.desc("trips_started"), F.asc("station_id")]
-    ranked = number_within(view, ["date_day"], order, "daily_activity_rank")
+    ranked = number_all(view, order, "daily_activity_rank", keys=["date_day"])
     return ranked.orderBy(F.desc("date_day"), "daily_activity_rank")
 
 

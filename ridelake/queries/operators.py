@@ -255,7 +255,7 @@ def full_refresh_equals_incremental(spark: SparkSession, sf_dir: str) -> DataFra
     path = stage_path(spark, "station_days")
     layout.write_table(first, path, "date_day", ["station_id"])
     stored = layout.read_table(spark, path, first)
-    rest = daily.station_daily_fact_since(supply, asked, stored, CUTOFF)
+    rest = daily.station_daily_fact_since(supply, asked, stored, F.lit(CUTOFF))
     incremental.upsert(stored, path, rest, ["station_id", "date_day"], "date_day", cluster_by=["station_id"])
     return layout.read_table(spark, path, first)
 

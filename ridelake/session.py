@@ -80,9 +80,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_STAGED: list[str] = []
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this driver has staged, once nothing reads them any more."""
+    count = len(_STAGED)
+    while _STAGED:
+        fs, path = filesystem(spark, _STAGED.pop())
+        fs.delete(path, True)
+    return count
+
+
 def filesystem(spark: SparkSession, path: str):
     """Hadoop file system of ``path`` and the path object."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

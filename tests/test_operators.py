@@ -36,6 +36,19 @@ def test_number_all_equals_a_plain_window_on_a_skewed_table(spark):
     assert rows(ranked, "id", "rank") == sorted(expected)
 
 
+def test_number_all_within_keys_splits_a_hot_key(spark):
+    rng = random.Random(11)
+    values = [("hot" if rng.random() < 0.6 else rng.choice(["a", None]), rng.randrange(9), i) for i in range(400)]
+    df = spark.createDataFrame(values, "k string, v long, id long").repartition(5)
+    order = [F.desc("v"), F.asc("id")]
+    ranked = ranking.number_all(df, order, "rank", keys=["k"])
+    place, expected = Counter(), []
+    for k, v, i in sorted(values, key=lambda r: (-r[1], r[2])):
+        place[k] += 1
+        expected.append((i, place[k]))
+    assert rows(ranked, "id", "rank") == sorted(expected)
+
+
 def test_number_by_leading_key(spark):
     df = spark.createDataFrame(
         [("a", 1), ("a", 2), ("b", 1), ("c", 1), ("c", 2), ("c", 3)], "day string, place long"
