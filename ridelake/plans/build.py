@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,17 @@ TABLES: dict[str, tuple[str, str | None, list[str]]] = {
     "fct_station_day": ("marts", "date_day", ["station_key"]),
 }
 PARTITION_TYPES = {"date_day": "date", "start_date_key": "bigint"}
+# What can be written at the same time, in dependency order.
+WAVES = [
+    ["stg_trips"],
+    ["stg_weather"],
+    ["stg_station_status"],
+    ["int_station_metrics"],
+    ["int_station_daily_metrics", "int_trip_station_daily", "snap_station", "dim_time", "dim_user_type"],
+    ["int_station_weather_daily", "dim_station"],
+    ["int_station_daily_fact", "fct_trips"],
+    ["dim_date", "fct_station_day"],
+]
 VIEWS = [
     "vw_station_operations",
     "vw_station_operations_realtime",
@@ -141,7 +153,7 @@ class Models:
         reports = self.stg_station_status.where("is_installed")
         return dimensions.date_bounds(
             reports.select(F.to_date("last_reported").alias("date_day")),
-            staging.trip_ends(self.stg_trips).select(F.to_date("at").alias("date_day")),
+            staging.trip_ends(self.stg_trips, []).select(F.to_date("at").alias("date_day")),
         )
 
     @cached_property
@@ -194,11 +206,13 @@ class Models:
         return getattr(self, name)
 
     def build(self) -> Models:
-        """Write every table, in dependency order."""
+        """Write every table. Tables of one wave do not need each other, so their jobs
+        are submitted together and share the executors."""
         if self.root is None:
             raise ValueError("a root folder is needed to write tables")
-        for name in TABLES:
-            self.table(name)
+        for wave in WAVES:
+            with ThreadPoolExecutor(len(wave)) as pool:
+                list(pool.map(self.table, wave))
         return self
 
 

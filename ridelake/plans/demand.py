@@ -26,15 +26,18 @@ def _periods() -> dict[str, str]:
     }
 
 
-def duration_quantile(minutes: str, fraction: float) -> str:
-    """Quantile from a sketch of bounded size; exact for groups within its accuracy."""
-    return f"cast(percentile_approx({minutes}, {fraction}, {QUANTILE_ACCURACY}) AS bigint)"
+def duration_quantiles(minutes: str) -> str:
+    """Median and 95th percentile from one sketch of bounded size, as an array; exact
+    for groups within its accuracy."""
+    return f"percentile_approx({minutes}, array(0.5, 0.95), {QUANTILE_ACCURACY})"
 
 
 def demand_daily(trips: DataFrame) -> DataFrame:
     """Trips started and ended per station and day, with durations, riders, bikes,
     times of day, peak hours and the resulting flow."""
-    ends = trip_ends(trips).withColumn("hour", F.hour("at").cast("long"))
+    ends = trip_ends(trips, ["minutes"], ["member_casual", "rideable_type"]).withColumn(
+        "hour", F.hour("at").cast("long")
+    )
     sides = {"started": "start", "ended": "end"}
     kinds = {name: f"member_casual = '{value}'" for name, value in RIDERS.items()}
     kinds |= {name: f"rideable_type = '{value}'" for name, value in BIKES.items()}
@@ -42,8 +45,7 @@ def demand_daily(trips: DataFrame) -> DataFrame:
     # ``minutes`` is null on the end side, so its aggregates see starts only.
     columns = {
         "avg_trip_duration_minutes": "avg(minutes)",
-        "median_trip_duration_minutes": duration_quantile("minutes", 0.5),
-        "p95_trip_duration_minutes": duration_quantile("minutes", 0.95),
+        "quantiles": duration_quantiles("minutes"),
         "min_trip_duration_minutes": "min(minutes)",
         "max_trip_duration_minutes": "max(minutes)",
         "stddev_trip_duration_minutes": "stddev_samp(minutes)",
@@ -75,8 +77,8 @@ def demand_daily(trips: DataFrame) -> DataFrame:
         "trips_ended",
         net.alias("net_trips"),
         "avg_trip_duration_minutes",
-        "median_trip_duration_minutes",
-        "p95_trip_duration_minutes",
+        F.col("quantiles")[0].alias("median_trip_duration_minutes"),
+        F.col("quantiles")[1].alias("p95_trip_duration_minutes"),
         "min_trip_duration_minutes",
         "max_trip_duration_minutes",
         "stddev_trip_duration_minutes",

@@ -27,7 +27,7 @@ def station_master(trips: DataFrame, updated_at: dt.datetime) -> DataFrame:
     trips. Trips carry neither capacity nor region.
     """
     places = (
-        trip_ends(trips)
+        trip_ends(trips, ["station_name", "latitude", "longitude"])
         .select("station_id", "station_name", "latitude", "longitude")
         .where("station_name is not null")
         .distinct()

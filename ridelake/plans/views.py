@@ -376,7 +376,8 @@ def weather_impact(
             F.avg("avg_bikes_available").alias("avg_bikes_available"),
             F.avg("avg_utilization_percentage").alias("avg_utilization_pct"),
             F.avg("operational_health_score").alias("avg_health_score"),
-            F.count_distinct("station_key").alias("stations_reporting"),
+            # The fact has one row per station key and day, so rows are stations.
+            F.count("station_key").alias("stations_reporting"),
         )
     )
     calendar = _days(dates, as_of, days).select(

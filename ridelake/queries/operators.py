@@ -149,12 +149,11 @@ def mode_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 def duration_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     minutes = elapsed("MINUTE", F.col("started_at"), F.col("ended_at"))
     trips = models(spark, sf_dir).stg_trips.withColumn("minutes", minutes)
-    quantiles = {
-        "p50": demand.duration_quantile("minutes", 0.5),
-        "p95": demand.duration_quantile("minutes", 0.95),
-    }
-    return trips.groupBy("rideable_type", F.to_date("started_at").alias("date_day")).agg(
-        *aggregates.sql_columns(quantiles)
+    quantiles = {"q": demand.duration_quantiles("minutes")}
+    return (
+        trips.groupBy("rideable_type", F.to_date("started_at").alias("date_day"))
+        .agg(*aggregates.sql_columns(quantiles))
+        .select("rideable_type", "date_day", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"))
     )
 
 

@@ -38,6 +38,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.driver.memory", "12g")
         # Call sites of single column expressions; costs more than small queries take.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # The models compile to several hundred classes; 100 are kept by default.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in conf.items():

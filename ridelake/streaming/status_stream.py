@@ -21,7 +21,11 @@ def read_polls(spark: SparkSession, path: str, files_per_batch: int = 1000) -> D
     return (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .text(path)
-        .select("value", F.col("_metadata.file_path").alias("message_id"))
+        .select(
+            "value",
+            F.concat_ws("#", "_metadata.file_path", F.md5("value")).alias("message_id"),
+            F.to_json(F.struct("_metadata.file_name", "_metadata.file_size")).alias("attributes"),
+        )
     )
 
 
@@ -53,16 +57,18 @@ def write_status(
 
 
 def archive_raw(polls: DataFrame, table: str, checkpoint: str, subscription: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep every message as it came, with its delivery metadata."""
+    """Keep every message as it came, with its delivery metadata, by day of publishing."""
     rows = polls.select(
         F.col("value").alias("data"),
         F.lit(subscription).alias("subscription_name"),
-        F.concat_ws("#", "message_id", F.md5("value")).alias("message_id"),
+        "message_id",
+        "attributes",
         F.timestamp_seconds(F.get_json_object("value", "$.last_updated").cast("long")).alias("publish_time"),
         F.current_timestamp().alias("ingestion_timestamp"),
-    )
+    ).withColumn("published_on", F.to_date("publish_time"))
     return (
         rows.writeStream.format("parquet")
+        .partitionBy("published_on")
         .option("path", table)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -73,6 +73,28 @@ def test_stage_folder_comes_from_the_session():
         stage_root(session_like(master="spark://host:7077"))
 
 
+def pushed(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_staging_filters_and_columns_reach_the_scan(spark, sf_dir, tmp_path):
+    from ridelake.plans import demand, staging, supply
+    from ridelake.sources.feeds import event_feeds
+
+    feeds = event_feeds(spark, sf_dir)
+    feeds.trips.write.parquet(f"{tmp_path}/trips")
+    feeds.status.write.parquet(f"{tmp_path}/status")
+    rides = demand.demand_daily(staging.stg_trips(spark.read.parquet(f"{tmp_path}/trips")))
+    (scan,) = pushed(rides)  # one scan feeds both ends of the trips
+    assert "IsNotNull(ride_id)" in scan
+    assert "start_lat" not in scan and "start_station_name" not in scan
+    reports = staging.stg_station_status(spark.read.parquet(f"{tmp_path}/status"))
+    (scan,) = pushed(supply.station_daily(supply.station_metrics(reports)))
+    assert "IsNotNull(station_id)" in scan and "IsNotNull(last_reported)" in scan
+    assert "legacy_id" not in scan and "api_last_updated" not in scan
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 
@@ -245,6 +267,7 @@ def test_archive_keeps_text_as_it_came(spark, tmp_path):
     stream.archive_raw(stream.read_polls(spark, source), table, ckpt, "sub").awaitTermination()
     row = spark.read.parquet(table).first()
     assert row.data == poll(FULL) and row.subscription_name == "sub" and row.message_id
+    assert json.loads(row.attributes)["file_name"] == "1.json"
     assert row.publish_time == dt.datetime.fromtimestamp(1705312800)
 
 
