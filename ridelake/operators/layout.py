@@ -19,14 +19,15 @@ def write_table(
 ) -> None:
     """Write Parquet, one folder per partition value, sorted by the cluster keys.
 
-    Rows are spread by range over (partition, cluster keys): a day goes to few
-    files, a day holding much of the data still goes to many tasks, and row groups
-    get narrow min/max ranges on the cluster keys. With mode 'overwrite' a
+    Rows are spread by range over (partition, cluster keys, row hash): a day goes to
+    few files and row groups get narrow min/max ranges on the cluster keys, while a
+    hot day, or a hot key in it, still goes to many tasks. With mode 'overwrite' a
     partitioned table only replaces the partitions present in ``df``.
     """
     columns = [c for c in (partition_by, *cluster_by) if c]
     if columns:
-        df = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+        spread = df.repartitionByRange(*columns, F.xxhash64(*df.columns))
+        df = spread.sortWithinPartitions(*columns)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)

@@ -160,7 +160,9 @@ def station_daily_fact_since(
             demand.where(F.col("date_day") >= first_day),
         )
     )
-    before = stored.where(F.col("date_day") < first_day).select(*base.columns)
+    # Of the stored rows only the columns the frames look at are read.
+    used = {"station_id", "date_day", *[source for source, _ in (*ROLLING.values(), *LAGS.values())]}
+    before = stored.where(F.col("date_day") < first_day).select(*[c for c in base.columns if c in used])
     history = last_rows(before, "station_id", "date_day", LOOK_BACK_ROWS)
-    computed = with_trend(with_history(history.unionByName(base)))
+    computed = with_trend(with_history(base.unionByName(history, allowMissingColumns=True)))
     return computed.where(F.col("date_day") >= first_day)
