@@ -342,10 +342,7 @@ Q["stream_raw_archive"] = plain(
     """SELECT polled_at AS publish_time, 'station-status' AS subscription_name, count(*) AS stations
 FROM polled GROUP BY poll, polled_at"""
 )
-Q["stream_dedupe"] = plain(
-    f"""SELECT DISTINCT ON (station_id, last_reported) {_STREAMED} FROM accepted_reports
-ORDER BY station_id, last_reported, api_last_updated"""
-)
+Q["stream_dedupe"] = plain("SELECT DISTINCT station_id, last_reported FROM accepted_reports")
 Q["stream_windows"] = rounded(
     """(SELECT * FROM (
   SELECT station_id, time_bucket(INTERVAL 5 MINUTE, last_reported) AS bucket_start,

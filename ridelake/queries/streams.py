@@ -52,11 +52,15 @@ def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message delivered twice, each report kept once."""
+    """Every message delivered twice: the reports that remain, by station and second.
+
+    Two different reports of one station in one second share a key as well, and either
+    may be the one that stays, so the result is the keys.
+    """
     table = stage_path(spark, "distinct")
     source = stream.read_polls(spark, _poll_files(spark, sf_dir, copies=2))
     stream.append_stream(stream.distinct_reports(source), table, stage_path(spark, "ckpt")).awaitTermination()
-    return spark.read.parquet(table).drop("ingestion_timestamp")
+    return spark.read.parquet(table).select("station_id", "last_reported")
 
 
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
