@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.tables import AS_OF, NOW, NOW_TEXT, T, key, moving, ratio, with_tables
+from oracle.tables import AS_OF, NOW, T, key, moving, with_tables
 
 # Columns that hold doubles wherever they occur; compared with six decimals.
 _DOUBLES = """
@@ -77,8 +77,8 @@ Q["dedupe_latest"] = plain(
 ORDER BY station_id, last_reported DESC"""
 )
 Q["user_key_fallback"] = plain(
-    """SELECT ride_id, CASE member_casual WHEN 'casual' THEN 1 WHEN 'member' THEN 2 ELSE 3 END
-  AS user_type_key FROM stg_trips"""
+    """SELECT ride_id, CAST(CASE member_casual WHEN 'casual' THEN 1 WHEN 'member' THEN 2 ELSE 3 END
+  AS BIGINT) AS user_type_key FROM stg_trips"""
 )
 Q["late_dim_fallback"] = plain(
     """SELECT CAST(strftime(started_at, '%Y%m%d') AS BIGINT) AS start_date_key,
@@ -248,6 +248,10 @@ FROM events)""",
 # Reports as the polls carry them.
 T["polled"] = f"""
 SELECT r.* REPLACE (
+  CAST(num_scooters_available AS BIGINT) AS num_scooters_available,
+  CAST(num_scooters_unavailable AS BIGINT) AS num_scooters_unavailable,
+  CAST(is_installed AS BIGINT) AS is_installed, CAST(is_renting AS BIGINT) AS is_renting,
+  CAST(is_returning AS BIGINT) AS is_returning,
   CASE WHEN event_id % 7 <> 0 THEN legacy_id ELSE '' END AS legacy_id,
   CASE WHEN event_id % 6 <> 1 THEN num_docks_disabled ELSE 0 END AS num_docks_disabled,
   CASE WHEN event_id % 10 <> 3 THEN eightd_has_available_keys ELSE false END AS eightd_has_available_keys,
@@ -262,7 +266,7 @@ _STATION = """station_id, legacy_id, num_bikes_available, num_ebikes_available,
 T["accepted_reports"] = f"""
 SELECT {_STATION}, polled_at AS api_last_updated, ingestion_timestamp FROM polled WHERE NOT unusable"""
 Q["status_json_to_rows"] = plain("SELECT * FROM accepted_reports")
-_REJECTS = """SELECT station_id, CASE event_id % 97 WHEN 7 THEN 86400 ELSE 0 END AS timestamp,
+_REJECTS = """SELECT station_id, CAST(CASE event_id % 97 WHEN 7 THEN 86400 ELSE 0 END AS BIGINT) AS timestamp,
   count(*) AS rejects FROM polled WHERE unusable GROUP BY ALL"""
 Q["status_rejects"] = plain(_REJECTS)
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')"
@@ -564,7 +568,7 @@ _TYPED = {
 }
 Q["schema_check"] = each(
     [
-        f"""SELECT '{t}' AS table_name, 'schema' AS check_name, '{c}' AS target, 0 AS failures,
+        f"""SELECT '{t}' AS table_name, 'schema' AS check_name, '{c}' AS target, 0::BIGINT AS failures,
   'PASS' AS status, count(*) AS n FROM {LAYERS[t][1]}"""
         for t, cs in _TYPED.items()
         for c in cs.split()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ridelake.functions.calendar import utc
 from ridelake.operators import incremental, scd2
 from ridelake.operators.layout import write_table
-from ridelake.plans import daily, dimensions, facts, staging, supply
+from ridelake.plans import daily, dimensions, facts, supply
 from ridelake.plans.build import TABLES, Models
 from ridelake.plans.demand import demand_daily
 from ridelake.session import stage

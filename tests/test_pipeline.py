@@ -7,6 +7,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from ridelake import session
 from ridelake.functions.calendar import utc
 from ridelake.operators import layout
 from ridelake.plans import monitor, quality
@@ -73,6 +74,16 @@ def test_stage_folder_comes_from_the_session():
         stage_root(session_like(master="spark://host:7077"))
 
 
+def test_staged_tables_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_STAGED", [])
+    session.stage(spark.range(3), "short_lived")
+    (path,) = session._STAGED
+    assert spark.read.parquet(path).count() == 3
+    assert session.drop_staged(spark) == 1
+    fs, folder = session.filesystem(spark, path)
+    assert not fs.exists(folder)
+
+
 def pushed(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return [line for line in plan.splitlines() if "FileScan" in line]
