@@ -257,9 +257,9 @@ SELECT r.* REPLACE (
   CASE WHEN event_id % 10 <> 3 THEN eightd_has_available_keys ELSE false END AS eightd_has_available_keys,
   date_trunc('second', r.last_reported) AS last_reported,
   to_timestamp(0)::TIMESTAMP AS api_last_updated, {NOW} AS ingestion_timestamp),
-  event_id, event_id // 32 AS poll, event_id % 97 IN (5, 6, 7) AS unusable,
+  event_id // 32 AS poll, event_id % 97 IN (5, 6, 7) AS unusable,
   max(date_trunc('second', r.last_reported)) OVER (PARTITION BY event_id // 32) AS polled_at
-FROM status_raw r JOIN events ON ts = r.last_reported"""
+FROM numbered_status r"""
 _STATION = """station_id, legacy_id, num_bikes_available, num_ebikes_available, num_bikes_disabled,
   num_docks_available, num_docks_disabled, num_scooters_available, num_scooters_unavailable,
   is_installed, is_renting, is_returning, eightd_has_available_keys, last_reported"""

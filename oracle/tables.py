@@ -96,6 +96,7 @@ CALENDAR = """
 T: dict[str, str] = {}
 T["trips_raw"] = feeds.TRIPS_SQL.format(events="events")
 T["weather_raw"] = feeds.WEATHER_SQL.format(events="events")
+T["numbered_status"] = feeds.NUMBERED_STATUS_SQL.format(events="events")
 T["status_raw"] = feeds.STATUS_SQL.format(events="events")
 
 T["stg_trips"] = """

@@ -15,7 +15,7 @@ from ridelake.plans.refresh import refresh
 from ridelake.plans.supply import COUNTERS
 from ridelake.session import stage, stage_path
 from ridelake.sources import status, trips, weather
-from ridelake.sources.feeds import NOW, Feeds, event_feeds, events
+from ridelake.sources.feeds import NOW, NUMBERED_STATUS_SQL, Feeds, event_feeds, events
 
 STATIONS_PER_POLL = 32
 CUTOFF = dt.date(2024, 1, 20)
@@ -123,9 +123,7 @@ def weather_json_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status reports as polls of up to 32 stations, with defects: report times that are
     missing, 0 or from 1970, missing counters, flags and ids."""
-    raw = event_feeds(spark, sf_dir).status
-    number = events(spark, sf_dir).select("event_id", F.col("ts").alias("ts_key"))
-    reports = raw.join(number, raw.last_reported == number.ts_key)
+    reports = spark.sql(NUMBERED_STATUS_SQL, events=events(spark, sf_dir))
     n, epoch = F.col("event_id"), F.unix_seconds(F.col("last_reported").cast("timestamp"))
     reported = F.when(n % 97 == 6, 0).when(n % 97 == 7, 86400).when(n % 97 != 5, epoch)
     counters = [c for c in COUNTERS if c != "num_docks_disabled"]

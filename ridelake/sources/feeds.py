@@ -70,6 +70,9 @@ select concat('S', cast(user_id % 25 as string)) as station_id,
 from {events}
 """
 
+# The status feed with the number of the event each report comes from.
+NUMBERED_STATUS_SQL = STATUS_SQL.replace("select ", "select event_id, ", 1)
+
 
 @dataclass(frozen=True)
 class Feeds:

@@ -11,7 +11,7 @@ from ridelake import session
 from ridelake.functions.calendar import utc
 from ridelake.operators import layout
 from ridelake.plans import monitor, quality
-from ridelake.plans.build import TABLES, Models
+from ridelake.plans.build import TABLES, WAVES, Models
 from ridelake.queries.ingest import warehouse
 from ridelake.queries.models import models
 from ridelake.session import stage_root
@@ -290,6 +290,10 @@ def test_freshness_classes(spark):
     assert rows(report, "source", "status") == [("none", "error"), ("old", "error"), ("warm", "warn")]
 
 
+def test_every_table_is_in_one_wave():
+    assert sorted(name for wave in WAVES for name in wave) == sorted(TABLES)
+
+
 def test_build_writes_every_stored_table(spark, built):
     stored = [n for n, (layer, _, _) in TABLES.items() if layer != "staging" and n != "int_station_metrics"]
     for name in stored:
