@@ -615,6 +615,10 @@ Q["weather_age"] = plain(
   CASE WHEN days_old >= 7 THEN 'error' WHEN days_old >= 2 THEN 'warning' ELSE 'good' END AS status
 FROM weather_raw"""
 )
+Q["recent_reports"] = plain(
+    """SELECT * FROM stg_station_status WHERE station_id = 'S7'
+ORDER BY ingestion_timestamp DESC LIMIT 10"""
+)
 Q["trip_span"] = each(
     [
         f"""SELECT '{layer}' AS layer, count(*) AS trips, min(started_at) AS first_start,

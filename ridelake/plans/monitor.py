@@ -12,6 +12,7 @@ from ridelake import rules
 from ridelake.functions.bands import ladder
 from ridelake.functions.calendar import utc
 from ridelake.functions.numeric import elapsed
+from ridelake.operators.ranking import top_k
 from ridelake.sources.status import parse_stations
 
 
@@ -108,6 +109,12 @@ def trip_span(raw: DataFrame, facts: DataFrame) -> DataFrame:
     return span("raw", raw).unionByName(span("fact", facts))
 
 
+def recent_reports(status: DataFrame, station_id: str, k: int = 10) -> DataFrame:
+    """The reports of one station that came in last."""
+    newest = [F.desc("ingestion_timestamp"), F.desc("last_reported")]
+    return top_k(status.where(F.col("station_id") == station_id), k, newest)
+
+
 def regex_ids(table: DataFrame, column: str, pattern: str) -> DataFrame:
     """Ids that match a pattern, with their rows."""
     return table.where(F.col(column).rlike(pattern)).groupBy(column).agg(F.count("*").alias("n"))

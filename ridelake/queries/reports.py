@@ -103,8 +103,9 @@ QUERIES = {
     "stream_health": _over_feeds(lambda m: monitor.stream_health(m.stg_station_status, NOW)),
     "active_entities": _over_feeds(lambda m: monitor.active_entities(m.stg_station_status, NOW)),
     "stale_entities": _over_feeds(lambda m: monitor.stale_entities(m.stg_station_status, NOW)),
-    "weather_age": _over_feeds(lambda m: monitor.weather_age(m.stg_weather, AS_OF)),
+    "weather_age": _over_feeds(lambda m: monitor.weather_age(m.feeds.weather, AS_OF)),
     "trip_span": trip_span,
+    "recent_reports": _over_feeds(lambda m: monitor.recent_reports(m.stg_station_status, "S7")),
     # analysts
     "daily_trend": _over_layers(lambda m: analyst.daily_trend(m.fct_trips, m.dim_date, 2024, 1)),
     "topk_entities": _over_layers(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,15 @@ def land_trips(csv: DataFrame, path: str) -> None:
     spread.write.mode("append").partitionBy("year", "month").parquet(path)
 
 
-def read_months(spark: SparkSession, path: str, months: list[str], optional: T.StructType | None = None) -> DataFrame:
+def last_months(as_of: dt.date, count: int = 3) -> list[str]:
+    """The months before the one of ``as_of``, as ``yyyy-MM``: what a backfill loads."""
+    month = as_of.year * 12 + as_of.month - 1
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(month - count, month)]
+
+
+def read_months(
+    spark: SparkSession, path: str, months: list[str], optional: T.StructType | None = None
+) -> DataFrame:
     """The listed months (``yyyy-MM``) of the landing zone in one scan.
 
     Older files may lack later columns and older columns may be required: the

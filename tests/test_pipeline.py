@@ -183,6 +183,11 @@ def test_csv_with_empty_fields_lands_by_month(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1]
 
 
+def test_backfill_months_cross_the_year():
+    assert trips.last_months(dt.date(2024, 2, 15)) == ["2023-11", "2023-12", "2024-01"]
+    assert trips.last_months(dt.date(2024, 1, 1), 1) == ["2023-12"]
+
+
 def test_new_column_in_a_later_month(spark, tmp_path):
     landing, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
     spark.sql("SELECT 'R1' AS ride_id, timestamp'2024-01-02' AS started_at, '2024' AS year, '01' AS month").write.partitionBy("year", "month").parquet(landing)
