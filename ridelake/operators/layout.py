@@ -19,15 +19,15 @@ def write_table(
 ) -> None:
     """Write Parquet, one folder per partition value, sorted by the cluster keys.
 
-    Rows are spread by range over (partition, cluster keys, row hash): a day goes to
-    few files and row groups get narrow min/max ranges on the cluster keys, while a
-    hot day, or a hot key in it, still goes to many tasks. With mode 'overwrite' a
-    partitioned table only replaces the partitions present in ``df``.
+    The rows of a partition value are brought together in one shuffle. Adaptive
+    execution then splits a hot day over as many tasks as its size asks for and puts
+    small days together, so files come out even without a sampling pass over the data.
+    Inside a file the sort gives row groups narrow ranges on the cluster keys. With mode
+    'overwrite' a partitioned table only replaces the partitions present in ``df``.
     """
-    columns = [c for c in (partition_by, *cluster_by) if c]
-    if columns:
-        spread = df.repartitionByRange(*columns, F.xxhash64(*df.columns))
-        df = spread.sortWithinPartitions(*columns)
+    if partition_by:
+        balanced = df.hint("rebalance", F.col(partition_by))
+        df = balanced.sortWithinPartitions(partition_by, *cluster_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
