@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import arrow_batches, id_and_text, map_batches
+from ridelake.llm.common import id_and_text, map_batches
 
 PIECE_CHARS = 32768
 # Words, and their characters, in the younger half of a worker's table. When that half is
@@ -205,8 +205,12 @@ def encode_column(spec: str) -> Callable[[pa.Array], list[bytes]]:
     return run
 
 
-def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """(doc_id, ids array<int>) of whole texts. ``tokenizer``: path of the library's file."""
+def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) of whole texts. ``tokenizer``: path of the library's file.
+
+    With ``decoded`` the ids' text comes as a third column, as from ``decode``, but made by
+    the worker that has the ids.
+    """
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
     rows = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
@@ -215,7 +219,8 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS) -> D
 
     def short(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = id_lists(encode_column(spec.value)(batch.column("text")))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
+        out = pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
+        return _with_text(out, spec.value) if decoded else out
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = [
@@ -238,33 +243,36 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS) -> D
         doc = pa.array(table.column("doc_id").to_pylist()[:1] * copies, pa.int64())
         return pa.Table.from_arrays([doc, id_lists([ids] * copies)], names=["doc_id", "ids"])
 
-    few = map_batches(rows.where(~is_long), short, schema)
+    few = map_batches(rows.where(~is_long), short, schema + ", decoded string" * decoded)
     key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit("key"), F.col("text")).alias("b")]
     pieces = map_batches(rows.where(is_long).select("doc_id", *key, "text"), cut, "doc_id long, a long, b long, no int, text string")
     # Equal rows meet as one; their number is kept.
     pieces = pieces.groupBy("doc_id", "a", "b", "no").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids binary")
     many = encoded.groupBy("doc_id", "a", "b").applyInArrow(whole, schema)
-    return few.unionByName(many)
+    return few.unionByName(decode(many, tokenizer) if decoded else many)
+
+
+def _with_text(batch: pa.RecordBatch, spec: str) -> pa.RecordBatch:
+    ids = [x or [] for x in batch.column("ids").to_pylist()]
+    texts = encoder(spec).tokenizer.decode_batch(ids, skip_special_tokens=False)
+    return batch.append_column("decoded", pa.array(texts, pa.string()))
 
 
 def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
     """``tokens`` (doc_id, ids) with their text as ``decoded``: special tokens are kept."""
     spark = tokens.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
-    arrow_batches(spark)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [x or [] for x in batch.column("ids").to_pylist()]
-        texts = encoder(spec.value).tokenizer.decode_batch(ids, skip_special_tokens=False)
-        return batch.append_column("decoded", pa.array(texts, pa.string()))
+        return _with_text(batch, spec.value)
 
     return map_batches(tokens.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the decimal ids and of the decoded text."""
-    both = decode(encode(docs, tokenizer, piece_chars), tokenizer)
+    both = encode(docs, tokenizer, piece_chars, decoded=True)
     decimal = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select(
         "doc_id",

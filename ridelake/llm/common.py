@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +15,27 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 500
 
 
-def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the memory a Python worker needs for one Arrow batch."""
+def prepare_workers(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Bound the memory a worker needs for one Arrow batch, and let Spark bring this
+    package to executors that may not have it installed."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+
+
+_SHIPPED: set[str] = set()
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` for every Arrow batch of ``df``; nothing is kept between batches."""
-    arrow_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,6 +24,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_tokens(spark, path))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.simhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.bpe import digests
 
@@ -32,6 +38,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_simhash": op2_simhash,
     "op10_bpe": op10_bpe,
 }
 

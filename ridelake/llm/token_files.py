@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridelake.llm.bpe import encode_column, id_lists, read_spec
-from ridelake.llm.common import arrow_batches, id_and_text, map_batches
+from ridelake.llm.common import prepare_workers, id_and_text, map_batches
 from ridelake.session import stage_path
 
 END_ID = 0
@@ -45,7 +45,7 @@ OPTIONS = {
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
     """Encode whole texts and write them to ``path``, sorted by ``doc_id``."""
     spark = docs.sparkSession
-    arrow_batches(spark)
+    prepare_workers(spark)
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
     text_hash = F.xxhash64("text")
     # The last key spreads repeated rows, whose order is without meaning.
