@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +34,18 @@ from pyspark.sql import functions as F
 from ridelake.llm.common import id_and_text, map_batches
 
 PIECE_CHARS = 32768
-# Words, and their characters, in the younger half of a worker's table. When that half is
-# full it becomes the older one, from which words move back as they are met again.
-TABLE_WORDS, TABLE_CHARS = 300_000, 8_000_000
+# Words a worker remembers; when there are more, the half it met most often stays.
+TABLE_WORDS = 800_000
+# Words the library is given in one string.
+TOGETHER = 64
 # Letters on both sides of a place within a run, and tokens that have to agree there.
 RUN, AGREE = 64, 4
 WINDOW = 32
 
-# White space of any notion in front of a blank: there a blank needs its neighbours.
-_NOT_CUT = re.compile("[\\s᠎​﻿] ")
-_CUT = re.compile("(?<=[^\\s᠎​﻿])(?= )")
+# White space of any notion; a blank behind one of these needs its neighbours.
+WHITE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u180e" + "".join(map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+_NOT_CUT = f"[{WHITE}] "
+_CUT = re.compile(f"(?<=[^{WHITE}])(?= )")
 
 
 class Encoder:
@@ -57,40 +58,97 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.chars = 0
         self._lengths: np.ndarray | None = None
+        self._start_table({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian 32-bit integers, straight from the library."""
+    def _start_table(self, rows, starts, sizes, ids, seen) -> None:
+        # Word -> row; a row's ids are ids[starts[row] :][: sizes[row]]; seen: how often met.
+        # The arrays have room for more than the ``used`` ids and the rows there are.
+        self.rows, self.starts, self.sizes, self.ids, self.seen, self.used = rows, starts, sizes, ids, seen, len(ids)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, straight from the library."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        firsts, rests, odd = [], [], {}
-        for i, text in enumerate(texts):
-            if _NOT_CUT.search(text):
-                odd[i] = _CUT.split(text)
-                firsts.append("")
-                rests.append(())
-            else:
-                words = text.split(" ")
-                firsts.append(words[0])
-                rests.append(words[1:])
-        if len(self.words) > TABLE_WORDS or self.chars > TABLE_CHARS:
-            self.words, self.older, self.chars = {}, self.words, 0
-        known, older = self.words, self.older
-        absent = [w for w in set().union(*rests) if w not in known]
-        missing = [w for w in absent if w not in older]
-        known.update((w, older[w]) for w in absent if w in older)
-        known.update(zip(missing, self.whole([" " + w for w in missing])))
-        self.chars += sum(map(len, absent))
-        get = known.__getitem__
-        out = [first + b"".join(map(get, rest)) for first, rest in zip(self.whole(firsts), rests)]
-        for i, parts in odd.items():
-            out[i] = b"".join(self.whole(parts))
-        return out
+        return [np.array(e.ids, dtype=np.int32) for e in found]
+
+    def _add(self, words: list[str]) -> None:
+        """Encode words that follow a blank, many in one string, and remember them."""
+        alone = [w for w in words if not w or w[-1] in WHITE]
+        joined = [w for w in words if w and w[-1] not in WHITE]
+        parts = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
+        found = self.whole([" " + " ".join(p) for p in parts])
+        ids = np.concatenate([np.zeros(0, np.int32), *found])
+        ends = np.cumsum([len(w.encode()) + 1 for w in joined])
+        after = np.searchsorted(np.cumsum(self.lengths()[ids]), ends) + 1 if joined else np.zeros(0, np.int64)
+        sizes = np.diff(after, prepend=0)
+        single = self.whole([" " + w for w in alone])
+        sizes = np.concatenate([sizes, np.array([len(x) for x in single], dtype=np.int64)])
+        ids = np.concatenate([ids, *single])
+        n, m, used = len(self.rows), len(self.rows) + len(words), self.used + len(ids)
+        self.rows.update(zip(joined + alone, range(n, m)))
+        self.starts, self.sizes, self.seen = (_room(x, m) for x in (self.starts, self.sizes, self.seen))
+        self.ids = _room(self.ids, used)
+        self.starts[n:m] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n:m] = sizes
+        self.seen[n:m] = 0
+        self.ids[self.used : used] = ids
+        self.used = used
+
+    def _shrink(self) -> None:
+        """Keep the half of the words that were met most often."""
+        n = len(self.rows)
+        keep = np.zeros(n, dtype=bool)
+        keep[np.argpartition(-self.seen[:n], TABLE_WORDS // 2)[: TABLE_WORDS // 2]] = True
+        words = [w for w, k in zip(self.rows, keep.tolist()) if k]  # in the order of rows
+        sizes = self.sizes[:n][keep]
+        ids = self.ids[: self.used][np.repeat(keep, self.sizes[:n])]
+        self._start_table(dict(zip(words, range(len(words)))), np.cumsum(sizes) - sizes, sizes, ids, self.seen[:n][keep] // 2)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts, and where each text's begin (and the last's end)."""
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, _NOT_CUT).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.values.dictionary_encode()
+        codes = words.indices.to_numpy()
+        first = np.zeros(len(codes), dtype=bool)
+        first[offsets[:-1]] = True
+        needed = np.zeros(len(words.dictionary), dtype=bool)
+        needed[codes[~first]] = True
+        distinct = words.dictionary.filter(pa.array(needed)).to_numpy(zero_copy_only=False).tolist()
+        if len(self.rows) > TABLE_WORDS:
+            self._shrink()
+        rows = list(map(self.rows.get, distinct))
+        missing = [w for w, row in zip(distinct, rows) if row is None]
+        if missing:
+            self._add(missing)
+            rows = list(map(self.rows.__getitem__, distinct))
+        row_of = np.zeros(len(needed), dtype=np.int64)
+        row_of[needed] = rows
+        row = row_of[codes]
+        if not self.rows:
+            self._add([""])  # so that every row can be looked up
+        self.seen[np.array(rows, dtype=np.int64)] += 1
+        # The first word of a text follows no blank: its ids, or those of an odd text, come
+        # behind the table's.
+        starts_of = words.dictionary.take(words.indices.filter(pa.array(first))).to_pylist()
+        cuts = [_CUT.split(text) if is_odd else [start] for start, text, is_odd in zip(starts_of, _odd_texts(texts, odd), odd.tolist())]
+        pieces = iter(self.whole([x for cut in cuts for x in cut]))
+        heads = [np.concatenate([next(pieces) for _ in cut]) for cut in cuts]
+        head_ids = np.concatenate([np.zeros(0, np.int32), *heads])
+        head_sizes = np.array([len(h) for h in heads], dtype=np.int64)
+        self.ids = _room(self.ids, self.used + len(head_ids))
+        self.ids[self.used : self.used + len(head_ids)] = head_ids  # until the next words come
+        sizes, starts = self.sizes[row], self.starts[row]
+        sizes[first], starts[first] = head_sizes, self.used + np.cumsum(head_sizes) - head_sizes
+        ends = np.cumsum(sizes)
+        at = np.repeat((starts - ends + sizes).astype(np.int32), sizes)
+        at += np.arange(len(at), dtype=np.int32)
+        out = self.ids.take(at)
+        return out, np.concatenate([[0], ends])[offsets]
 
     def lengths(self) -> np.ndarray:
         """Bytes of text that each id stands for."""
@@ -105,6 +163,23 @@ class Encoder:
         return self._lengths
 
 
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, twice as long where ``size`` does not fit."""
+    if size <= len(array):
+        return array
+    out = np.zeros(2 * size, dtype=array.dtype)
+    out[: len(array)] = array
+    return out
+
+
+def _odd_texts(texts: pa.Array, odd: np.ndarray) -> list[str | None]:
+    """The odd texts, and None for the others."""
+    out: list[str | None] = [None] * len(odd)
+    for i in np.flatnonzero(odd).tolist():
+        out[i] = texts[i].as_py()
+    return out
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -148,7 +223,7 @@ def join_two(enc: Encoder, left: tuple[bytes, np.ndarray], right: tuple[bytes, n
         while b < len(ids_r) and data[starts_r[b]] & 0xC0 == 0x80:
             b += 1
         lo, hi = int(starts_l[a]), int(starts_r[b])
-        ids_w = np.frombuffer(enc.whole([data[lo:hi].decode()])[0], dtype="<u4")
+        ids_w = enc.whole([data[lo:hi].decode()])[0]
         starts_w = lo + np.concatenate([[0], np.cumsum(lengths[ids_w])])
         at_l = _settled(data, starts_l, ids_l, starts_w, ids_w, 0, cut) if a else (0, 0)
         at_r = _settled(data, starts_r, ids_r, starts_w, ids_w, cut, hi) if b < len(ids_r) else (len(ids_r), len(ids_w))
@@ -176,7 +251,7 @@ def _settled(data, starts, ids, starts_w, ids_w, lo: int, hi: int):
 def join_tree(enc: Encoder, pieces: list[tuple[bytes, np.ndarray]]) -> np.ndarray:
     """Ids of the whole text from its encoded pieces, in order."""
     if not pieces:
-        return np.zeros(0, dtype="<u4")
+        return np.zeros(0, dtype=np.int32)
     while len(pieces) > 1:
         paired = [join_two(enc, pieces[i], pieces[i + 1]) for i in range(0, len(pieces) - 1, 2)]
         pieces = paired + pieces[len(pieces) - len(pieces) % 2 :]
@@ -189,20 +264,9 @@ def read_spec(path: str) -> str:
         return file.read()
 
 
-def id_lists(encoded: list[bytes]) -> pa.Array:
+def id_lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Arrow lists of 32-bit ids."""
-    flat = np.frombuffer(b"".join(encoded), dtype="<i4")
-    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in encoded])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-
-def encode_column(spec: str) -> Callable[[pa.Array], list[bytes]]:
-    """A function from a column of texts to ids, for use within tasks."""
-
-    def run(column) -> list[bytes]:
-        return encoder(spec).encode([x or "" for x in column.to_pylist()])
-
-    return run
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
 def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, decoded: bool = False) -> DataFrame:
@@ -218,7 +282,7 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
     schema = "doc_id long, ids array<int>"
 
     def short(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = id_lists(encode_column(spec.value)(batch.column("text")))
+        ids = id_lists(*encoder(spec.value).encode(batch.column("text")))
         out = pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
         return _with_text(out, spec.value) if decoded else out
 
@@ -232,23 +296,22 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, (_, t) in enumerate(names)], names=[n for n, _ in names])
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = pa.array(encode_column(spec.value)(batch.column("text")), pa.binary())
-        return batch.append_column("ids", ids)
+        return batch.append_column("ids", id_lists(*encoder(spec.value).encode(batch.column("text"))))
 
     def whole(table: pa.Table) -> pa.Table:
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("no", "copies", "text", "ids"))))
-        pieces = [(text.encode(), np.frombuffer(ids, dtype="<u4")) for _, _, text, ids in rows]
-        ids = join_tree(encoder(spec.value), pieces).astype("<u4").tobytes()
+        pieces = [(text.encode(), np.array(ids, dtype=np.int32)) for _, _, text, ids in rows]
+        ids = join_tree(encoder(spec.value), pieces)
         copies = rows[0][1]
         doc = pa.array(table.column("doc_id").to_pylist()[:1] * copies, pa.int64())
-        return pa.Table.from_arrays([doc, id_lists([ids] * copies)], names=["doc_id", "ids"])
+        return pa.Table.from_arrays([doc, id_lists(np.tile(ids, copies), np.arange(copies + 1) * len(ids))], names=["doc_id", "ids"])
 
     few = map_batches(rows.where(~is_long), short, schema + ", decoded string" * decoded)
     key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit("key"), F.col("text")).alias("b")]
     pieces = map_batches(rows.where(is_long).select("doc_id", *key, "text"), cut, "doc_id long, a long, b long, no int, text string")
     # Equal rows meet as one; their number is kept.
     pieces = pieces.groupBy("doc_id", "a", "b", "no").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids binary")
+    encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids array<int>")
     many = encoded.groupBy("doc_id", "a", "b").applyInArrow(whole, schema)
     return few.unionByName(decode(many, tokenizer) if decoded else many)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridelake.llm.bpe import encode_column, id_lists, read_spec
+from ridelake.llm.bpe import encoder, id_lists, read_spec
 from ridelake.llm.common import prepare_workers, id_and_text, map_batches
 from ridelake.session import stage_path
 
@@ -60,15 +60,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     def run(batches):
         from pyspark import TaskContext
 
-        end, slice_no, first = np.array([end_id], dtype="<u4").tobytes(), TaskContext.get().partitionId(), 0
-        encode = encode_column(spec.value)
+        slice_no, first = TaskContext.get().partitionId(), 0
         for batch in batches:
-            encoded = [ids + end for ids in encode(batch.column("text"))]
-            sizes = np.array([len(x) // 4 for x in encoded], dtype=np.int64)
-            firsts = first + np.cumsum(sizes) - sizes
-            first += int(sizes.sum())
-            slices = np.full(len(encoded), slice_no, dtype=np.int32)
-            columns = [batch.column("doc_id"), id_lists(encoded), pa.array(sizes), pa.array(slices), pa.array(firsts)]
+            ids, offsets = encoder(spec.value).encode(batch.column("text"))
+            ids, offsets = np.insert(ids, offsets[1:], end_id), offsets + np.arange(len(offsets))
+            slices = np.full(batch.num_rows, slice_no, dtype=np.int32)
+            columns = [batch.column("doc_id"), id_lists(ids, offsets), pa.array(np.diff(offsets)), pa.array(slices), pa.array(first + offsets[:-1])]
+            first += int(offsets[-1])
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "slice", "first"])
 
     rows.mapInArrow(run, SCHEMA).write.options(**OPTIONS).orc(path)
