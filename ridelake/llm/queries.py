@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def tokenizer_path() -> str:
@@ -30,6 +31,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.lines import remove_repeated_lines
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("n_lines"))
+    return remove_repeated_lines(docs).select("doc_id", F.col("n_lines").cast("long"), "text")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.bpe import digests
 
@@ -39,7 +47,39 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
+    "op3_lines": op3_lines,
     "op10_bpe": op10_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_lines": """
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(len(string_split(text, chr(10))))) AS pos
+            FROM documents
+        ), windows AS (
+            SELECT doc_id, pos,
+                   [line, lead(line, 1) OVER w, lead(line, 2) OVER w] AS three,
+                   lead(pos, 2) OVER w AS last
+            FROM lines
+            WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+        ), placed AS (
+            SELECT *, row_number() OVER w AS n,
+                   first_value(doc_id) OVER w AS first_doc, first_value(pos) OVER w AS first_pos
+            FROM windows
+            WHERE last IS NOT NULL
+            WINDOW w AS (PARTITION BY three ORDER BY doc_id, pos)
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(
+                CASE WHEN doc_id = first_doc THEN greatest(pos, first_pos + 3) ELSE pos END, last + 1)) AS pos
+            FROM placed
+            WHERE n > 1
+        ), kept AS (
+            SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
+            FROM lines ANTI JOIN gone USING (doc_id, pos)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(string_split(d.text, chr(10))) AS BIGINT) AS n_lines, coalesce(kept.text, '') AS text
+        FROM documents d LEFT JOIN kept USING (doc_id)
+    """,
+}
