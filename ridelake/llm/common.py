@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,3 +68,52 @@ def text_key(column="text"):
 def in_fold(doc_id, modulus: int, remainder: int):
     """Whether crc32 of the id's decimal digits leaves ``remainder``; false for null ids."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+class Words:
+    """The words of a batch of texts, each distinct word once.
+
+    ``distinct``: the words; ``codes``: for each word of the texts its place there;
+    ``offsets``: where each text's words begin in ``codes`` (and the last's end).
+    """
+
+    def __init__(self, texts: pa.Array, between: str, lower: bool = False):
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        if lower:
+            texts = pc.utf8_lower(texts)
+        lists = pc.split_pattern_regex(texts, between)
+        table = lists.values.dictionary_encode()
+        distinct = table.dictionary.to_numpy(zero_copy_only=False)
+        codes = table.indices.to_numpy()
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        empty = np.flatnonzero(distinct == "")
+        if len(empty):  # separators at the ends of a text
+            real = codes != empty[0]
+            offsets = np.concatenate([[0], np.cumsum(real)])[offsets]
+            codes = codes[real]
+        self.distinct, self.codes, self.offsets = distinct, codes, offsets
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For each text the sum of ``values``, one row for each of its words."""
+        total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
+        return total[self.offsets[1:]] - total[self.offsets[:-1]]
+
+    def text_of(self) -> np.ndarray:
+        """For each word the number of its text."""
+        return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
+
+
+def sampled(labels: DataFrame, column: str, most: int) -> DataFrame:
+    """About ``most`` rows at the most of each value of ``column``, chosen by a hash of all
+    columns; all rows where there are fewer. Only the 200 most frequent values count."""
+    counts = {r[0]: r[1] for r in labels.where(F.col(column).isNotNull()).groupBy(column).count().orderBy(F.desc("count"), column).limit(200).collect()}
+    if not counts:
+        return labels.where(F.lit(False))
+    share = F.lit(None)
+    for value, n in counts.items():
+        share = F.when(F.col(column) == value, F.lit(min(1.0, most / n))).otherwise(share)
+    chance = F.pmod(F.xxhash64(F.lit("sample"), *labels.columns), F.lit(1 << 30)) / float(1 << 30)
+    return labels.where(chance < share)

@@ -38,6 +38,12 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_lines(docs).select("doc_id", F.col("n_lines").cast("long"), "text")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.language import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.bpe import digests
 
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op3_lines": op3_lines,
+    "op6_language": op6_language,
     "op10_bpe": op10_bpe,
 }
 
