@@ -38,6 +38,12 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_lines(docs).select("doc_id", F.col("n_lines").cast("long"), "text")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.quality import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.language import identify
 
@@ -54,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op3_lines": op3_lines,
+    "op4_quality": op4_quality,
     "op6_language": op6_language,
     "op10_bpe": op10_bpe,
 }
