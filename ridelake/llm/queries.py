@@ -44,6 +44,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.neighbours import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.language import identify
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_lines": op3_lines,
     "op4_quality": op4_quality,
+    "op5_neighbours": op5_neighbours,
     "op6_language": op6_language,
     "op10_bpe": op10_bpe,
 }
