@@ -35,7 +35,7 @@ from ridelake.llm.common import id_and_text, map_batches
 
 PIECE_CHARS = 32768
 # Words a worker remembers; when there are more, the half it met most often stays.
-TABLE_WORDS = 800_000
+TABLE_WORDS = 600_000
 # Words the library is given in one string.
 TOGETHER = 64
 # Letters on both sides of a place within a run, and tokens that have to agree there.
@@ -279,7 +279,7 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
     rows = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
     is_long = F.length("text") > piece_chars
-    schema = "doc_id long, ids array<int>"
+    schema = "doc_id long, ids array<int>" + ", decoded string" * decoded
 
     def short(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = id_lists(*encoder(spec.value).encode(batch.column("text")))
@@ -304,16 +304,18 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
         ids = join_tree(encoder(spec.value), pieces)
         copies = rows[0][1]
         doc = pa.array(table.column("doc_id").to_pylist()[:1] * copies, pa.int64())
-        return pa.Table.from_arrays([doc, id_lists(np.tile(ids, copies), np.arange(copies + 1) * len(ids))], names=["doc_id", "ids"])
+        lists = id_lists(np.tile(ids, copies), np.arange(copies + 1) * len(ids))
+        out = pa.RecordBatch.from_arrays([doc, lists], names=["doc_id", "ids"])
+        return pa.Table.from_batches([_with_text(out, spec.value) if decoded else out])
 
-    few = map_batches(rows.where(~is_long), short, schema + ", decoded string" * decoded)
+    few = map_batches(rows.where(~is_long), short, schema)
     key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit("key"), F.col("text")).alias("b")]
     pieces = map_batches(rows.where(is_long).select("doc_id", *key, "text"), cut, "doc_id long, a long, b long, no int, text string")
     # Equal rows meet as one; their number is kept.
     pieces = pieces.groupBy("doc_id", "a", "b", "no").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids array<int>")
     many = encoded.groupBy("doc_id", "a", "b").applyInArrow(whole, schema)
-    return few.unionByName(decode(many, tokenizer) if decoded else many)
+    return few.unionByName(many)
 
 
 def _with_text(batch: pa.RecordBatch, spec: str) -> pa.RecordBatch:
