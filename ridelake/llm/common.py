@@ -65,6 +65,12 @@ def text_key(column="text"):
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("key"), text, F.length(text)).alias("b"))
 
 
+def with_value(value, use):
+    """``use(value)`` with ``value`` evaluated once: within a lambda, a column expression
+    would be evaluated for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def in_fold(doc_id, modulus: int, remainder: int):
     """Whether crc32 of the id's decimal digits leaves ``remainder``; false for null ids."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

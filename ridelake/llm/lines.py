@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import free_name
+from ridelake.llm.common import free_name, with_value
 from ridelake.session import stage
 
 WINDOW = 3
@@ -42,14 +42,18 @@ def _keys(docs: DataFrame):
 def windows(docs: DataFrame) -> DataFrame:
     """(late, doc_id, ka, kb, at, ha, hb): each window, with its place and its hash."""
     doc_id, ka, kb = _keys(docs)
-    rows = docs.select(doc_id.alias("doc_id"), ka.alias("ka"), kb.alias("kb"), _lines(F.col("text")).alias("lines"))
-    rows = rows.where(F.size("lines") >= WINDOW)
 
-    def hashes(lines, seed):
+    def hashes(lines):
         starts = F.sequence(F.lit(0), F.size(lines) - WINDOW)
-        return F.transform(starts, lambda i: F.xxhash64(F.lit(seed), *(F.get(lines, i + k) for k in range(WINDOW))))
 
-    rows = rows.select("doc_id", "ka", "kb", F.posexplode(F.arrays_zip(hashes(F.col("lines"), 1).alias("a"), hashes(F.col("lines"), 2).alias("b"))).alias("at", "h"))
+        def of(i):
+            three = [F.get(lines, i + k) for k in range(WINDOW)]
+            return F.struct(F.xxhash64(F.lit(1), *three).alias("a"), F.xxhash64(F.lit(2), *three).alias("b"))
+
+        return F.when(F.size(lines) >= WINDOW, F.transform(starts, of))
+
+    found = with_value(_lines(F.col("text")), hashes)
+    rows = docs.select(doc_id.alias("doc_id"), ka.alias("ka"), kb.alias("kb"), F.posexplode(found).alias("at", "h"))
     return rows.select(F.col("doc_id").isNull().alias("late"), "doc_id", "ka", "kb", "at", F.col("h.a").alias("ha"), F.col("h.b").alias("hb"))
 
 
@@ -74,9 +78,13 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumns({names["ka"]: ka, names["kb"]: kb})
     gone = marked_lines(docs).withColumnsRenamed(names)
     joined = keyed.join(gone, [names["ka"], names["kb"]], "left")
-    lines, gone = _lines(F.col("text")), F.col(names["gone"])
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    text = F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    gone = F.col(names["gone"])
+
+    def left(lines):
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    text = F.when(gone.isNull(), F.col("text")).otherwise(with_value(_lines(F.col("text")), left))
     changed = {"text": text}
     if "n_chars" in docs.columns:
         counted = F.when(gone.isNull(), F.col("n_chars")).otherwise(F.length(text))

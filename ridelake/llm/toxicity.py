@@ -33,14 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import Words, id_and_text, in_fold, map_batches, sampled
+from ridelake.llm.common import Words, id_and_text, in_fold, map_batches, sampled, with_value
 from ridelake.llm.quality import labels_of
 from ridelake.session import stage
 
 MOST = 20_000
 STEMS, FUZZY = (4, 5, 6), 5
-# Toxic texts a term is in at least; harmless ones among the texts it is in at most.
-LEAST, IMPURE, TERMS = 5, 0.02, 2000
+# Toxic texts a term is in at least, and as a share of them (copies of one text repeat its
+# rare words); its rate in harmless texts at most, as a share of that in toxic ones.
+LEAST, LEAST_SHARE, IMPURE, TERMS = 5, 0.02, 0.02, 2000
 THRESHOLD = 0.7
 BETWEEN = r"[^\p{L}\p{N}@$]+"
 # Characters around a hit that are looked at, and how much a quoted hit counts.
@@ -224,6 +225,18 @@ def _scorer(model: Model) -> Scorer:
     return _SCORERS[model.name]
 
 
+def _without_copies(sample: DataFrame) -> DataFrame:
+    """One text of each label and smallest hash of three words in a row: near copies share
+    that hash, and one text's rare words would else count as often as it has copies."""
+
+    def smallest(words):
+        triples = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(3))))
+        return F.when(F.size(words) >= 3, F.array_min(triples)).otherwise(F.xxhash64("text"))
+
+    least = with_value(F.split("text", " "), smallest)
+    return sample.withColumn("least", least).dropDuplicates(["y", "least"]).drop("least")
+
+
 def _item_counts(sample: DataFrame) -> DataFrame:
     """(item, stem, toxic, harmless, seen): texts of the sample with each word and word
     beginning; seen: the harmless ones in the first half of the sample."""
@@ -252,7 +265,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     chosen = stage(sampled(labels, "y", most), "toxic-sample")
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
     # At most about 2 x ``most`` rows of two numbers, whatever the number of labels.
-    sample = stage(docs.join(F.broadcast(chosen), "doc_id").select("text", "y", half.alias("half")).where("text IS NOT NULL"), "toxic-texts")
+    sample = stage(docs.join(F.broadcast(chosen), "doc_id").select("text", "y", half.alias("half")).where("text IS NOT NULL"), "toxic-copies")
+    sample = stage(_without_copies(sample), "toxic-texts")
     n = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
         share = n.get(1, 0) / max(1, sum(n.values()))
@@ -261,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     # Rates allow for unequal numbers of toxic and harmless texts in the sample.
     rate = F.col("toxic") / n[1]
     other = F.col("harmless") / n[0]
-    sure = counts.where((F.col("toxic") >= LEAST) & (other <= IMPURE * rate))
+    sure = counts.where((F.col("toxic") >= max(LEAST, LEAST_SHARE * n[1])) & (other <= IMPURE * rate))
     top = sure.orderBy(F.desc("toxic"), "item", "stem").limit(TERMS).collect()
     stems = {r.item for r in top if r.stem}
     stems = sorted(x for x in stems if not any(x[:k] in stems for k in range(1, len(x))))
