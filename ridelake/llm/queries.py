@@ -56,6 +56,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.decontaminate import report
+
+    return report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.toxicity import score_toxicity
 
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_neighbours": op5_neighbours,
     "op6_language": op6_language,
+    "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op10_bpe": op10_bpe,
 }
