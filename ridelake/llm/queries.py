@@ -68,6 +68,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.pii import digests, find
+
+    return digests(find(_table(spark, sf_dir, "documents")))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.bpe import digests
 
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language": op6_language,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
+    "op9_personal_data": op9_personal_data,
     "op10_bpe": op10_bpe,
 }
 
