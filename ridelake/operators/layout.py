@@ -39,6 +39,34 @@ def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace an unpartitioned table as a whole, or not at all.
+
+    A new folder ``version=N`` is written beside the old one and counts once it is
+    complete, so a failed job leaves the table as it was. The version before the new one
+    stays for those who are still reading it. ``df`` may be worked out from the table.
+    """
+    spark = df.sparkSession
+    versions = _versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/version={versions[-1] + 1 if versions else 0}")
+    drop_partitions(spark, path, "version", [str(v) for v in versions[:-1]])
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Folder of the last complete version of a table, or ``path`` if it has none."""
+    versions = _versions(spark, path)
+    return f"{path}/version={versions[-1]}" if versions else path
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    found = []
+    for value in partition_values(spark, path, "version"):
+        fs, done = filesystem(spark, f"{path}/version={value}/_SUCCESS")
+        if fs.exists(done):
+            found.append(int(value))
+    return sorted(found)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Partition folders of a table, from the file system alone."""
     fs, root = filesystem(spark, path)

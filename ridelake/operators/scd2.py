@@ -24,6 +24,11 @@ def first_snapshot(current: DataFrame, key: str, updated_at: str = "updated_at")
     )
 
 
+def _same(old: Column, new: Column, tolerance: float | None) -> Column:
+    equal = old.eqNullSafe(new)
+    return equal if tolerance is None else equal | F.coalesce(F.abs(old - new) <= tolerance, F.lit(False))
+
+
 def apply_snapshot(
     history: DataFrame,
     current: DataFrame,
@@ -33,10 +38,12 @@ def apply_snapshot(
     updated_at: str = "updated_at",
     strategy: str = "check",
     close_missing: bool = True,
+    tolerance: dict[str, float] | None = None,
 ) -> DataFrame:
     """History after one more run over ``current``.
 
-    strategy 'check' opens a new version when a tracked attribute differs;
+    strategy 'check' opens a new version when a tracked attribute differs, by more than
+    its ``tolerance`` if it has one; an attribute within it keeps the stored value;
     'timestamp' when ``updated_at`` is newer, so a source stamped on every run gets
     a new version every run. A version closes at the moment the next one opens,
     or at ``run_at`` when its key has disappeared and ``close_missing`` is set.
@@ -56,7 +63,7 @@ def apply_snapshot(
     if strategy == "timestamp":
         changed = F.col(f"new.{updated_at}") > F.col("old.version_updated_at")
     elif strategy == "check":
-        same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in tracked]
+        same = [_same(F.col(f"old.{c}"), F.col(f"new.{c}"), (tolerance or {}).get(c)) for c in tracked]
         changed = ~reduce(lambda a, b: a & b, same)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")

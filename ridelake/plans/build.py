@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.operators.layout import read_table, write_table
+from ridelake.operators.layout import current_path, read_table, replace_table, write_table
 from ridelake.operators.scd2 import first_snapshot
 from ridelake.plans import daily, demand, dimensions, facts, staging, supply, views
 from ridelake.session import configure, stage
@@ -76,15 +76,22 @@ class Models:
         models = cls(spark, feeds, now, root)
         for name, (layer, partition_by, _) in TABLES.items():
             if layer != "staging" and name != "int_station_metrics":
-                table = spark.read.parquet(models.path(name))
+                table = spark.read.parquet(models.data_path(name))
                 if partition_by:
                     kind = PARTITION_TYPES[partition_by]
                     table = table.withColumn(partition_by, F.col(partition_by).cast(kind))
                 models.__dict__[name] = table
+        models.__dict__["station_places"] = spark.read.parquet(models.data_path("station_places"))
         return models
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{TABLES[name][0]}/{name}"
+        layer = TABLES[name][0] if name in TABLES else "state"
+        return f"{self.root}/{layer}/{name}"
+
+    def data_path(self, name: str) -> str:
+        """Folder of the files: tables without partitions are replaced as a whole, and
+        lie in a folder for each version."""
+        return current_path(self.spark, self.path(name))
 
     def _keep(self, name: str, df: DataFrame, small: bool = False) -> DataFrame:
         if self.root is None:
@@ -92,8 +99,11 @@ class Models:
         layer, partition_by, cluster_by = TABLES[name]
         if layer == "staging":  # views over the raw tables
             return df
-        write_table(df, self.path(name), partition_by, cluster_by)
-        return read_table(self.spark, self.path(name), df)
+        if partition_by:
+            write_table(df, self.path(name), partition_by, cluster_by)
+        else:
+            replace_table(df, self.path(name))
+        return read_table(self.spark, self.data_path(name), df)
 
     @cached_property
     def stg_trips(self) -> DataFrame:
@@ -135,9 +145,19 @@ class Models:
         fact = daily.station_daily_fact(self.int_station_weather_daily, self.int_trip_station_daily)
         return self._keep("int_station_daily_fact", fact)
 
+    @cached_property
+    def station_places(self) -> DataFrame:
+        """Names and places of stations so far. Kept, so that a refresh folds in those of
+        new trips instead of reading all trips again."""
+        places = dimensions.station_places(self.stg_trips)
+        if self.root is None:
+            return places
+        replace_table(places, self.path("station_places"))
+        return read_table(self.spark, self.data_path("station_places"), places)
+
     @cached_property
     def snap_station(self) -> DataFrame:
-        master = dimensions.station_master(self.stg_trips, self.now)
+        master = dimensions.master_of(self.station_places, self.now)
         return self._keep("snap_station", first_snapshot(master, "station_id"))
 
     @cached_property

@@ -166,3 +166,21 @@ def station_daily_fact_since(
     history = last_rows(before, "station_id", "date_day", LOOK_BACK_ROWS)
     computed = with_trend(with_history(base.unionByName(history, allowMissingColumns=True)))
     return computed.where(F.col("date_day") >= first_day)
+
+
+def station_daily_fact_changed(
+    supply: DataFrame, demand: DataFrame, stored: DataFrame, days: Column, first_day: Column
+) -> DataFrame:
+    """The fact from ``first_day`` on, after the inputs of some days have changed.
+
+    ``supply`` and ``demand`` hold the changed days, whole; ``days`` tells whether
+    ``date_day`` is one of them, and ``first_day`` is the first. The measures of other days
+    are the stored ones; trends are worked out again, as frames reach over changed days.
+    """
+    base = with_balance(supply_demand(supply, demand))
+    kept = stored.where(~days & (F.col("date_day") >= first_day)).select(*base.columns)
+    used = {"station_id", "date_day", *[source for source, _ in (*ROLLING.values(), *LAGS.values())]}
+    before = stored.where(F.col("date_day") < first_day).select(*[c for c in base.columns if c in used])
+    history = last_rows(before, "station_id", "date_day", LOOK_BACK_ROWS)
+    rows = base.unionByName(kept).unionByName(history, allowMissingColumns=True)
+    return with_trend(with_history(rows)).where(F.col("date_day") >= first_day)

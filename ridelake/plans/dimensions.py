@@ -18,20 +18,31 @@ from ridelake.operators.aggregates import modal_values
 from ridelake.plans.staging import trip_ends
 
 TRACKED = ["station_name", "latitude", "longitude", "capacity", "region", "is_active"]
+# Degrees (about 100 m) below which a place counts as the same: positions are measured.
+MOVED = {"latitude": 0.001, "longitude": 0.001}
 
 
-def station_master(trips: DataFrame, updated_at: dt.datetime) -> DataFrame:
-    """Every station named by a trip end, with its most frequent name and place.
-
-    Exactly one row per id: two rows for a renamed station would later double its
-    trips. Trips carry neither capacity nor region.
-    """
-    places = (
+def station_places(trips: DataFrame) -> DataFrame:
+    """Every distinct name and place a trip end gives a station."""
+    return (
         trip_ends(trips, ["station_name", "latitude", "longitude"])
         .select("station_id", "station_name", "latitude", "longitude")
         .where("station_name is not null")
         .distinct()
     )
+
+
+def station_master(trips: DataFrame, updated_at: dt.datetime) -> DataFrame:
+    """Every station named by a trip end, with its most frequent name and place."""
+    return master_of(station_places(trips), updated_at)
+
+
+def master_of(places: DataFrame, updated_at: dt.datetime) -> DataFrame:
+    """Stations of distinct places.
+
+    Exactly one row per id: two rows for a renamed station would later double its
+    trips. Trips carry neither capacity nor region.
+    """
     stations = modal_values(places, ["station_id"], ["station_name"], ["latitude", "longitude"])
     return stations.select(
         "station_id",
@@ -53,9 +64,10 @@ def borough(latitude: Column, longitude: Column) -> Column:
 
 
 def dim_station(history: DataFrame, created_at: dt.datetime) -> DataFrame:
-    """Current station versions and the row that unmatched facts point to."""
+    """All station versions and the row that unmatched facts point to. Facts keep the key
+    of the version that was valid when they happened."""
     created = utc(created_at).cast("timestamp_ntz")
-    current = history.where("valid_to is null").select(
+    current = history.select(
         surrogate_key(F.col("station_id"), instant_text(F.col("valid_from"))).alias("station_key"),
         "station_id",
         "station_name",

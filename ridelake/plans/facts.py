@@ -11,7 +11,7 @@ from ridelake.functions.calendar import date_key, utc
 from ridelake.functions.keys import surrogate_key, unknown_station_key
 from ridelake.functions.numeric import elapsed, great_circle_km
 from ridelake.operators.aggregates import sql_columns
-from ridelake.operators.joins import lookup
+from ridelake.operators.joins import lookup, lookup_version
 from ridelake.plans.dimensions import user_type_keys
 
 SHORT_TRIP_BELOW_MINUTES = 5
@@ -23,10 +23,11 @@ def fct_trips(trips: DataFrame, stations: DataFrame, user_types: DataFrame, load
 
     A date key is the date as a number and a time key is the hour, in the dimension
     as well as in the fallback for a missing dimension row, so neither needs a join.
-    Stations are looked up once per role; an unmatched one gets the unknown key.
+    Stations are looked up once per role, in the version valid at that end of the trip; an
+    unmatched one gets the unknown key.
     """
-    keyed = lookup(trips, stations, "station_id", "start_station_id", {"station_key": "_from"})
-    keyed = lookup(keyed, stations, "station_id", "end_station_id", {"station_key": "_to"})
+    keyed = lookup_version(trips, stations, "station_id", "start_station_id", F.col("started_at"), {"station_key": "_from"})
+    keyed = lookup_version(keyed, stations, "station_id", "end_station_id", F.col("ended_at"), {"station_key": "_to"})
     # Three literal rows.
     keyed = lookup(
         keyed, F.broadcast(user_types), "user_type_id", "member_casual", {"user_type_key": "_user"}
@@ -151,8 +152,7 @@ HIGHEST = [
 
 def fct_station_day(daily: DataFrame, stations: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """Station-days under their dimension keys, one row per (station key, day)."""
-    current = stations.where("is_current")
-    keyed = lookup(daily, current, "station_id", "station_id", {"station_key": "_key"})
+    keyed = lookup_version(daily, stations, "station_id", "station_id", F.col("date_day"), {"station_key": "_key"})
     keyed = keyed.withColumn("station_key", F.coalesce("_key", unknown_station_key()))
     keyed = keyed.withColumn("date_key", date_key(F.col("date_day")))
     return keyed.groupBy("station_key", "date_key", "date_day").agg(

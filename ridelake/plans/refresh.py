@@ -4,77 +4,102 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.functions.calendar import utc
 from ridelake.operators import incremental, scd2
-from ridelake.operators.layout import write_table
-from ridelake.plans import daily, dimensions, facts, supply
+from ridelake.operators.layout import replace_table, write_table
+from ridelake.plans import daily, dimensions, facts, staging, supply
 from ridelake.plans.build import TABLES, Models
 from ridelake.plans.demand import demand_daily
 from ridelake.session import stage
 from ridelake.sources.feeds import Feeds
 
-DEFAULT_LOOK_BACK = dt.timedelta(days=3)
-
 
 def _replace(m: Models, name: str, rows: DataFrame) -> None:
-    """Replace the partitions (or the whole table) that ``rows`` fills. Staged first,
-    because ``rows`` is worked out from the table it replaces."""
+    """Replace the partitions that ``rows`` fills, or an unpartitioned table as a whole.
+    Staged first where ``rows`` is worked out from the partitions it replaces."""
     _, partition_by, cluster_by = TABLES[name]
-    write_table(stage(rows, name), m.path(name), partition_by, cluster_by)
-    m.spark.catalog.refreshByPath(m.path(name))
-
-
-def refresh(
-    spark: SparkSession,
-    feeds: Feeds,
-    now: dt.datetime,
-    root: str,
-    look_back: dt.timedelta = DEFAULT_LOOK_BACK,
-) -> Models:
-    """Bring the tables under ``root`` up to the given feeds, and open them.
-
-    Stations are snapshotted by change, so the keys of unchanged stations, and of
-    the facts loaded with them, stay. Trips after the last loaded start, less
-    ``look_back`` for late rows, are merged by key. Station-days are worked out again
-    from the first day of that span, with the stored rows before it as history: the
-    result equals a full refresh as long as no row is later than ``look_back``.
+    if partition_by:
+        write_table(stage(rows, name), m.path(name), partition_by, cluster_by)
+        m.spark.catalog.refreshByPath(m.path(name))
+    else:
+        replace_table(rows, m.path(name))
+
+
+def changed_days(arrived: Feeds) -> list[dt.date]:
+    """Days that rows of any feed belong to; a trip to the days of both its ends. One
+    value a day goes to the driver, so that scans below prune by literals."""
+    trips = staging.stg_trips(arrived.trips)
+    dated = [
+        trips.select(F.explode(F.array(F.to_date("started_at"), F.to_date("ended_at"))).alias("day")),
+        staging.stg_station_status(arrived.status).select(F.to_date("last_reported").alias("day")),
+        arrived.weather.select(F.to_date("weather_date").alias("day")).where("day IS NOT NULL"),
+    ]
+    days = dated[0].unionByName(dated[1]).unionByName(dated[2]).distinct()
+    return sorted(row[0] for row in days.collect())
+
+
+def _on(days: list[dt.date], column: Column) -> Column:
+    return column.isin(days)
+
+
+def refresh(spark: SparkSession, feeds: Feeds, arrived: Feeds, now: dt.datetime, root: str) -> Models:
+    """Bring the tables under ``root`` up to ``feeds``, and open them.
+
+    ``arrived`` holds the rows of ``feeds`` that came since the last run, of whatever age:
+    the slice is by load, not by time of the event, so feeds may lag behind each other and
+    old months may be filled in. Arrived trips are merged by key into the days they start
+    on. Measures of the days that arrived rows belong to are worked out again from all
+    rows of those days; trends are, from the first such day on, since their frames reach
+    over it. The result is that of a full build.
+
+    Stations are snapshotted by change: facts keep the version valid when they happened,
+    and the dimension keeps all versions.
     """
     m = Models.opened(spark, feeds, now, root)
+    fresh_trips = staging.stg_trips(arrived.trips)
 
-    master = dimensions.station_master(m.stg_trips, now)
-    tracked = dimensions.TRACKED
-    history = scd2.apply_snapshot(m.snap_station, master, "station_id", tracked, utc(now))
+    places = m.station_places.unionByName(dimensions.station_places(fresh_trips)).distinct()
+    replace_table(places, m.path("station_places"))
+    m = Models.opened(spark, feeds, now, root)
+    master = dimensions.master_of(m.station_places, now)
+    history = scd2.apply_snapshot(
+        m.snap_station, master, "station_id", dimensions.TRACKED, utc(now), tolerance=dimensions.MOVED
+    )
     _replace(m, "snap_station", history)
     m = Models.opened(spark, feeds, now, root)
     _replace(m, "dim_station", dimensions.dim_station(m.snap_station, now))
     m = Models.opened(spark, feeds, now, root)
 
-    mark = incremental.watermark(m.fct_trips, "started_at")
-    fresh = incremental.newer_than(m.stg_trips, "started_at", mark, look_back)
-    loaded = facts.fct_trips(fresh, m.dim_station, m.dim_user_type, now)
+    loaded = facts.fct_trips(fresh_trips, m.dim_station, m.dim_user_type, now)
     _, partition_by, cluster_by = TABLES["fct_trips"]
     incremental.upsert(
-        m.fct_trips, m.path("fct_trips"), loaded, ["trip_key"], partition_by, cluster_by=cluster_by
+        m.fct_trips,
+        m.path("fct_trips"),
+        loaded,
+        ["trip_key"],
+        partition_by,
+        cluster_by=cluster_by,
+        search_all=False,  # the day a trip starts on does not change
     )
 
-    last_day = incremental.watermark(m.int_station_daily_fact, "date_day")
-    since = F.lit(dt.date.min if last_day is None else last_day - look_back)
-    reports = m.stg_station_status.where(F.to_date("last_reported") >= since)
-    # A trip counts for the day it ends on as well, so trips are cut by their end.
-    rides = m.stg_trips.where(F.to_date("ended_at") >= since)
-    supplied = supply.with_weather(
-        supply.station_daily(supply.station_metrics(reports)), m.weather_days
-    )
-    stored = m.int_station_daily_fact
-    days = daily.station_daily_fact_since(supplied, demand_daily(rides), stored, since)
-    _replace(m, "int_station_daily_fact", days)
-    m = Models.opened(spark, feeds, now, root)
-
-    recent = m.int_station_daily_fact.where(F.col("date_day") >= since)
-    _replace(m, "fct_station_day", facts.fct_station_day(recent, m.dim_station, now))
-    bounds = dimensions.date_bounds(m.int_station_daily_fact)
-    _replace(m, "dim_date", dimensions.dim_date(bounds, now.date(), now))
+    days = changed_days(arrived)
+    if days:
+        first = F.lit(days[0])
+        reports = m.stg_station_status.where(_on(days, F.to_date("last_reported")))
+        rides = m.stg_trips.where(_on(days, F.to_date("started_at")) | _on(days, F.to_date("ended_at")))
+        changed = _on(days, F.col("date_day"))
+        supplied = supply.with_weather(supply.station_daily(supply.station_metrics(reports)), m.weather_days)
+        stored = m.int_station_daily_fact
+        rows = daily.station_daily_fact_changed(
+            supplied.where(changed), demand_daily(rides).where(changed), stored, changed, first
+        )
+        _replace(m, "int_station_daily_fact", rows)
+        m = Models.opened(spark, feeds, now, root)
+        recent = m.int_station_daily_fact.where(F.col("date_day") >= first)
+        _replace(m, "fct_station_day", facts.fct_station_day(recent, m.dim_station, now))
+        bounds = dimensions.date_bounds(m.int_station_daily_fact)
+        _replace(m, "dim_date", dimensions.dim_date(bounds, now.date(), now))
     return Models.opened(spark, feeds, now, root)

@@ -19,18 +19,6 @@ from ridelake.sources.feeds import NOW, NUMBERED_STATUS_SQL, Feeds, event_feeds,
 
 STATIONS_PER_POLL = 32
 CUTOFF = dt.date(2024, 1, 20)
-REFRESHED = [
-    "station_key",
-    "date_key",
-    "trips_started",
-    "trips_ended",
-    "avg_bikes_available",
-    "avg_trips_started_28d",
-    "avg_occupancy_ratio_7d",
-    "trips_started_same_day_last_week",
-    "demand_trend",
-    "weather_condition",
-]
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
@@ -201,33 +189,84 @@ def run_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
-def _refreshed(spark: SparkSession, sf_dir: str) -> Models:
-    """A warehouse built from the feeds before the cutoff and refreshed with the rest;
-    once per session and input, like ``warehouse``."""
-    cached = (spark.sparkContext.applicationId, f"{sf_dir}, refreshed")
-    if cached in _WAREHOUSES:
-        return _WAREHOUSES[cached]
-    feeds = event_feeds(spark, sf_dir)
-    cutoff = F.lit(CUTOFF)
-    early = Feeds(
-        trips=feeds.trips.where(F.col("started_at") < cutoff),
-        weather=feeds.weather,
-        status=feeds.status.where(F.col("last_reported") < cutoff),
-    )
-    root = stage_path(spark, "refreshed")
-    Models(spark, early, dt.datetime.combine(CUTOFF, dt.time()), root).build()
-    _WAREHOUSES[cached] = refresh(spark, feeds, NOW, root)
+def _refreshed(spark: SparkSession, sf_dir: str, name: str, late: dict[str, Column], first_run: dt.datetime = NOW, feeds: Feeds | None = None) -> Models:
+    """A warehouse built without the ``late`` rows of each feed, then refreshed with them;
+    once per session, input and name, like ``warehouse``."""
+    cached = (spark.sparkContext.applicationId, f"{sf_dir}, {name}")
+    if cached not in _WAREHOUSES:
+        feeds = feeds or event_feeds(spark, sf_dir)
+        tables = {"trips": feeds.trips, "weather": feeds.weather, "status": feeds.status}
+        none = F.lit(False)
+        early = Feeds(**{k: t.where(~late.get(k, none)) for k, t in tables.items()})
+        arrived = Feeds(**{k: t.where(late.get(k, none)) for k, t in tables.items()})
+        root = stage_path(spark, "refreshed")
+        Models(spark, early, first_run, root).build()
+        _WAREHOUSES[cached] = refresh(spark, feeds, arrived, NOW, root)
     return _WAREHOUSES[cached]
 
 
+def _in_step(spark: SparkSession, sf_dir: str) -> Models:
+    """All feeds end at the cutoff in the first run."""
+    late = {"trips": F.col("started_at") >= F.lit(CUTOFF), "status": F.col("last_reported") >= F.lit(CUTOFF)}
+    return _refreshed(spark, sf_dir, "in step", late, dt.datetime.combine(CUTOFF, dt.time()))
+
+
 def refresh_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trip fact after an incremental run; station keys stay those of the first run."""
-    return _refreshed(spark, sf_dir).fct_trips
+    return _in_step(spark, sf_dir).fct_trips
 
 
 def refresh_station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ride and trend columns of the station-day fact after an incremental run."""
-    return _refreshed(spark, sf_dir).fct_station_day.select(*REFRESHED)
+    """The station-day fact after an incremental run."""
+    return _in_step(spark, sf_dir).fct_station_day
+
+
+def refresh_lagging_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station-days where status was current and the trips of twenty days came later."""
+    late = {"trips": F.col("started_at") >= F.lit(NOW.date() - dt.timedelta(days=20))}
+    return _refreshed(spark, sf_dir, "lagging trips", late).fct_station_day
+
+
+def _backfilled(spark: SparkSession, sf_dir: str) -> Models:
+    return _refreshed(spark, sf_dir, "backfill", {"trips": F.col("started_at") < F.lit(CUTOFF)})
+
+
+def refresh_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips where the older ones were filled in after the newer ones."""
+    return _backfilled(spark, sf_dir).fct_trips
+
+
+def refresh_backfill_station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _backfilled(spark, sf_dir).fct_station_day
+
+
+def refresh_late_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station-days where the weather of every other day came later."""
+    late = {"weather": F.dayofmonth("weather_date") % 2 == 0}
+    return _refreshed(spark, sf_dir, "late weather", late).fct_station_day
+
+
+def refresh_renamed_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the operations view per station, and facts without a dimension row, after
+    a station got another name between two runs."""
+    feeds = event_feeds(spark, sf_dir)
+    renamed = {
+        f"{end}_station_name": F.when(
+            (F.col(f"{end}_station_id") == "S7") & (F.col("started_at") >= F.lit(CUTOFF)), F.lit("Corner of S7")
+        ).otherwise(F.col(f"{end}_station_name"))
+        for end in ("start", "end")
+    }
+    feeds = Feeds(trips=feeds.trips.withColumns(renamed), weather=feeds.weather, status=feeds.status)
+    late = {"trips": F.col("started_at") >= F.lit(CUTOFF), "status": F.col("last_reported") >= F.lit(CUTOFF)}
+    m = _refreshed(spark, sf_dir, "renamed", late, dt.datetime.combine(CUTOFF, dt.time()), feeds)
+    known = m.dim_station.select("station_key")
+    ends = m.fct_trips.select(F.explode(F.array("start_station_key", "end_station_key")).alias("station_key"))
+    orphans = ends.unionByName(m.fct_station_day.select("station_key")).join(known, "station_key", "left_anti")
+    orphans = orphans.agg(F.count("*").alias("orphans"))
+    versions = m.dim_station.groupBy("station_id").agg(F.count("*").alias("versions"))
+    days = m.vw_station_operations.groupBy("station_id").agg(F.count("*").alias("days"))
+    # One row of counts.
+    return days.join(versions, "station_id").crossJoin(orphans)
 
 
 def materialize_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,5 +291,10 @@ QUERIES = {
     "run_layer": run_layer,
     "refresh_trips": refresh_trips,
     "refresh_station_days": refresh_station_days,
+    "refresh_lagging_trips": refresh_lagging_trips,
+    "refresh_backfill": refresh_backfill,
+    "refresh_backfill_station_days": refresh_backfill_station_days,
+    "refresh_late_weather": refresh_late_weather,
+    "refresh_renamed_station": refresh_renamed_station,
     "materialize_view": materialize_view,
 }

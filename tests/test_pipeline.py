@@ -302,5 +302,5 @@ def test_every_table_is_in_one_wave():
 def test_build_writes_every_stored_table(spark, built):
     stored = [n for n, (layer, _, _) in TABLES.items() if layer != "staging" and n != "int_station_metrics"]
     for name in stored:
-        assert spark.read.parquet(built.path(name)).count() == built.table(name).count(), name
+        assert spark.read.parquet(built.data_path(name)).count() == built.table(name).count(), name
     assert isinstance(built, Models)
