@@ -229,6 +229,17 @@ FROM trips_raw)""",
 Q["load_trips_month"] = rounded(
     f"(SELECT {_LANDED}, strftime(started_at, '%Y-%m') AS started_month FROM trips_raw)", _DOUBLES
 )
+Q["land_twice"] = Q["land_trips_csv"]
+_N = "CAST(ride_id[2:] AS BIGINT)"
+Q["csv_rejects"] = plain(
+    f"""SELECT CASE WHEN {_N} % 50 = 0 OR {_N} % 70 = 0 THEN 'broken line' WHEN {_N} % 90 = 0 THEN 'no id or start'
+  ELSE 'kept' END AS outcome, count(*) AS n_lines FROM trips_raw GROUP BY ALL"""
+)
+Q["load_added_field"] = plain(
+    """SELECT strftime(o_orderdate, '%Y-%m') AS started_month, count(*) AS trips,
+  count(*) FILTER (year(o_orderdate) = 1996) AS priorities
+FROM orders WHERE strftime(o_orderdate, '%Y-%m') IN ('1995-01', '1996-06') GROUP BY ALL"""
+)
 Q["backfill_months"] = plain(
     """SELECT strftime(o_orderdate, '%Y-%m') AS started_month, count(*) AS trips,
   min(o_orderdate) AS first_start
@@ -269,6 +280,19 @@ Q["status_json_to_rows"] = plain("SELECT * FROM accepted_reports")
 _REJECTS = """SELECT station_id, CAST(CASE event_id % 97 WHEN 7 THEN 86400 ELSE 0 END AS BIGINT) AS timestamp,
   count(*) AS rejects FROM polled WHERE unusable GROUP BY ALL"""
 Q["status_rejects"] = plain(_REJECTS)
+Q["poll_rejects"] = plain(
+    """SELECT CASE WHEN poll % 10 = 3 THEN 'not JSON' WHEN poll % 11 = 4 THEN 'no stations' ELSE 'read' END
+  AS outcome, count(DISTINCT poll) AS n_polls FROM polled GROUP BY ALL"""
+)
+Q["weather_rejects"] = plain(
+    """SELECT outcome, count(*) AS n FROM (
+  SELECT DISTINCT CASE WHEN r % 10 = 3 THEN 'not JSON' ELSE 'no days' END AS outcome, r AS id
+  FROM (SELECT event_id // 8 AS r FROM events) WHERE r % 10 = 3 OR r % 11 = 4
+  UNION ALL
+  SELECT CASE WHEN r % 7 = 2 AND event_id = first THEN 'no date' ELSE 'read' END, event_id
+  FROM (SELECT event_id, event_id // 8 AS r, min(event_id) OVER (PARTITION BY event_id // 8) AS first FROM events)
+  WHERE r % 10 <> 3 AND r % 11 <> 4) GROUP BY ALL"""
+)
 _ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%SZ')"
 _MESSAGE = """station_id num_bikes_available num_ebikes_available num_bikes_disabled num_docks_available
 num_docks_disabled num_scooters_available num_scooters_unavailable is_installed is_renting is_returning
@@ -352,12 +376,20 @@ FROM polled GROUP BY poll, polled_at"""
 )
 Q["stream_dedupe"] = plain("SELECT DISTINCT station_id, last_reported FROM accepted_reports")
 Q["stream_windows"] = rounded(
-    """(SELECT * FROM (
-  SELECT station_id, time_bucket(INTERVAL 5 MINUTE, last_reported) AS bucket_start,
-    count(*) AS reports, avg(num_bikes_available) AS avg_bikes FROM accepted_reports GROUP BY ALL)
-WHERE bucket_start + INTERVAL 5 MINUTE <= (SELECT max(last_reported) - INTERVAL 1 DAY FROM accepted_reports))""",
+    """(SELECT station_id, time_bucket(INTERVAL 5 MINUTE, last_reported) AS bucket_start,
+    count(*) AS reports, avg(num_bikes_available) AS avg_bikes,
+    count(*) FILTER (api_last_updated - INTERVAL 1 DAY > last_reported) AS late_reports
+  FROM accepted_reports GROUP BY ALL)""",
     _DOUBLES,
 )
+Q["stream_metadata"] = plain(
+    """SELECT polled_at AS publish_time, 'station-status' AS subscription_name,
+  count(DISTINCT poll) AS messages, count(*) AS reports FROM polled WHERE NOT unusable GROUP BY ALL"""
+)
+Q["stream_expiry"] = plain(
+    f"""SELECT CAST(last_reported AS DATE) AS reported_on, count(*) AS reports
+FROM accepted_reports WHERE CAST(last_reported AS DATE) >= {AS_OF} - 10 GROUP BY ALL"""
+)
 Q["stream_latest"] = plain(
     f"""SELECT DISTINCT ON (station_id) {_STREAMED} FROM accepted_reports
 ORDER BY station_id, last_reported DESC, api_last_updated DESC"""

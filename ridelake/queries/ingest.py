@@ -13,6 +13,7 @@ from ridelake.plans import build, monitor
 from ridelake.plans.build import TABLES, Models
 from ridelake.plans.refresh import refresh
 from ridelake.plans.supply import COUNTERS
+from ridelake.schemas import TRIPS
 from ridelake.session import stage, stage_path
 from ridelake.sources import status, trips, weather
 from ridelake.sources.feeds import NOW, NUMBERED_STATUS_SQL, Feeds, event_feeds, events
@@ -30,8 +31,59 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     return landing
 
 
+def _all_months(spark: SparkSession, landing: str) -> list[str]:
+    years = layout.partition_values(spark, landing, "year")
+    return [f"{y}-{m}" for y in years for m in layout.partition_values(spark, f"{landing}/year={y}", "month")]
+
+
 def land_trips_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.read_months(spark, _landed(spark, sf_dir), ["2024-01", "2024-02"])
+    landing = _landed(spark, sf_dir)
+    return trips.read_months(spark, landing, _all_months(spark, landing)).drop("source")
+
+
+def land_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files landed a second time replace what they brought the first time."""
+    csv, landing = stage_path(spark, "trip_csv"), stage_path(spark, "trip_landing")
+    raw = event_feeds(spark, sf_dir).trips
+    raw.write.option("header", True).option("timestampNTZFormat", trips.TIMESTAMP_FORMAT).csv(csv)
+    for _ in range(2):
+        trips.land_trips(trips.read_trip_csv(spark, csv), landing)
+    return trips.read_months(spark, landing, _all_months(spark, landing)).drop("source")
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines read, kept and rejected, by reason. Of the trips, every 50th has a broken time,
+    every 70th a field too few, every 90th no id, and every third no milliseconds."""
+    path = stage_path(spark, "trip_csv")
+    n = F.regexp_extract("ride_id", "[0-9]+", 0).cast("long")
+    at = F.date_format("started_at", "yyyy-MM-dd HH:mm:ss")
+    start = F.when(n % 50 == 0, F.lit("yesterday")).when(n % 3 == 0, at).otherwise(F.concat(at, F.lit(".250")))
+    end = F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss.SSS")
+    ride = F.when(n % 90 == 0, F.lit("")).otherwise(F.col("ride_id"))
+    head = F.concat_ws(",", ride, "rideable_type", start, end, F.lit("A,1,B,2,40.7,-74.0,40.8,-74.1"))
+    line = F.when(n % 70 == 0, head).otherwise(F.concat(head, F.lit(",member")))
+    header = ",".join(f.name for f in TRIPS)
+    # Each file begins with the header; files hold a day each.
+    lines = event_feeds(spark, sf_dir).trips.select(F.to_date("started_at").alias("day"), line.alias("line"))
+    files = lines.groupBy("day").agg(F.concat_ws("\n", F.lit(header), F.collect_list("line")).alias("value"))
+    files.repartition("day").write.partitionBy("day").option("lineSep", "\n").text(path)
+    kept = trips.read_trip_csv(spark, path).select(F.lit("kept").alias("outcome"))
+    rejected = trips.trip_csv_rejects(spark, path).select(F.col("reason").alias("outcome"))
+    return kept.unionByName(rejected).groupBy("outcome").agg(F.count("*").alias("n_lines"))
+
+
+def load_added_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that the files of a later month add, loaded with its month."""
+    landing, raw = stage_path(spark, "order_landing"), stage_path(spark, "order_raw")
+    rides = _order_rides(spark, sf_dir)
+    early = F.col("started_at") < "1996-01-01"
+    trips.land_trips(rides.where(early).drop("priority"), landing)
+    trips.land_trips(rides.where(~early), landing)
+    trips.load_months(spark, landing, raw, ["1995-01"])
+    for _ in range(2):  # the second load replaces the first
+        trips.load_months(spark, landing, raw, ["1996-06"])
+    loaded = trips.read_raw(spark, raw)
+    return loaded.groupBy("started_month").agg(F.count("*").alias("trips"), F.count("priority").alias("priorities"))
 
 
 def load_trips_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,10 +98,20 @@ def backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The events span one month, so each order becomes a trip start on its order day.
     """
+    rides = _order_rides(spark, sf_dir).drop("priority")
+    landing, raw = stage_path(spark, "order_landing"), stage_path(spark, "order_raw")
+    trips.land_trips(rides, landing)
+    trips.load_months(spark, landing, raw, ["1995-01", "1996-06", "2001-07"])
+    return trips.read_raw(spark, raw).groupBy("started_month").agg(
+        F.count("*").alias("trips"), F.min("started_at").alias("first_start")
+    )
+
+
+def _order_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     start = F.col("o_orderdate").cast("timestamp")
     none, place = F.lit(None).cast("string"), F.lit(None).cast("double")
-    rides = orders.select(
+    return orders.select(
         F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("ride_id"),
         F.lit("classic_bike").alias("rideable_type"),
         start.alias("started_at"),
@@ -57,16 +119,11 @@ def backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[none.alias(c) for c in ("start_station_name", "start_station_id", "end_station_name", "end_station_id")],
         *[place.alias(c) for c in ("start_lat", "start_lng", "end_lat", "end_lng")],
         F.lit("member").alias("member_casual"),
-    )
-    landing, raw = stage_path(spark, "order_landing"), stage_path(spark, "order_raw")
-    trips.land_trips(rides, landing)
-    trips.load_months(spark, landing, raw, ["1995-01", "1996-06", "2001-07"])
-    return trips.read_raw(spark, raw).groupBy("started_month").agg(
-        F.count("*").alias("trips"), F.min("started_at").alias("first_start")
+        F.col("o_orderkey").cast("string").alias("priority"),
     )
 
 
-def _weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _weather_responses(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
     """Weather rows as service responses of up to eight days; every fifth lacks rain_sum."""
     source = events(spark, sf_dir)
     rows = spark.sql(
@@ -98,7 +155,7 @@ def _weather_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         array("wind").alias("wind_speed_10m_max"),
         array("wind", 10).alias("wind_gusts_10m_max"),
     )
-    return days.select(F.to_json(F.struct(daily.alias("daily"))).alias("body"))
+    return days.select(*(["response"] if numbered else []), F.to_json(F.struct(daily.alias("daily"))).alias("body"))
 
 
 def weather_json_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +202,31 @@ def status_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy("station_id", "timestamp").agg(F.count("*").alias("rejects"))
 
 
+def poll_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls that give rows, and those that do not, by reason. Every tenth poll is cut off,
+    every eleventh has no stations."""
+    n = F.col("poll")
+    broken = F.when(n % 10 == 3, F.expr("substring(value, 1, length(value) div 2)")).when(n % 11 == 4, '{"last_updated": 1}')
+    rows = polls(spark, sf_dir).withColumn("value", F.coalesce(broken, F.col("value")))
+    bad = status.rejected_polls(rows, "value").select(F.col("reason").alias("outcome"))
+    good = status.parse_stations(rows, "value", utc(NOW), ["poll"]).select("poll").distinct().select(F.lit("read").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("n_polls"))
+
+
+def weather_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days read, and responses and days that are not, by reason. Every tenth response is cut
+    off, every eleventh is an error message, and of every seventh a date is wrong."""
+    body = F.col("body")
+    rows = _weather_responses(spark, sf_dir, numbered=True)
+    n = F.col("response")
+    broken = F.when(n % 10 == 3, F.expr("substring(body, 1, length(body) div 2)")).when(n % 11 == 4, '{"error": true}')
+    wrong = F.when(n % 7 == 2, F.regexp_replace(body, '"time":\\["[0-9-]+"', '"time":["some day"'))
+    rows = rows.withColumn("body", F.coalesce(broken, wrong, body))
+    good = weather.parse_weather(rows, "body", NOW).select(F.lit("read").alias("outcome"))
+    bad = weather.weather_rejects(rows, "body").select(F.col("reason").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
 def status_to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.to_messages(status.accepted(parsed_polls(spark, sf_dir)))
 
@@ -281,11 +363,16 @@ def materialize_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "land_trips_csv": land_trips_csv,
+    "land_twice": land_twice,
+    "csv_rejects": csv_rejects,
     "load_trips_month": load_trips_month,
+    "load_added_field": load_added_field,
     "backfill_months": backfill_months,
     "weather_json_to_rows": weather_json_to_rows,
     "status_json_to_rows": status_json_to_rows,
     "status_rejects": status_rejects,
+    "poll_rejects": poll_rejects,
+    "weather_rejects": weather_rejects,
     "status_to_messages": status_to_messages,
     "ingest_metrics": ingest_metrics,
     "run_layer": run_layer,

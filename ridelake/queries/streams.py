@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake.operators import layout
 from ridelake.queries.ingest import polls
 from ridelake.session import stage_path
+from ridelake.sources.feeds import AS_OF
 from ridelake.streaming import status_stream as stream
 
 
@@ -20,12 +22,47 @@ def _poll_files(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
     return path
 
 
+def _shuffled_files(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    """Polls as files that each hold messages of all days, and come in several batches."""
+    path = stage_path(spark, "polls")
+    rows = polls(spark, sf_dir).select("value", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
+    rows.select("value").repartition(24, F.xxhash64("value", "copy")).write.text(path)
+    return path
+
+
+METADATA = ["message_id", "attributes", "subscription_name", "publish_time"]
+
+
 def stream_status_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted reports written by the stream, without the time of ingestion."""
     table, rejects = stage_path(spark, "status"), stage_path(spark, "rejects")
     source = stream.read_polls(spark, _poll_files(spark, sf_dir), files_per_batch=16)
     stream.write_status(source, table, rejects, stage_path(spark, "ckpt")).awaitTermination()
-    return spark.read.parquet(table).drop("ingestion_timestamp", "batch", "reported_on")
+    return spark.read.parquet(table).drop("ingestion_timestamp", "batch", "reported_on", *METADATA)
+
+
+def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and reports per publish time, from the delivery columns of the sink, after
+    its finished days were brought together."""
+    table, rejects = stage_path(spark, "status"), stage_path(spark, "rejects")
+    source = stream.read_polls(spark, _poll_files(spark, sf_dir), files_per_batch=16)
+    stream.write_status(source, table, rejects, stage_path(spark, "ckpt")).awaitTermination()
+    days = layout.partition_values(spark, table, "reported_on")
+    stream.compact_days(spark, table, days[:-1])
+    kept = spark.read.parquet(table)
+    named = kept.where("message_id IS NOT NULL AND attributes IS NOT NULL AND ingestion_timestamp IS NOT NULL")
+    return named.groupBy("publish_time", "subscription_name").agg(
+        F.count_distinct("message_id").alias("messages"), F.count("*").alias("reports")
+    )
+
+
+def stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports per day of the sink after days older than ten were dropped by folder."""
+    table, rejects = stage_path(spark, "status"), stage_path(spark, "rejects")
+    source = stream.read_polls(spark, _poll_files(spark, sf_dir), files_per_batch=16)
+    stream.write_status(source, table, rejects, stage_path(spark, "ckpt")).awaitTermination()
+    layout.expire_partitions(spark, table, "reported_on", AS_OF, 10)
+    return spark.read.parquet(table).groupBy("reported_on").agg(F.count("*").alias("reports"))
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,23 +89,24 @@ def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message delivered twice: the reports that remain, by station and second.
+    """Every message delivered twice, over many batches in any order of time: one report
+    for each station and second.
 
-    Two different reports of one station in one second share a key as well, and either
-    may be the one that stays, so the result is the keys.
+    Two different reports of one station in one second share a key; the one with the most
+    bikes, then docks, stays where they come in one batch, so the result is the keys.
     """
     table = stage_path(spark, "distinct")
-    source = stream.read_polls(spark, _poll_files(spark, sf_dir, copies=2))
-    stream.append_stream(stream.distinct_reports(source), table, stage_path(spark, "ckpt")).awaitTermination()
+    source = stream.read_polls(spark, _shuffled_files(spark, sf_dir, copies=2), files_per_batch=4)
+    stream.write_distinct(source, table, stage_path(spark, "ckpt")).awaitTermination()
     return spark.read.parquet(table).select("station_id", "last_reported")
 
 
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five-minute windows the stream has closed: those a day older than the newest report."""
+    """Five-minute windows of all reports, which come in several batches out of time order."""
     table = stage_path(spark, "windows")
-    source = stream.read_polls(spark, _poll_files(spark, sf_dir))
-    stream.append_stream(stream.five_minute_counts(source), table, stage_path(spark, "ckpt")).awaitTermination()
-    return spark.read.parquet(table)
+    source = stream.read_polls(spark, _shuffled_files(spark, sf_dir), files_per_batch=4)
+    stream.write_windows(source, table, stage_path(spark, "ckpt")).awaitTermination()
+    return stream.read_windows(spark, table)
 
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +120,8 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_status_sink": stream_status_sink,
     "stream_rejects": stream_rejects,
+    "stream_metadata": stream_metadata,
+    "stream_expiry": stream_expiry,
     "stream_raw_archive": stream_raw_archive,
     "stream_dedupe": stream_dedupe,
     "stream_windows": stream_windows,

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +88,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A staged table that is deleted at the end of the block."""
+    table = stage(df, name)
+    path = _STAGED.pop()
+    try:
+        yield table
+    finally:
+        fs, folder = filesystem(df.sparkSession, path)
+        fs.delete(folder, True)
+
+
 _STAGED: list[str] = []
 
 

@@ -15,17 +15,19 @@ from ridelake.schemas import STATUS_RESPONSE
 FLAGS = ["is_installed", "is_renting", "is_returning"]
 
 
-def parse_stations(polls: DataFrame, body: str, ingested_at: Column) -> DataFrame:
-    """One row per station of every poll, with defaults for missing fields.
+def parse_stations(polls: DataFrame, body: str, ingested_at: Column, keep: list[str] = ()) -> DataFrame:
+    """One row per station of every poll, with defaults for missing fields; columns of the
+    poll named in ``keep`` go along.
 
     ``valid`` tells whether the report time is usable; ``reported_epoch`` keeps the
     time as it came. Both outputs below filter this one parse.
     """
     poll = F.from_json(F.col(body), STATUS_RESPONSE)
-    stations = polls.select(poll.alias("poll"), ingested_at.alias("ingestion_timestamp")).select(
-        F.coalesce("poll.last_updated", F.lit(0)).alias("last_updated"),
+    stations = polls.select(poll.alias("_poll"), ingested_at.alias("ingestion_timestamp"), *keep).select(
+        F.coalesce("_poll.last_updated", F.lit(0)).alias("last_updated"),
         "ingestion_timestamp",
-        F.explode("poll.data.stations").alias("s"),
+        *keep,
+        F.explode("_poll.data.stations").alias("s"),
     )
     epoch = F.col("s.last_reported")
     return stations.select(
@@ -36,6 +38,7 @@ def parse_stations(polls: DataFrame, body: str, ingested_at: Column) -> DataFram
         F.coalesce("s.legacy_id", F.lit("")).alias("legacy_id"),
         F.timestamp_seconds("last_updated").alias("api_last_updated"),
         "ingestion_timestamp",
+        *keep,
         F.col("s.station_id").alias("reported_id"),
         F.coalesce(epoch, F.lit(0)).alias("reported_epoch"),
         (F.coalesce(epoch, F.lit(0)) >= MIN_VALID_EPOCH).alias("valid"),
@@ -54,6 +57,18 @@ def rejected(parsed: DataFrame) -> DataFrame:
     )
 
 
+def unreadable(body: Column, otherwise: str) -> Column:
+    """Why a document gave nothing."""
+    return F.when(F.try_parse_json(body).isNull(), "not JSON").otherwise(otherwise)
+
+
+def rejected_polls(polls: DataFrame, body: str) -> DataFrame:
+    """(document, reason) of polls that hold no list of stations, and so give no rows."""
+    poll = F.from_json(F.col(body), STATUS_RESPONSE)
+    broken = polls.where(poll["data"]["stations"].isNull())
+    return broken.select(F.col(body).alias("document"), unreadable(F.col(body), "no stations").alias("reason"))
+
+
 def iso_utc(at: Column) -> Column:
     return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 

@@ -8,31 +8,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridelake.operators.layout import partition_values
 from ridelake.schemas import TRIPS
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
+# Times come with or without milliseconds.
+READ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSS]"
+LANDING = ["year", "month", "source"]
 
 
-def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All CSV files under ``path`` in one scan, with the declared columns."""
+def _parsed(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the CSV files, with the text of those that do not parse. All fields
+    are parsed whichever are selected, so a line is broken or not for all readers."""
+    schema = T.StructType([*TRIPS.fields, T.StructField("broken_line", T.StringType())])
     return (
-        spark.read.schema(TRIPS)
+        spark.read.schema(schema)
         .option("header", True)
-        .option("timestampFormat", TIMESTAMP_FORMAT)
+        .option("timestampFormat", READ_FORMAT)
         .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", "broken_line")
+        .option("columnPruning", False)
         .csv(path)
     )
 
 
+def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All CSV files under ``path`` in one scan, with the declared columns. Lines that do
+    not parse, or lack an id or a start, are left to ``trip_csv_rejects``."""
+    return _parsed(spark, path).where(f"NOT coalesce({_FAULTY}, false)").drop("broken_line")
+
+
+def trip_csv_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(document, reason) of the lines that ``read_trip_csv`` leaves out."""
+    rejected = _parsed(spark, path).where(f"coalesce({_FAULTY}, false)")
+    reason = F.when(F.col("broken_line").isNotNull(), "broken line").otherwise("no id or start")
+    fields = F.to_json(F.struct(*[f.name for f in TRIPS]))
+    return rejected.select(F.coalesce("broken_line", fields).alias("document"), reason.alias("reason"))
+
+
+_FAULTY = "broken_line IS NOT NULL OR ride_id IS NULL OR started_at IS NULL"
+
+
 def land_trips(csv: DataFrame, path: str) -> None:
-    """Append to the Parquet landing zone, ``year=yyyy/month=MM``."""
-    start = F.col("started_at")
-    months = csv.withColumn("year", F.date_format(start, "yyyy")).withColumn(
-        "month", F.date_format(start, "MM")
+    """Write to the Parquet landing zone, ``year=yyyy/month=MM/source=<file>``.
+
+    What a source file brought to a month lies in a folder of its own, so landing the file
+    again replaces it. Rows that come from no file count as one source.
+    """
+    start, file = F.col("started_at"), F.element_at(F.split(F.input_file_name(), "/"), -1)
+    months = csv.withColumns(
+        {
+            "year": F.date_format(start, "yyyy"),
+            "month": F.date_format(start, "MM"),
+            "source": F.when(file == "", "rows").otherwise(file),
+        }
     )
     # One shuffle by month; adaptive execution splits a month as its size asks for.
-    spread = months.hint("rebalance", F.col("year"), F.col("month"))
-    spread.write.mode("append").partitionBy("year", "month").parquet(path)
+    spread = months.hint("rebalance", *[F.col(c) for c in LANDING])
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*LANDING).parquet(path)
 
 
 def last_months(as_of: dt.date, count: int = 3) -> list[str]:
@@ -63,11 +97,26 @@ def read_months(
     return landed.where(condition)
 
 
+def added_fields(spark: SparkSession, path: str, months: list[str]) -> T.StructType:
+    """Fields that files of the listed months have beyond the declared ones."""
+    folders = [f"{path}/year={m[:4]}/month={m[5:7]}" for m in months if m[5:7] in partition_values(spark, f"{path}/year={m[:4]}", "month")]
+    if not folders:
+        return T.StructType([])
+    found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders).schema
+    declared = {f.name for f in TRIPS} | set(LANDING)
+    return T.StructType([f for f in found if f.name not in declared])
+
+
 def load_months(spark: SparkSession, landing: str, raw: str, months: list[str]) -> None:
-    """Append the listed months to the raw trips table, partitioned by month of start."""
-    trips = read_months(spark, landing, months).drop("year", "month")
+    """Load the listed months into the raw trips table, partitioned by month of start.
+
+    A month that is loaded again replaces its rows. Fields that a later month adds are
+    loaded as well; they are null in the months before.
+    """
+    trips = read_months(spark, landing, months, added_fields(spark, landing, months)).drop(*LANDING)
     monthly = trips.withColumn("started_month", F.date_format("started_at", "yyyy-MM"))
-    monthly.write.mode("append").partitionBy("started_month").parquet(raw)
+    writer = monthly.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("started_month").parquet(raw)
 
 
 def read_raw(spark: SparkSession, raw: str) -> DataFrame:

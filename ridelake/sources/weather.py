@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ridelake.functions.calendar import utc
 from ridelake.schemas import WEATHER_RESPONSE
+from ridelake.sources.status import unreadable
 
 CITY, LATITUDE, LONGITUDE = "New York City", "40.7128", "-74.0060"
 # Response array -> column.
@@ -41,8 +42,9 @@ def parse_weather(responses: DataFrame, body: str, loaded_at: dt.datetime) -> Da
     ]
     zipped = F.arrays_zip(*ARRAYS.values())
     rows = days.where("weather_date is not null").select(*padded).select(F.inline(zipped))
-    return rows.select(
-        F.to_date("weather_date").alias("weather_date"),
+    dated = rows.withColumn("weather_date", F.expr("try_cast(weather_date AS DATE)"))
+    return dated.where("weather_date IS NOT NULL").select(
+        "weather_date",
         *[c for c in ARRAYS.values() if c != "weather_date"],
         F.lit(LATITUDE).alias("latitude"),
         F.lit(LONGITUDE).alias("longitude"),
@@ -51,6 +53,17 @@ def parse_weather(responses: DataFrame, body: str, loaded_at: dt.datetime) -> Da
     )
 
 
+def weather_rejects(responses: DataFrame, body: str) -> DataFrame:
+    """(document, reason): responses without readable days, and days without a date."""
+    text = F.col(body)
+    days = F.from_json(text, WEATHER_RESPONSE)["daily"]["time"]
+    undated = F.filter(days, lambda d: F.coalesce(d, F.lit("")).try_cast("date").isNull())
+    faults = F.when(days.isNull(), F.array(F.struct(text.alias("document"), unreadable(text, "no days").alias("reason")))).otherwise(
+        F.transform(undated, lambda d: F.struct(d.alias("document"), F.lit("no date").alias("reason")))
+    )
+    return responses.select(F.inline(faults))
+
+
 def append_weather(rows: DataFrame, path: str) -> None:
     """Append to day partitions, latest day first inside a file."""
     rows.sortWithinPartitions(F.desc("weather_date")).write.mode("append").partitionBy(

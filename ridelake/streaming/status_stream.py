@@ -12,42 +12,74 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.operators.layout import drop_partitions, partition_values
 from ridelake.operators.ranking import latest_per_key
-from ridelake.session import stage
+from ridelake.session import staged
 from ridelake.sources.status import accepted, parse_stations, rejected
 
 
 def read_polls(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Polls from a folder of text files, one JSON document per line."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-        .text(path)
-        .select(
-            "value",
-            F.concat_ws("#", "_metadata.file_path", F.md5("value")).alias("message_id"),
-            F.to_json(F.struct("_metadata.file_name", "_metadata.file_size")).alias("attributes"),
-        )
+    """Polls from a folder of text files, one JSON document per line. A message is known
+    by its file and line, so equal lines stay apart."""
+    files = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("wholetext", True).text(path)
+    lines = files.select(
+        F.posexplode(F.split("value", "\n")).alias("line", "value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.to_json(F.struct("_metadata.file_name", "_metadata.file_size")).alias("attributes"),
     )
+    return lines.where("value <> ''").select("value", F.concat_ws("#", "file", "line").alias("message_id"), "attributes")
+
+
+def stations(polls: DataFrame, keep: list[str] = ()) -> DataFrame:
+    return parse_stations(polls, "value", F.current_timestamp(), keep)
 
 
-def stations(polls: DataFrame) -> DataFrame:
-    return parse_stations(polls, "value", F.current_timestamp())
+def _write_batch(rows: DataFrame, table: str, day: str, batch_id: int) -> None:
+    """Rows under ``<day>=…/batch=<id>``: the day first, so days are pruned and expired by
+    folder; a batch that is run again replaces its own files."""
+    numbered = rows.withColumn("batch", F.lit(batch_id))
+    writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(day, "batch").parquet(table)
 
 
 def write_status(
-    polls: DataFrame, table: str, rejects: str, checkpoint: str, trigger: dict | None = None
+    polls: DataFrame,
+    table: str,
+    rejects: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    subscription: str = "station-status",
 ) -> StreamingQuery:
-    """Parse each micro-batch once, and append reports and rejects to their tables.
-
-    Files are named after the batch, so a batch that is run again replaces its own
-    files: delivery is at least once, the tables hold each batch once.
-    """
+    """Parse each micro-batch once, and write reports, with the delivery they came in, and
+    rejects to their tables. Delivery is at least once, the tables hold each batch once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = stage(stations(batch), "polls")
-        good = accepted(parsed).withColumn("reported_on", F.to_date("last_reported"))
-        good.write.mode("overwrite").partitionBy("reported_on").parquet(f"{table}/batch={batch_id}")
-        rejected(parsed).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-
+        with staged(stations(batch, ["message_id", "attributes"]), "polls") as parsed:
+            good = accepted(parsed).withColumns(
+                {
+                    "subscription_name": F.lit(subscription),
+                    "publish_time": F.col("api_last_updated"),
+                    "reported_on": F.to_date("last_reported"),
+                }
+            )
+            _write_batch(good, table, "reported_on", batch_id)
+            rejected(parsed).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+
+    return _each_batch(polls, write, checkpoint, trigger)
+
+
+def compact_days(spark: SparkSession, table: str, days: list[str], day: str = "reported_on") -> None:
+    """Bring the files of all batches of the given, finished days together as batch -1."""
+    for value in days:
+        folder = f"{table}/{day}={value}"
+        batches = [b for b in partition_values(spark, folder, "batch") if b != "-1"]
+        if not batches:
+            continue
+        rows = spark.read.option("basePath", folder).parquet(folder).drop("batch")
+        with staged(rows, "compacted") as whole:
+            whole.write.mode("overwrite").parquet(f"{folder}/batch=-1")
+            drop_partitions(spark, folder, "batch", batches)
+
+
+def _each_batch(polls: DataFrame, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return (
         polls.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -76,30 +108,62 @@ def archive_raw(polls: DataFrame, table: str, checkpoint: str, subscription: str
     )
 
 
-def distinct_reports(polls: DataFrame, late: str = "1 day") -> DataFrame:
-    """Accepted reports, each (station, report time) once within the watermark."""
-    reports = accepted(stations(polls)).withWatermark("last_reported", late)
-    return reports.dropDuplicatesWithinWatermark(["station_id", "last_reported"])
+REPORT = ["station_id", "last_reported"]
 
 
-def five_minute_counts(polls: DataFrame, late: str = "1 day") -> DataFrame:
-    """Reports per station and five-minute window, emitted once a window is closed."""
-    reports = accepted(stations(polls)).withWatermark("last_reported", late)
-    return (
-        reports.groupBy("station_id", F.window("last_reported", "5 minutes"))
-        .agg(F.count("*").alias("reports"), F.avg("num_bikes_available").alias("avg_bikes"))
-        .select("station_id", F.col("window.start").alias("bucket_start"), "reports", "avg_bikes")
-    )
+def write_distinct(polls: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Accepted reports, each (station, report time) once, however late or often it comes.
 
+    A batch leaves out what earlier batches have written for the days it touches, so
+    nothing is held as state, no row is too late, and the order of files does not matter.
+    """
 
-def append_stream(rows: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = [F.desc("api_last_updated"), F.desc("num_bikes_available"), F.desc("num_docks_available")]
+        fresh = latest_per_key(accepted(stations(batch)), REPORT, newest)
+        with staged(fresh.withColumn("reported_on", F.to_date("last_reported")), "reports") as reports:
+            days = [r[0] for r in reports.select("reported_on").distinct().collect()]  # one per day
+            if partition_values(spark, table, "reported_on"):
+                written = spark.read.parquet(table).where(F.col("reported_on").isin(days))
+                # What an interrupted run of this batch wrote does not count.
+                written = written.where(F.col("batch") != batch_id).select("reported_on", *REPORT)
+                reports = reports.join(written, ["reported_on", *REPORT], "left_anti")
+            _write_batch(reports, table, "reported_on", batch_id)
+
+    return _each_batch(polls, write, checkpoint, trigger)
+
+
+def write_windows(
+    polls: DataFrame, table: str, checkpoint: str, late: str = "1 day", trigger: dict | None = None
+) -> StreamingQuery:
+    """Sums of each batch per station and five-minute window; ``read_windows`` adds them up.
+
+    Sums do not depend on the order of batches, so late reports count in their windows and
+    windows of the last day are there. Reports later than ``late`` are counted beside.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        reports = accepted(stations(batch))
+        is_late = F.col("api_last_updated") - F.expr(f"interval {late}") > F.col("last_reported")
+        sums = reports.groupBy("station_id", F.window("last_reported", "5 minutes").alias("w")).agg(
+            F.count("*").alias("reports"),
+            F.sum("num_bikes_available").alias("bikes"),
+            F.count_if(is_late).alias("late_reports"),
+        )
+        sums = sums.select("station_id", F.col("w.start").alias("bucket_start"), "reports", "bikes", "late_reports")
+        _write_batch(sums.withColumn("day", F.to_date("bucket_start")), table, "day", batch_id)
+
+    return _each_batch(polls, write, checkpoint, trigger)
+
+
+def read_windows(spark: SparkSession, table: str) -> DataFrame:
+    """Reports per station and five-minute window over all batches so far."""
+    sums = spark.read.parquet(table).groupBy("station_id", "bucket_start")
+    return sums.agg(
+        F.sum("reports").alias("reports"),
+        (F.sum("bikes") / F.sum("reports")).alias("avg_bikes"),
+        F.sum("late_reports").alias("late_reports"),
     )
 
 
@@ -122,12 +186,7 @@ def keep_latest(polls: DataFrame, state: str, checkpoint: str, trigger: dict | N
         # A repeated batch reads one version back; older ones are done with.
         drop_partitions(spark, state, "version", [str(batch_id - 2)] if batch_id > 1 else [])
 
-    return (
-        polls.writeStream.foreachBatch(update)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return _each_batch(polls, update, checkpoint, trigger)
 
 
 def read_latest(spark: SparkSession, state: str) -> DataFrame:

@@ -272,7 +272,7 @@ def test_duplicates_across_batches_are_dropped(spark, tmp_path):
     for name in ("1", "2"):
         (tmp_path / "in" / f"{name}.json").write_text(poll(FULL) + "\n")
     polls = stream.read_polls(spark, source, files_per_batch=1)
-    stream.append_stream(stream.distinct_reports(polls), table, ckpt).awaitTermination()
+    stream.write_distinct(polls, table, ckpt).awaitTermination()
     assert spark.read.parquet(table).count() == 1
 
 
