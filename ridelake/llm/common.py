@@ -99,7 +99,8 @@ class Words:
         if len(empty):  # separators at the ends of a text
             real = codes != empty[0]
             offsets = np.concatenate([[0], np.cumsum(real)])[offsets]
-            codes = codes[real]
+            codes = codes[real] - (codes[real] > empty[0])
+            distinct = np.delete(distinct, empty[0])
         self.distinct, self.codes, self.offsets = distinct, codes, offsets
 
     def sums(self, values: np.ndarray) -> np.ndarray:
