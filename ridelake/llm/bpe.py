@@ -35,7 +35,7 @@ from ridelake.llm.common import id_and_text, map_batches
 
 PIECE_CHARS = 32768
 # Words a worker remembers; when there are more, the half it met most often stays.
-TABLE_WORDS = 600_000
+TABLE_WORDS = 700_000
 # Words the library is given in one string.
 TOGETHER = 64
 # Letters on both sides of a place within a run, and tokens that have to agree there.
@@ -44,6 +44,7 @@ WINDOW = 32
 
 # White space of any notion; a blank behind one of these needs its neighbours.
 WHITE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u180e" + "".join(map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+_STOPS = (".", ",")
 _NOT_CUT = f"[{WHITE}] "
 _CUT = re.compile(f"(?<=[^{WHITE}])(?= )")
 
@@ -59,6 +60,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self._lengths: np.ndarray | None = None
+        self.stops = {c: int(self.whole([c])[0][0]) for c in _STOPS}
         self._start_table({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
 
     def _start_table(self, rows, starts, sizes, ids, seen) -> None:
@@ -72,7 +74,23 @@ class Encoder:
         return [np.array(e.ids, dtype=np.int32) for e in found]
 
     def _add(self, words: list[str]) -> None:
-        """Encode words that follow a blank, many in one string, and remember them."""
+        """Encode words that follow a blank, and remember them. A full stop or comma behind
+        a letter is a word of its own for the tokenizer: there the word before it counts."""
+        stopped = [w for w in words if w[-1:] in _STOPS and w[-2:-1].isalpha()]
+        rest = [w for w in words if not (w[-1:] in _STOPS and w[-2:-1].isalpha())]
+        before = {w[:-1] for w in stopped}.difference(self.rows, rest)
+        self._encode_words([*rest, *before])
+        if stopped:
+            row = np.array([self.rows[w[:-1]] for w in stopped], dtype=np.int64)
+            starts, sizes = self.starts[row], self.sizes[row] + 1
+            ends = np.cumsum(sizes)
+            at = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])
+            ids = self.ids[np.minimum(at, self.used - 1)]
+            ids[ends - 1] = [self.stops[w[-1]] for w in stopped]
+            self._remember(stopped, sizes, ids)
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Give the library many words in one string, cut the ids by their lengths."""
         alone = [w for w in words if not w or w[-1] in WHITE]
         joined = [w for w in words if w and w[-1] not in WHITE]
         parts = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
@@ -83,9 +101,11 @@ class Encoder:
         sizes = np.diff(after, prepend=0)
         single = self.whole([" " + w for w in alone])
         sizes = np.concatenate([sizes, np.array([len(x) for x in single], dtype=np.int64)])
-        ids = np.concatenate([ids, *single])
+        self._remember(joined + alone, sizes, np.concatenate([ids, *single]))
+
+    def _remember(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
         n, m, used = len(self.rows), len(self.rows) + len(words), self.used + len(ids)
-        self.rows.update(zip(joined + alone, range(n, m)))
+        self.rows.update(zip(words, range(n, m)))
         self.starts, self.sizes, self.seen = (_room(x, m) for x in (self.starts, self.sizes, self.seen))
         self.ids = _room(self.ids, used)
         self.starts[n:m] = self.used + np.cumsum(sizes) - sizes
@@ -122,10 +142,11 @@ class Encoder:
         if len(self.rows) > TABLE_WORDS:
             self._shrink()
         rows = list(map(self.rows.get, distinct))
-        missing = [w for w, row in zip(distinct, rows) if row is None]
+        missing = [i for i, row in enumerate(rows) if row is None]
         if missing:
-            self._add(missing)
-            rows = list(map(self.rows.__getitem__, distinct))
+            self._add([distinct[i] for i in missing])
+            for i in missing:
+                rows[i] = self.rows[distinct[i]]
         row_of = np.zeros(len(needed), dtype=np.int64)
         row_of[needed] = rows
         row = row_of[codes]

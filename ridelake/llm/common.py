@@ -12,14 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows that go to a Python worker at once. Texts may be long, so batches are short.
-BATCH_ROWS = 500
+# Rows, and bytes, that go to a Python worker at once. Texts may be long.
+BATCH_ROWS, BATCH_BYTES = 1000, "8m"
 
 
 def prepare_workers(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the memory a worker needs for one Arrow batch, and let Spark bring this
     package to executors that may not have it installed."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         _SHIPPED.add(context.applicationId)
