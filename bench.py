@@ -14,10 +14,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from ridelake.plans.build import VIEWS, Models  # noqa: E402
+from ridelake.plans.refresh import refresh  # noqa: E402
 from ridelake.queries import all_queries  # noqa: E402
 from ridelake.session import local_session, stage_path  # noqa: E402
-from ridelake.sources.feeds import NOW, event_feeds  # noqa: E402
+from ridelake.sources.feeds import NOW, Feeds, event_feeds, events  # noqa: E402
 
 HEADLINE = [
     "stg_trips",
@@ -40,6 +43,7 @@ HEADLINE = [
     "full_refresh_equals_incremental",
     "land_trips_csv",
     "status_json_to_rows",
+    "weather_json_to_rows",
     "stream_status_sink",
 ]
 
@@ -84,6 +88,23 @@ def main() -> None:
             )
             seconds[f"dashboard_{view}"] = timed(lambda: drain(fresh.table(view)))
 
+        # The last day arrives after a build of all days before it.
+        feeds = event_feeds(spark, sf_dir)
+        late = {"trips": "started_at", "status": "last_reported"}
+        since = F.lit(NOW.date())
+        split = {k: F.col(c) >= since for k, c in late.items()}
+        whole = {"trips": feeds.trips, "weather": feeds.weather, "status": feeds.status}
+        early = Feeds(**{k: t.where(~split.get(k, F.lit(False))) for k, t in whole.items()})
+        arrived = Feeds(**{k: t.where(split.get(k, F.lit(False))) for k, t in whole.items()})
+        roots = [stage_path(spark, "bench") for _ in range(2)]
+        for root in roots:
+            Models(spark, early, NOW, root).build()
+        refresh(spark, feeds, arrived, NOW, roots[0])
+        seconds["refresh_one_day"] = timed(lambda: refresh(spark, feeds, arrived, NOW, roots[1]))
+
+    rows = {"land_trips_csv": "rows_per_s_csv", "status_json_to_rows": "rows_per_s_status_json", "weather_json_to_rows": "rows_per_s_weather_json"}
+    n = events(spark, sf_dir).count()
+    rates = {rate: round(n / seconds[name]) for name, rate in rows.items() if seconds.get(name)}
     cold = {k: seconds.pop(k) for k in list(seconds) if k.startswith("cold_")}
     print(
         json.dumps(
@@ -93,6 +114,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "first_run": cold,
+                "rates": rates,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cores),
             }

@@ -59,6 +59,28 @@ for name in (
     Q[name] = rounded(name, _DOUBLES)
 for name in ("fct_station_day", "station_operations"):
     Q[name] = rounded(name, _DOUBLES + _FACT_DOUBLES)
+# Stations with a capacity and a region.
+_NUMBER = "CAST(station_id[2:] AS BIGINT)"
+_FURNISHED = f"""(SELECT station_id, CASE WHEN {_NUMBER} % 8 <> 0 THEN {_NUMBER} * 3 - 10 END AS capacity,
+  CASE WHEN {_NUMBER} % 9 <> 0 THEN regions[{_NUMBER} % len(regions) + 1] END AS region
+FROM station_master, (SELECT ['Manhattan and around', 'Brooklyn and around', 'Queens and around',
+  'Bronx and around', 'Staten and around', 'Hoboken'] AS regions))"""
+Q["realtime_places"] = plain(
+    f"""SELECT f.station_id, f.capacity, f.region,
+  CASE WHEN f.region LIKE '%Staten%' THEN 'Staten Island' WHEN f.region LIKE '%and around'
+    THEN f.region[:strpos(f.region, ' ') - 1] ELSE 'Unknown' END AS borough,
+  CASE WHEN f.capacity >= 50 THEN 'Large' WHEN f.capacity >= 30 THEN 'Medium'
+    WHEN f.capacity >= 15 THEN 'Small' ELSE 'Micro' END AS station_type,
+  CASE WHEN f.capacity >= 50 THEN 'extra_large' WHEN f.capacity >= 35 THEN 'large'
+    WHEN f.capacity >= 25 THEN 'medium' WHEN f.capacity >= 15 THEN 'small' ELSE 'unknown' END AS station_size
+FROM realtime_status r LEFT JOIN {_FURNISHED} f ON f.station_id = r.station_id"""
+)
+Q["station_sizes"] = plain(
+    f"""SELECT station_id, capacity, coalesce(region, 'Unknown') AS region,
+  CASE WHEN capacity >= 50 THEN 'large' WHEN capacity >= 30 THEN 'medium' WHEN capacity >= 15 THEN 'small'
+    ELSE 'micro' END AS station_size FROM {_FURNISHED}
+UNION ALL SELECT '-1', NULL, 'Unknown', 'unknown'"""
+)
 Q["stg_weather"] = rounded("(SELECT * RENAME (loaded_at AS latest_load) FROM stg_weather)", _DOUBLES)
 Q["stg_station_status"] = plain("SELECT * FROM stg_station_status")
 Q["dim_date"] = plain("SELECT * FROM dim_date")

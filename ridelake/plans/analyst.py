@@ -81,9 +81,12 @@ def weather_effect(
 ) -> DataFrame:
     """Trips and occupancy by weather over some months."""
     days = dates.where((F.col("year") == year) & F.col("month").isin(months)).select("date_key")
+    # The fact lies in folders by day, which this condition selects.
+    in_season = (F.year("date_day") == year) & F.month("date_day").isin(months)
     weather = ["weather_condition", "is_ideal_biking_weather", "is_poor_biking_weather"]
     return (
-        facts.join(days, "date_key")
+        facts.where(in_season)
+        .join(days, "date_key")
         .groupBy(*weather)
         .agg(
             F.count_distinct("station_key").alias("stations"),

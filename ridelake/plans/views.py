@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake import rules
@@ -19,7 +19,6 @@ from ridelake.functions.numeric import elapsed, ratio
 from ridelake.operators.ranking import (
     latest_per_key,
     number_all,
-    number_by_leading_key,
     number_within,
 )
 
@@ -108,7 +107,8 @@ def station_operations(
         ladder(F.col("trips_started"), ">=", rules.ACTIVITY).alias("activity_category"),
     )
     order = [F.desc("trips_started"), F.asc("station_id")]
-    ranked = number_all(view, order, "daily_activity_rank", keys=["date_day"])
+    # A day has one row per station.
+    ranked = number_within(view, ["date_day"], order, "daily_activity_rank")
     return ranked.orderBy(F.desc("date_day"), "daily_activity_rank")
 
 
@@ -287,7 +287,9 @@ def trip_analytics_daily(
     )
     order = [F.desc("trip_count"), *[F.asc(c) for c in ("hour_of_day", "user_type_name", "rideable_type")]]
     ranked = number_within(shares, ["date_day"], order, "hourly_rank_by_day")
-    ranked = number_by_leading_key(ranked, "date_day", "hourly_rank_by_day", "overall_rank")
+    # The summary has a row for each day of the window, hour, user type and bike type.
+    overall = F.row_number().over(Window.orderBy(F.desc("date_day"), "hourly_rank_by_day"))
+    ranked = ranked.withColumn("overall_rank", overall.cast("long"))
     return ranked.orderBy(F.desc("date_day"), "hour_of_day")
 
 

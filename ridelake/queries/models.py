@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake import rules
 from ridelake.plans import daily
 from ridelake.plans.build import Models
 from ridelake.sources.feeds import NOW, event_feeds
@@ -49,6 +50,28 @@ def dim_user_type_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds.withColumn("trips", F.coalesce("trips", F.lit(0).cast("long")))
 
 
+def _furnished(spark: SparkSession, sf_dir: str) -> Models:
+    """Models whose stations have a capacity and a region, which trips do not carry."""
+    m = models(spark, sf_dir)
+    n = F.regexp_extract("station_id", "[0-9]+", 0).cast("long")
+    texts = [f"{name} and around" for name in rules.LIVE_BOROUGHS] + ["Hoboken"]
+    region = F.element_at(F.array(*map(F.lit, texts)), (n % len(texts) + 1).cast("int"))
+    m.__dict__["snap_station"] = m.snap_station.withColumns(
+        {"capacity": F.when(n % 8 != 0, n * 3 - 10), "region": F.when(n % 9 != 0, region)}
+    )
+    return m
+
+
+def realtime_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Borough by region text, and both capacity ladders, of stations that report."""
+    view = _furnished(spark, sf_dir).vw_station_operations_realtime
+    return view.select("station_id", "capacity", "region", "borough", "station_type", "station_size")
+
+
+def station_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _furnished(spark, sf_dir).dim_station.select("station_id", "capacity", "region", "station_size")
+
+
 QUERIES = {
     "stg_trips": _model("stg_trips"),
     "stg_weather": lambda spark, sf_dir: models(spark, sf_dir).stg_weather.withColumnRenamed(
@@ -69,6 +92,8 @@ QUERIES = {
     "fct_trips": _model("fct_trips"),
     "fct_station_day": _model("fct_station_day"),
     "station_operations": _model("vw_station_operations"),
+    "realtime_places": realtime_places,
+    "station_sizes": station_sizes,
     "realtime_status": _model("vw_station_operations_realtime"),
     "trip_analytics_daily": _model("vw_trip_analytics_daily"),
     "routes": _model("vw_trip_analytics_routes"),

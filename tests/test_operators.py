@@ -285,3 +285,52 @@ def test_timestamp_strategy_versions_every_run_and_can_keep_missing(spark):
     assert versions(same) == versions(history)
     with pytest.raises(ValueError):
         run(history, spark, {"a": "A"}, T2, strategy="guess")
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "table")
+    layout.replace_table(spark.range(3), path)
+    broken = spark.range(4).selectExpr("raise_error('lost') AS id")
+    with pytest.raises(Exception, match="lost"):
+        layout.replace_table(broken, path)
+    assert spark.read.parquet(layout.current_path(spark, path)).count() == 3
+    # A table may be replaced by what is worked out from it.
+    for n in (6, 12, 24):
+        table = spark.read.parquet(layout.current_path(spark, path))
+        layout.replace_table(table.union(table), path)
+        assert spark.read.parquet(layout.current_path(spark, path)).count() == n
+    assert len(layout.partition_values(spark, path, "version")) == 2
+
+
+def test_upsert_takes_one_of_repeated_changes(spark, tmp_path):
+    path = str(tmp_path / "table")
+    start = spark.createDataFrame([(1, "a", 1), (2, "a", 2)], "id int, day string, v int")
+    layout.write_table(start, path, "day")
+    changes = spark.createDataFrame([(1, "a", 7), (1, "a", 9), (1, "a", 8)], "id int, day string, v int")
+    for search_all in (True, False):
+        target = layout.read_table(spark, path, start)
+        incremental.upsert(target, path, changes, ["id"], "day", search_all=search_all)
+        assert sorted(tuple(r) for r in layout.read_table(spark, path, start).collect()) == [(1, "a", 9), (2, "a", 2)]
+
+
+def test_measured_places_open_no_version_and_moves_do(spark):
+    schema = "id string, name string, lat double, updated_at timestamp"
+
+    def at(day, lat):
+        return spark.createDataFrame([("s", "S", lat)], "id string, name string, lat double").withColumn("updated_at", F.lit(dt.datetime(2024, 1, day)))
+
+    history = scd2.first_snapshot(at(1, 40.7), "id").select(*schema.replace(",", "").split()[::2], *scd2.VALIDITY)
+    for day, lat, versions in ((2, 40.70001, 1), (3, 40.69999, 1), (4, 40.71, 2)):
+        history = scd2.apply_snapshot(history, at(day, lat), "id", ["name", "lat"], F.lit(dt.datetime(2024, 1, day)), tolerance={"lat": 0.001})
+        assert history.count() == versions
+
+
+def test_version_lookup_is_open_to_the_left(spark):
+    versions = spark.sql(
+        """SELECT * FROM VALUES ('s', 1, timestamp_ntz'2024-01-10', timestamp_ntz'2024-01-20'),
+           ('s', 2, timestamp_ntz'2024-01-20', null), ('t', 3, timestamp_ntz'2024-01-15', null)
+           AS v(id, key, effective_date, end_date)"""
+    )
+    facts = spark.sql("SELECT * FROM VALUES ('s', timestamp'2023-01-01'), ('s', timestamp'2024-01-20'), ('t', timestamp'2024-01-01'), ('u', timestamp'2024-01-01') AS f(sid, at)")
+    found = joins.lookup_version(facts, versions, "id", "sid", F.col("at"), {"key": "k"})
+    assert sorted((r.sid, r.at.year, r.k) for r in found.collect()) == [("s", 2023, 1), ("s", 2024, 2), ("t", 2024, 3), ("u", 2024, None)]

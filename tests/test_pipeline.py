@@ -16,7 +16,7 @@ from ridelake.queries.ingest import warehouse
 from ridelake.queries.models import models
 from ridelake.session import stage_root
 from ridelake.sources import status, trips, weather
-from ridelake.sources.feeds import NOW
+from ridelake.sources.feeds import NOW, Feeds, event_feeds
 from ridelake.streaming import status_stream as stream
 
 
@@ -236,6 +236,32 @@ def test_observed_metrics(spark):
     assert metrics.get == {"fetched": 2, "published": 1, "skipped": 1}
 
 
+def test_refresh_of_a_day_reads_that_day_alone(spark, sf_dir, tmp_path):
+    from ridelake.plans import refresh
+
+    feeds = event_feeds(spark, sf_dir)
+    late = Feeds(
+        trips=feeds.trips.where("started_at >= '2024-01-25' AND started_at < '2024-01-26' AND ended_at < '2024-01-26'"),
+        weather=feeds.weather.limit(0),
+        status=feeds.status.limit(0),
+    )
+    assert refresh.changed_days(late) == [dt.date(2024, 1, 25)]
+    assert refresh.changed_days(Feeds(late.trips.limit(0), late.weather, late.status)) == []
+
+
+def test_defining_views_starts_no_job(spark, sf_dir, tmp_path):
+    feeds = event_feeds(spark, sf_dir)
+    built = Models(spark, feeds, NOW, str(tmp_path / "w")).build()
+    group = "views-are-lazy"
+    spark.sparkContext.setJobGroup(group, "views")
+    try:
+        for view in ("vw_station_operations", "vw_trip_analytics_daily", "vw_weather_impact", "vw_station_operations_realtime"):
+            built.table(view)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 # --- streams -----------------------------------------------------------------------------------------
 
 
