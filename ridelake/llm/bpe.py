@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import id_and_text, map_batches
+from ridelake.llm.common import held, id_and_text, map_batches
 
 PIECE_CHARS = 32768
 # Words a worker remembers; when there are more, the half it met most often stays.
@@ -201,15 +201,9 @@ def _odd_texts(texts: pa.Array, odd: np.ndarray) -> list[str | None]:
     return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(spec: str) -> Encoder:
     """One encoder per worker process and tokenizer."""
-    if spec not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[spec] = Encoder(spec)
-    return _ENCODERS[spec]
+    return held(("tokenizer", spec), lambda: Encoder(spec))
 
 
 def halves(text: str, most: int) -> list[str]:
@@ -329,12 +323,12 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
         out = pa.RecordBatch.from_arrays([doc, lists], names=["doc_id", "ids"])
         return pa.Table.from_batches([_with_text(out, spec.value) if decoded else out])
 
-    few = map_batches(rows.where(~is_long), short, schema)
+    few = map_batches(rows.where(~is_long), short, schema, holds=True)
     key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit("key"), F.col("text")).alias("b")]
     pieces = map_batches(rows.where(is_long).select("doc_id", *key, "text"), cut, "doc_id long, a long, b long, no int, text string")
     # Equal rows meet as one; their number is kept.
     pieces = pieces.groupBy("doc_id", "a", "b", "no").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids array<int>")
+    encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids array<int>", holds=True)
     many = encoded.groupBy("doc_id", "a", "b").applyInArrow(whole, schema)
     return few.unionByName(many)
 
@@ -353,7 +347,7 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return _with_text(batch, spec.value)
 
-    return map_batches(tokens.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded string")
+    return map_batches(tokens.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded string", holds=True)
 
 
 def digests(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS) -> DataFrame:

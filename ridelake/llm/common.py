@@ -6,12 +6,15 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 # Rows, and bytes, that go to a Python worker at once. Texts may be long.
 BATCH_ROWS, BATCH_BYTES = 1000, "8m"
 
@@ -35,11 +38,31 @@ def prepare_workers(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 _SHIPPED: set[str] = set()
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``fn`` for every Arrow batch of ``df``; nothing is kept between batches."""
+_HELD: dict[object, object] = {}
+
+
+def held(key: object, build: Callable[[], T]) -> T:
+    """An object that a worker process keeps for its next tasks: one at a time, so what an
+    earlier job has left gives way."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Drop what the worker process holds."""
+    _HELD.clear()
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, holds: bool = False) -> DataFrame:
+    """``fn`` for every Arrow batch of ``df``. ``holds``: whether ``fn`` uses ``held``; if
+    not, what the worker holds is dropped."""
     prepare_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not holds:
+            release()
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)

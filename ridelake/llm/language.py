@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import Words, free_name, in_fold, map_batches, sampled
+from ridelake.llm.common import Words, free_name, held, in_fold, map_batches, sampled
 
 PER_LANGUAGE = 3000
 WORDS, GRAMS = 200_000, 200_000
@@ -100,14 +100,8 @@ class Scorer:
         return names, np.where(some, share[np.arange(len(best)), best], 0.0)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
-    if model.name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.name] = Scorer(model)
-    return _SCORERS[model.name]
+    return held(("language", model.name), lambda: Scorer(model))
 
 
 def learnable(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame:
@@ -190,7 +184,7 @@ def _predicted(docs: DataFrame, model: Model, columns: list[str], names: tuple[s
 
     kept = docs.select(*(F.col(f"`{c}`") for c in columns))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return map_batches(kept, run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
+    return map_batches(kept, run, f"{schema}, `{names[0]}` string, `{names[1]}` double", holds=True)
 
 
 def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2, per_language: int = PER_LANGUAGE) -> DataFrame:

@@ -42,18 +42,16 @@ def _keys(docs: DataFrame):
 def windows(docs: DataFrame) -> DataFrame:
     """(late, doc_id, ka, kb, at, ha, hb): each window, with its place and its hash."""
     doc_id, ka, kb = _keys(docs)
+    rows = docs.select(doc_id.alias("doc_id"), ka.alias("ka"), kb.alias("kb"), _lines(F.col("text")).alias("lines"))
+    # Referred to several times below, the lines stay a column of their own: they are cut once.
+    rows = rows.where(F.size("lines") >= WINDOW)
 
-    def hashes(lines):
-        starts = F.sequence(F.lit(0), F.size(lines) - WINDOW)
+    def of(i):
+        three = [F.get("lines", i + k) for k in range(WINDOW)]
+        return F.struct(F.xxhash64(F.lit(1), *three).alias("a"), F.xxhash64(F.lit(2), *three).alias("b"))
 
-        def of(i):
-            three = [F.get(lines, i + k) for k in range(WINDOW)]
-            return F.struct(F.xxhash64(F.lit(1), *three).alias("a"), F.xxhash64(F.lit(2), *three).alias("b"))
-
-        return F.when(F.size(lines) >= WINDOW, F.transform(starts, of))
-
-    found = with_value(_lines(F.col("text")), hashes)
-    rows = docs.select(doc_id.alias("doc_id"), ka.alias("ka"), kb.alias("kb"), F.posexplode(found).alias("at", "h"))
+    found = F.transform(F.sequence(F.lit(0), F.size("lines") - WINDOW), of)
+    rows = rows.select("doc_id", "ka", "kb", F.posexplode(found).alias("at", "h"))
     return rows.select(F.col("doc_id").isNull().alias("late"), "doc_id", "ka", "kb", "at", F.col("h.a").alias("ha"), F.col("h.b").alias("hb"))
 
 

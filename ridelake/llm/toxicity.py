@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.common import Words, id_and_text, in_fold, map_batches, sampled, with_value
+from ridelake.llm.common import Words, held, id_and_text, in_fold, map_batches, sampled, with_value
 from ridelake.llm.quality import labels_of
 from ridelake.session import stage
 
@@ -215,14 +215,8 @@ def quoted(text: str, start: int, end: int) -> float:
     return 1.0 if _REPORTING.search(before) else 0.0
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
-    if model.name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.name] = Scorer(model)
-    return _SCORERS[model.name]
+    return held(("toxicity", model.name), lambda: Scorer(model))
 
 
 def _without_copies(sample: DataFrame) -> DataFrame:
@@ -298,7 +292,7 @@ def _harmless(words: DataFrame, model: Model) -> list[str]:
         hit = [(m := scorer.match(w)) is not None and m[1] > 0 for w in batch.column("item").to_pylist()]
         return batch.filter(pa.array(hit, pa.bool_()))
 
-    found = map_batches(words.select("item", "harmless"), run, "item string, harmless long")
+    found = map_batches(words.select("item", "harmless"), run, "item string, harmless long", holds=True)
     return [r.item for r in found.orderBy(F.desc("harmless"), "item").limit(100_000).collect()]
 
 
@@ -314,7 +308,7 @@ def _calibrated(sample: DataFrame, model: Model) -> Model:
         return pa.RecordBatch.from_arrays([pa.array(bins), batch.column("y")], names=["bin", "y"])
 
     counts = np.zeros((101, 2))
-    for b, y, k in map_batches(sample, run, "bin int, y int").groupBy("bin", "y").count().collect():
+    for b, y, k in map_batches(sample, run, "bin int, y int", holds=True).groupBy("bin", "y").count().collect():
         counts[b, y] = k
     model.base = float((counts[0, 1] + 0.5) / (counts[0].sum() + 1))
     x, hits, rows = (np.arange(1, 101) - 0.5) / 2, counts[1:, 1] + 1e-3, counts[1:].sum(axis=1) + 2e-3
@@ -339,7 +333,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, remaind
         score = _scorer(shared.value).score(batch.column("text"))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.clip(score, 0, 1))], names=["doc_id", "score"])
 
-    return map_batches(rows, run, "doc_id long, score double").select(
+    return map_batches(rows, run, "doc_id long, score double", holds=True).select(
         "doc_id",
         in_fold(F.col("doc_id"), modulus, remainder).alias("held_out"),
         "score",
