@@ -13,8 +13,8 @@ everything beyond:
 
 A window that has reached both ends is the whole encoding itself, so a join always ends.
 
-Within a piece, words are cut at the blanks of the first kind and looked up in a bounded
-table of words the library has encoded before.
+Within a piece, words are cut at blanks of the first kind, and at line ends behind visible
+characters, and looked up in a bounded table of words the library has encoded before.
 
 Defined cases: a null text counts as empty; an empty text has no ids; repeated rows come
 out as often as they come in; a null ``doc_id`` stays null; other columns are ignored; the
@@ -35,7 +35,7 @@ from ridelake.llm.common import held, id_and_text, map_batches
 
 PIECE_CHARS = 32768
 # Words a worker remembers; when there are more, the half it met most often stays.
-TABLE_WORDS = 700_000
+TABLE_WORDS = 800_000
 # Words the library is given in one string.
 TOGETHER = 64
 # Letters on both sides of a place within a run, and tokens that have to agree there.
@@ -45,7 +45,10 @@ WINDOW = 32
 # White space of any notion; a blank behind one of these needs its neighbours.
 WHITE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u180e" + "".join(map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 _STOPS = (".", ",")
-_NOT_CUT = f"[{WHITE}] "
+# Texts in which a blank has white space beside it, and texts with white space before a
+# line end: there a cut needs a closer look.
+_NOT_CUT = f"[{WHITE}] | \n"
+_NOT_CUT_AT_LINES = f"[{WHITE}]\n"
 _CUT = re.compile(f"(?<=[^{WHITE}])(?= )")
 
 
@@ -74,7 +77,7 @@ class Encoder:
         return [np.array(e.ids, dtype=np.int32) for e in found]
 
     def _add(self, words: list[str]) -> None:
-        """Encode words that follow a blank, and remember them. A full stop or comma behind
+        """Encode words that follow a blank, or begin with a line end, and remember them. A full stop or comma behind
         a letter is a word of its own for the tokenizer: there the word before it counts."""
         stopped = [w for w in words if w[-1:] in _STOPS and w[-2:-1].isalpha()]
         rest = [w for w in words if not (w[-1:] in _STOPS and w[-2:-1].isalpha())]
@@ -94,12 +97,12 @@ class Encoder:
         alone = [w for w in words if not w or w[-1] in WHITE]
         joined = [w for w in words if w and w[-1] not in WHITE]
         parts = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
-        found = self.whole([" " + " ".join(p) for p in parts])
+        found = self.whole(["".join(w if w[0] == "\n" else " " + w for w in p) for p in parts])
         ids = np.concatenate([np.zeros(0, np.int32), *found])
-        ends = np.cumsum([len(w.encode()) + 1 for w in joined])
+        ends = np.cumsum([len(w.encode()) + (w[0] != "\n") for w in joined])
         after = np.searchsorted(np.cumsum(self.lengths()[ids]), ends) + 1 if joined else np.zeros(0, np.int64)
         sizes = np.diff(after, prepend=0)
-        single = self.whole([" " + w for w in alone])
+        single = self.whole([w if w[:1] == "\n" else " " + w for w in alone])
         sizes = np.concatenate([sizes, np.array([len(x) for x in single], dtype=np.int64)])
         self._remember(joined + alone, sizes, np.concatenate([ids, *single]))
 
@@ -130,7 +133,12 @@ class Encoder:
 
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, _NOT_CUT).to_numpy(zero_copy_only=False)
-        lists = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
+        even = pc.if_else(pa.array(odd), "", texts)
+        # A line end behind something visible ends a word as a blank does, but belongs to no
+        # word: a mark in front of it makes a word of what follows, known by the line end.
+        whole_lines = pc.match_substring_regex(even, _NOT_CUT_AT_LINES)
+        even = pc.if_else(whole_lines, even, pc.replace_substring(even, "\n", " \n"))
+        lists = pc.split_pattern(even, " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         words = lists.values.dictionary_encode()
         codes = words.indices.to_numpy()

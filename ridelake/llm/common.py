@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 T = TypeVar("T")
 
 # Rows, and bytes, that go to a Python worker at once. Texts may be long.
-BATCH_ROWS, BATCH_BYTES = 1000, "8m"
+BATCH_ROWS, BATCH_BYTES = 2000, "8m"
 
 
 def prepare_workers(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

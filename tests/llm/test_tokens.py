@@ -23,7 +23,7 @@ def reference(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
-PARTS = ["a", "the", " ", "  ", "\n", " \n ", "'s", "don't", "<|endoftext|>", "é", "日本", "😀", "123", "!!", "\xa0", "\t", "Anti", ".", ",", "x,", "end.", "\x1c", " ", "᠎ "]
+PARTS = ["a", "the", " ", "  ", "\n", " \n ", "'s", "don't", "<|endoftext|>", "é", "日本", "😀", "123", "!!", "\xa0", "\t", "Anti", "\n\n", "end.\nNew", "\nx.", ".", ",", "x,", "end.", "\x1c", " ", "᠎ "]
 texts = st.lists(st.sampled_from(PARTS), max_size=60).map("".join)
 
 
