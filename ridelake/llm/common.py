@@ -83,12 +83,6 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def text_key(column="text"):
-    """128 bits that stand for a text; null and the empty text differ."""
-    text = F.col(column) if isinstance(column, str) else column
-    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("key"), text, F.length(text)).alias("b"))
-
-
 def with_value(value, use):
     """``use(value)`` with ``value`` evaluated once: within a lambda, a column expression
     would be evaluated for every element."""

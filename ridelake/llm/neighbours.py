@@ -2,9 +2,10 @@
 
 Vectors scaled to length one are turned by pseudo-rotations - signs flipped at random and a
 fast Hadamard transform, three times - and belong to the signed axis nearest to them. Each
-of ``TABLES`` rotations makes a table; a key joins as many rotations as keep its lists short
-(one up to a million vectors, then two). Every vector is filed under its own key; a query
-probes the ``PROBES`` keys nearest to it in each table.
+of ``TABLES`` rotations makes a table, at any number of vectors alike, so recall does not
+change with it. Every vector is filed under its own key; a query probes the ``PROBES`` keys
+nearest to it in each table. (With ``rotations`` above one a key joins as many axes: shorter
+lists, for vectors whose neighbours are much nearer than the rest, and more probes needed.)
 
 Filed vectors and queries meet in packs of bounded size, split by a hash of the vector, and
 every pair of packs gives only the best of each query, by exact Euclidean distance on the
@@ -31,8 +32,8 @@ from ridelake.llm.common import map_batches
 from ridelake.session import stage
 
 TABLES, PROBES, SEED = 8, 16, 1000
-# Vectors and queries that meet in one pack, and vectors up to which a key has one rotation.
-PACK, ONE_ROTATION = 2048, 1 << 20
+# Vectors, and queries, that meet in one pack.
+PACK = 2048
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -165,16 +166,15 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
     return best.select("query_id", "rank", "vec_id", "score")
 
 
-def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 100, k: int = 10, rotations: int = 1, probes: int = PROBES) -> DataFrame:
     """query_id, rank, vec_id and score: the ``k`` nearest found of each vector whose id is
     divisible by ``every``, among all others."""
     rows = stage(usable(vectors).distinct(), "vectors")
     queries = rows.where(F.col("vec_id") % every == 0)
     copies = Window.partitionBy("dim", "v").orderBy("vec_id")
     kept = stage(rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).drop("copy"), "distinct-vectors")
-    rotations = 1 if kept.count() <= ONE_ROTATION else 2
     lists = packed(filed(kept, rotations, 1), ["dim", "table", "key"], PACK)
-    asked = packed(filed(queries, rotations, PROBES), ["dim", "table", "key"], PACK)
+    asked = packed(filed(queries, rotations, probes), ["dim", "table", "key"], PACK)
     asked = asked.select("dim", "table", "key", F.col("ids").alias("query_ids"), F.col("vs").alias("query_vs"))
     found = stage(ranked(best_of_packs(lists.join(asked, ["dim", "table", "key"]), k), k), "found")
     # Queries that met fewer than k candidates are compared with all vectors of their kind.

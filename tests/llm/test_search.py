@@ -40,6 +40,17 @@ def test_recall_and_order(spark):
         assert [(x[1], x[0]) for x in found] == sorted((x[1], x[0]) for x in found)
 
 
+def test_keys_of_two_rotations_probe_their_own_first(spark):
+    r = np.random.default_rng(2)
+    x = r.normal(size=(50, 24))
+    near = neighbours.keys(x, 0, 2, 64)
+    assert near.shape == (50, 64) and all(len(set(row)) == 64 for row in near.tolist())
+    assert (near[:, 0] == neighbours.keys(x * 3.0, 0, 2, 1)[:, 0]).all()
+    rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(300, 16)))]
+    got = neighbours.nearest(vectors(spark, rows), rotations=2, probes=256).collect()
+    assert {(x.query_id, x["rank"]) for x in got} == {(q, k) for q in (0, 100, 200) for k in range(1, 11)}
+
+
 def test_odd_vectors_ties_and_small_tables(spark):
     rows = [(0, [1, 0]), (1, [0, 0]), (2, None), (3, [1, None]), (4, [float("nan"), 1]), (5, [float("inf"), 1]), (6, []), (100, [0, 2])]
     rows += [(i, [1, 0]) for i in range(10, 30)] + [(50, [1, 0]), (200, [1e200, 1e200])]
