@@ -278,6 +278,7 @@ Q["weather_json_to_rows"] = rounded(
 FROM events)""",
     [d for d in _DOUBLES if d not in ("latitude", "longitude")],
 )
+Q["backfill_weather"] = f"SELECT * FROM ({Q['weather_json_to_rows']}) WHERE weather_date <= DATE '2024-01-20'"
 # Reports as the polls carry them.
 T["polled"] = f"""
 SELECT r.* REPLACE (
@@ -331,6 +332,12 @@ Q["ingest_metrics"] = plain(
   count(*) FILTER (WHERE NOT unusable) AS published, count(*) FILTER (WHERE unusable) AS skipped,
   'success' AS status FROM polled"""
 )
+Q["ingest_run_report"] = plain(
+    """SELECT 'all' AS run_id, true AS timed, count(*) AS fetched, count(*) FILTER (WHERE NOT unusable) AS published,
+  count(*) FILTER (WHERE unusable) AS skipped, 'success' AS status, CAST(NULL AS VARCHAR) AS error FROM polled
+UNION ALL SELECT 'useless', true, NULL, NULL, NULL, 'failed',
+  'none of ' || count(*) || ' reports could be published' FROM polled"""
+)
 # Written table -> (layer, table of the expected results).
 LAYERS = {
     "stg_trips": ("staging", "stg_trips"),

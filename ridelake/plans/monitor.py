@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake import rules
@@ -13,7 +13,7 @@ from ridelake.functions.bands import ladder
 from ridelake.functions.calendar import utc
 from ridelake.functions.numeric import elapsed
 from ridelake.operators.ranking import top_k
-from ridelake.sources.status import parse_stations
+from ridelake.sources.status import accepted, parse_stations
 
 
 def source_freshness(sources: Mapping[str, tuple[DataFrame, str]], now: dt.datetime) -> DataFrame:
@@ -142,3 +142,34 @@ def ingest_metrics(parsed: DataFrame) -> DataFrame:
     )
     outcome = F.when(F.col("published") > 0, "success").otherwise("failed")
     return counts.withColumn("status", outcome)
+
+
+RUN_REPORT = (
+    "run_id STRING, started_at TIMESTAMP, ended_at TIMESTAMP, duration_seconds DOUBLE, "
+    "fetched BIGINT, published BIGINT, skipped BIGINT, status STRING, error STRING"
+)
+
+
+def run_report(spark: SparkSession, run_id: str, job: Callable[[], dict[str, int]]) -> DataFrame:
+    """One row about a run of ``job``, which returns its counts: when it ran, how long, with
+    what outcome, and the text of the error that ended it."""
+    started, counts, error = dt.datetime.now(dt.timezone.utc), {}, None
+    try:
+        counts = job()
+    except Exception as failure:  # the report is how failures are told
+        error = str(failure).splitlines()[0] if str(failure) else type(failure).__name__
+    ended = dt.datetime.now(dt.timezone.utc)
+    numbers = [counts.get(c) for c in ("fetched", "published", "skipped")]
+    status = "success" if error is None else "failed"
+    row = (run_id, started, ended, (ended - started).total_seconds(), *numbers, status, error)
+    return spark.createDataFrame([row], RUN_REPORT)
+
+
+def ingest_polls(polls: DataFrame, body: str, ingested_at: Column, path: str) -> dict[str, int]:
+    """Parse polls, write the accepted reports to ``path`` and return the counts of the run.
+    Polls of which no report can be published fail the run."""
+    observed, metrics = observed_parse(polls, body, ingested_at)
+    accepted(observed).write.mode("overwrite").parquet(path)
+    if not metrics.get["published"]:
+        raise ValueError(f"none of {metrics.get['fetched']} reports could be published")
+    return dict(metrics.get)

@@ -247,6 +247,31 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of two runs: one over all polls, one over reports that all are unusable."""
+    rows = polls(spark, sf_dir)
+    useless = rows.withColumn("value", F.regexp_replace("value", '"last_reported":[0-9]+', '"last_reported":7'))
+    runs = {"all": rows, "useless": useless}
+    report = None
+    for run_id, source in runs.items():
+        path = stage_path(spark, "reports")
+        row = monitor.run_report(spark, run_id, lambda: monitor.ingest_polls(source, "value", utc(NOW), path))
+        report = row if report is None else report.unionByName(row)
+    timed = (F.col("ended_at") >= F.col("started_at")) & (F.col("duration_seconds") >= 0)
+    return report.select("run_id", timed.alias("timed"), "fetched", "published", "skipped", "status", "error")
+
+
+def backfill_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather of the days to the 20th, of which those from the 10th on were filled in later,
+    twice."""
+    parsed = weather.parse_weather(_weather_responses(spark, sf_dir), "body", NOW)
+    path, tenth = stage_path(spark, "weather_raw"), dt.date(2024, 1, 10)
+    weather.append_weather(parsed.where(F.col("weather_date") < F.lit(tenth)), path)
+    for _ in range(2):
+        weather.load_weather_range(parsed, path, tenth, CUTOFF)
+    return layout.read_table(spark, path, parsed)
+
+
 _WAREHOUSES: dict[tuple[str, str], Models] = {}
 
 
@@ -374,7 +399,9 @@ QUERIES = {
     "poll_rejects": poll_rejects,
     "weather_rejects": weather_rejects,
     "status_to_messages": status_to_messages,
+    "backfill_weather": backfill_weather,
     "ingest_metrics": ingest_metrics,
+    "ingest_run_report": ingest_run_report,
     "run_layer": run_layer,
     "refresh_trips": refresh_trips,
     "refresh_station_days": refresh_station_days,

@@ -75,6 +75,12 @@ def last_months(as_of: dt.date, count: int = 3) -> list[str]:
     return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(month - count, month)]
 
 
+def months_between(first: str, last: str) -> list[str]:
+    """The months from ``first`` to ``last`` (``yyyy-MM``), both included."""
+    number = [int(m[:4]) * 12 + int(m[5:7]) - 1 for m in (first, last)]
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(number[0], number[1] + 1)]
+
+
 def read_months(
     spark: SparkSession, path: str, months: list[str], optional: T.StructType | None = None
 ) -> DataFrame:

@@ -69,3 +69,11 @@ def append_weather(rows: DataFrame, path: str) -> None:
     rows.sortWithinPartitions(F.desc("weather_date")).write.mode("append").partitionBy(
         "weather_date"
     ).parquet(path)
+
+
+def load_weather_range(rows: DataFrame, path: str, first: dt.date, last: dt.date) -> None:
+    """Replace the days from ``first`` to ``last`` by those of ``rows``: a backfill that may
+    be repeated. Days that ``rows`` lacks keep what they have."""
+    days = rows.where(F.col("weather_date").between(F.lit(first), F.lit(last)))
+    writer = days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("weather_date").parquet(path)

@@ -186,6 +186,7 @@ def test_csv_with_empty_fields_lands_by_month(spark, tmp_path):
 def test_backfill_months_cross_the_year():
     assert trips.last_months(dt.date(2024, 2, 15)) == ["2023-11", "2023-12", "2024-01"]
     assert trips.last_months(dt.date(2024, 1, 1), 1) == ["2023-12"]
+    assert trips.months_between("2023-11", "2024-02") == ["2023-11", "2023-12", "2024-01", "2024-02"]
 
 
 def test_new_column_in_a_later_month(spark, tmp_path):
