@@ -246,8 +246,10 @@ def trip_analytics_daily(
             F.max(minutes).alias("max_trip_duration"),
             F.stddev_samp(minutes).alias("stddev_trip_duration"),
             *[c.alias(name) for name, c in _duration_classes(minutes).items()],
-            F.count_distinct("start_station_key").alias("unique_start_stations"),
-            F.count_distinct("end_station_key").alias("unique_end_stations"),
+            # Sets hold the stations of one hour at most, and are merged from those of each
+            # task; two distinct counts would send every trip through the plan three times.
+            F.size(F.collect_set("start_station_key")).cast("long").alias("unique_start_stations"),
+            F.size(F.collect_set("end_station_key")).cast("long").alias("unique_end_stations"),
         )
     )
     calendar = _days(dates, as_of, days).select(
