@@ -3,9 +3,10 @@
 The lexicon is learned: words, and beginnings of words of ``STEMS`` letters, that many toxic
 texts have and next to no others. It is kept in a trie, which is intersected with the
 automata of up to one error (insertion, deletion, other letter, two swapped) for terms of
-``FUZZY`` letters or more. The product is built lazily: a state is the set of (trie node,
-errors) that the letters so far allow, so a word is read letter by letter and dropped once no
-term is left. Inexact spellings that harmless texts use count as harmless words.
+``FUZZY`` letters or more. Stems match when spelled out; a term whose stem is learned too
+stays a term, so it may be misspelled. The product is built lazily: a state is the set of
+(trie node, errors) that the letters so far allow, so a word is read letter by letter and
+dropped once no term is left. Inexact spellings that harmless texts use count as harmless words.
 
 Every hit is scored by its window of characters: quotation marks around it, words of
 reporting before it, and a bare mention among other hits make it count less than plain
@@ -38,7 +39,7 @@ from ridelake.llm.quality import labels_of
 from ridelake.session import stage
 
 MOST = 20_000
-STEMS, FUZZY = (4, 5, 6), 5
+STEMS, FUZZY = (4, 5, 6), 4
 # Toxic texts a term is in at least, and as a share of them (copies of one text repeat its
 # rare words); its rate in harmless texts at most, as a share of that in toxic ones.
 LEAST, LEAST_SHARE, IMPURE, TERMS = 5, 0.02, 0.02, 2000
@@ -61,16 +62,17 @@ class Automaton:
 
     def __init__(self, terms: list[str], stems: list[str], fuzzy: int = FUZZY):
         self.children: list[dict[str, int]] = [{}]
-        self.term: list[tuple[str, bool] | None] = [None]
+        # Where a term, or a stem, or both of the same letters end: (its name, is it a stem).
+        self.term: list[list[tuple[str, bool]]] = [[]]
         for term, is_stem in [(t, False) for t in terms] + [(s, True) for s in stems]:
             node = 0
             for c in term:
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
-                    self.term.append(None)
+                    self.term.append([])
                 node = self.children[node][c]
-            self.term[node] = (term, is_stem)
+            self.term[node].append((stem_name(term) if is_stem else term, is_stem))
         self.fuzzy = fuzzy
         self.depth = [0] * len(self.children)
         for node, children in enumerate(self.children):
@@ -112,11 +114,12 @@ class Automaton:
         return self.number[closed]
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """(term, errors) of the best match: a whole word, or a stem it begins with."""
+        """(term, errors) of the best match: of as few errors, a whole word rather than a stem
+        it begins with, and a long one rather than a short one."""
         if len(self.states) > 50_000:
             self.states, self.steps = self.states[:1], [{}]
             self.number = {self.states[0]: 0}
-        state, best = 0, None
+        state, best, rank = 0, None, None
         for i, c in enumerate(word):
             after = self.steps[state].get(c)
             if after is None:
@@ -126,16 +129,22 @@ class Automaton:
                 return best
             last = i + 1 == len(word)
             for node, errors, owed in self.states[state]:
-                hit = self.term[node]
-                if hit is None or owed or (errors and self.depth[node] < self.fuzzy):
+                if owed or (errors and self.depth[node] < self.fuzzy):
                     continue
-                # Stems count when spelled out, whole terms at the end of the word.
-                if (hit[1] and errors == 0) or (last and not hit[1]):
-                    if best is None or (errors, -len(hit[0])) < (best[1], -len(best[0])):
-                        best = (hit[0], errors)
+                for name, is_stem in self.term[node]:
+                    # Stems count when spelled out, whole terms at the end of the word.
+                    if (is_stem and errors == 0) or (last and not is_stem):
+                        this = (errors, is_stem, -self.depth[node], name)
+                        if best is None or this < rank:
+                            best, rank = (name, errors), this
         return best
 
 
+def stem_name(stem: str) -> str:
+    """What a stem is called among terms, which may have the same letters."""
+    return stem + "*"
+
+
 @dataclass
 class Model:
     terms: list[str] = field(default_factory=list)
@@ -273,8 +282,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     top = sure.orderBy(F.desc("toxic"), "item", "stem").limit(TERMS).collect()
     stems = {r.item for r in top if r.stem}
     stems = sorted(x for x in stems if not any(x[:k] in stems for k in range(1, len(x))))
-    terms = [r.item for r in top if not r.stem and not any(r.item[:k] in set(stems) for k in STEMS if k < len(r.item))]
-    weight = {r.item: float(np.log((r.toxic / n[1] + 1e-4) / (r.harmless / n[0] + 1e-4))) for r in top}
+    terms = [r.item for r in top if not r.stem]
+    weight = {stem_name(r.item) if r.stem else r.item: float(np.log((r.toxic / n[1] + 1e-4) / (r.harmless / n[0] + 1e-4))) for r in top}
     model = Model(terms=terms, stems=stems, weight=weight)
     # Calibrated on texts whose harmless words the model has not been told; then told all.
     half_told = Model(terms, stems, _harmless(counts.where("NOT stem AND seen > 0"), model), weight)

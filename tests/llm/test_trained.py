@@ -116,6 +116,46 @@ def test_quotation_counts_less_than_abuse():
     assert plain > 0.9 and quoted < 0.5 and said < 0.5 and 0 < wrong < plain and clean == 0
 
 
+ABUSE = ["trash", "pathetic", "idiot", "worthless", "disgusting", "clown", "stupid", "moron", "scum", "loser"]
+
+
+def prose(r, *more):
+    """Some 30 harmless words, and ``more`` among them."""
+    words = ["".join(r.choice("bdfglnprtv") + r.choice("aeiou") for _ in range(r.randrange(3, 5))) for _ in range(30)]
+    for m in more:
+        words.insert(r.randrange(2, len(words) - 2), m)
+    return " ".join(words)
+
+
+def fitted(spark, toxic, harmless):
+    texts = dict(enumerate([*toxic, *harmless]))
+    labels = spark.createDataFrame([(i, int(i < len(toxic))) for i in texts], "doc_id long, y int")
+    return toxicity.Scorer(toxicity.fit(docs(spark, texts), labels))
+
+
+def abuse_and_prose(quoting=0):
+    """150 toxic texts with three terms each, 300 harmless ones of which some quote a term."""
+    import random
+
+    r = random.Random(5)
+    toxic = [prose(r, *r.sample(ABUSE, 3), *(r.choice(["trashy", "idiotic", "clownish", "moronic", "stupidly"]) for _ in range(2))) for _ in range(150)]
+    return r, toxic, [prose(r, f'the word "{r.choice(ABUSE)}" is') if i < quoting else prose(r) for i in range(300)]
+
+
+def test_misspellings_of_terms_that_have_stems(spark):
+    r, toxic, harmless = abuse_and_prose()
+    scorer = fitted(spark, toxic, harmless)
+    wrong = ["trahs", "ptahetic", "idoit", "idot", "worhtless", "dsigusting", "clwon", "stpuid", "mroon", "scmu", "losser"]
+    assert [w for w in wrong if scorer.match(w) is None] == []
+    assert (scorer.score(pa.array([prose(r, w) for w in wrong])) >= toxicity.THRESHOLD).all()
+    assert scorer.match("trash")[1] == 0 and scorer.match("trashes")[1] == 0
+
+
+def test_a_term_and_a_stem_of_the_same_letters():
+    automaton = toxicity.Automaton(["trash"], ["trash"])
+    assert [automaton.match(w)[1] for w in ("trash", "trashy", "trahs")] == [0, 0, 1]
+
+
 # --- personal data ----------------------------------------------------------------------------------
 
 
