@@ -1,7 +1,7 @@
 """Toxicity: misspelled terms by Levenshtein automata, abuse told from quotation by context.
 
-The lexicon is learned: words, and beginnings of words of ``STEMS`` letters, that many toxic
-texts have and next to no others. It is kept in a trie, which is intersected with the
+The lexicon is learned: words, and beginnings of words of ``STEMS`` letters, that toxic
+texts have and next to no others, in more texts than chance would bring. It is kept in a trie, which is intersected with the
 automata of up to one error (insertion, deletion, other letter, two swapped) for terms of
 ``FUZZY`` letters or more. Stems match when spelled out; a term whose stem is learned too
 stays a term, so it may be misspelled. The product is built lazily: a state is the set of
@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.llm.common import Words, held, id_and_text, in_fold, map_batches, sampled, with_value
@@ -40,9 +40,12 @@ from ridelake.session import stage
 
 MOST = 20_000
 STEMS, FUZZY = (4, 5, 6), 4
-# Toxic texts a term is in at least, and as a share of them (copies of one text repeat its
-# rare words); its rate in harmless texts at most, as a share of that in toxic ones.
-LEAST, LEAST_SHARE, IMPURE, TERMS = 5, 0.02, 0.02, 2000
+# Toxic texts a term is in at least (near copies count once); its rate in harmless texts at
+# most, as a share of that in toxic ones; terms and stems at most, the surest first.
+LEAST, IMPURE, TERMS = 5, 0.02, 20_000
+# Log-likelihood ratio of a term at least: chance passes it once in ten thousand words. A
+# word that no harmless text has needs 11 toxic ones, however large the sample.
+SURE = 15.13
 THRESHOLD = 0.7
 BETWEEN = r"[^\p{L}\p{N}@$]+"
 # Characters around a hit that are looked at, and how much a quoted hit counts.
@@ -278,8 +281,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     # Rates allow for unequal numbers of toxic and harmless texts in the sample.
     rate = F.col("toxic") / n[1]
     other = F.col("harmless") / n[0]
-    sure = counts.where((F.col("toxic") >= max(LEAST, LEAST_SHARE * n[1])) & (other <= IMPURE * rate))
-    top = sure.orderBy(F.desc("toxic"), "item", "stem").limit(TERMS).collect()
+    sure = counts.withColumn("ratio", _ratio(F.col("toxic"), F.col("harmless"), n[1], n[0]))
+    sure = sure.where((F.col("toxic") >= LEAST) & (other <= IMPURE * rate) & (F.col("ratio") >= SURE))
+    top = sure.orderBy(F.desc("ratio"), "item", "stem").limit(TERMS).collect()
     stems = {r.item for r in top if r.stem}
     stems = sorted(x for x in stems if not any(x[:k] in stems for k in range(1, len(x))))
     terms = [r.item for r in top if not r.stem]
@@ -291,6 +295,13 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     return Model(terms, stems, _harmless(counts.where("NOT stem AND harmless > 0"), model), weight, fitted.bias, fitted.slope, fitted.base)
 
 
+def _ratio(toxic: Column, harmless: Column, n_toxic: int, n_harmless: int) -> Column:
+    """Log-likelihood ratio (G) of texts with and without an item, toxic and harmless."""
+    n, have = n_toxic + n_harmless, toxic + harmless
+    cells = [(toxic, have, n_toxic), (harmless, have, n_harmless), (n_toxic - toxic, n - have, n_toxic), (n_harmless - harmless, n - have, n_harmless)]
+    return 2 * sum(F.when(seen > 0, seen * F.ln(seen * n / (row * column))).otherwise(0.0) for seen, row, column in cells)
+
+
 def _harmless(words: DataFrame, model: Model) -> list[str]:
     """Words of harmless texts that an inexact match would take for a term; of these only
     the 100,000 most frequent."""

@@ -156,6 +156,18 @@ def test_a_term_and_a_stem_of_the_same_letters():
     assert [automaton.match(w)[1] for w in ("trash", "trashy", "trahs")] == [0, 0, 1]
 
 
+def test_terms_that_few_toxic_texts_have(spark):
+    import random
+
+    r = random.Random(6)
+    terms = [f"{a}x{b}k{a}" for a in "qwzhjkmcsy" for b in "abcdefghijklmnopqrst"]
+    toxic = [prose(r, terms[i % 200], terms[(i * 7 + 1) % 200]) for i in range(1200)]
+    scorer = fitted(spark, toxic, [prose(r) for _ in range(1200)])
+    assert set(terms) <= set(scorer.model.terms)
+    assert (scorer.score(pa.array([prose(r, t) for t in terms])) >= toxicity.THRESHOLD).all()
+    assert (scorer.score(pa.array([prose(r) for _ in range(200)])) < toxicity.THRESHOLD).mean() > 0.98
+
+
 # --- personal data ----------------------------------------------------------------------------------
 
 
