@@ -8,10 +8,12 @@ stays a term, so it may be misspelled. The product is built lazily: a state is t
 (trie node, errors) that the letters so far allow, so a word is read letter by letter and
 dropped once no term is left. Inexact spellings that harmless texts use count as harmless words.
 
-Every hit is scored by its window of characters: quotation marks around it, words of
-reporting before it, and a bare mention among other hits make it count less than plain
-use. The score of a text is the calibrated sum over its hits, by how exact they are and
-how sure their terms.
+Every hit is looked at in its window of characters: quotation marks around it, or words of
+reporting before it, make it a quotation. Quoted words do not count when the lexicon is
+learned, so a term may be quoted in harmless texts. The score of a text is the calibrated
+sum over its plain hits, by how exact they are and how sure their terms. Texts with quoted
+hits only have a curve of their own, which keeps a lone quoted hit below the threshold
+unless labelled texts speak for more.
 
 The model is fitted on at most about ``MOST`` labelled texts of each label (a bounded
 sample, chosen by hash).
@@ -48,8 +50,9 @@ LEAST, IMPURE, TERMS = 5, 0.02, 20_000
 SURE = 15.13
 THRESHOLD = 0.7
 BETWEEN = r"[^\p{L}\p{N}@$]+"
-# Characters around a hit that are looked at, and how much a quoted hit counts.
-WINDOW, QUOTED = 40, 0.25
+# Characters around a hit that are looked at; harmless texts, with one quoted hit of the
+# heaviest term, that are added to the labelled ones.
+WINDOW, QUOTING = 40, 4.0
 # How much a misspelled hit counts.
 INEXACT = 0.3
 REMEMBERED = 300_000
@@ -57,7 +60,11 @@ REMEMBERED = 300_000
 # Digits and signs written in place of letters.
 _SWAPS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
 _OPEN, _CLOSE = "\"'«“‘„‹`", "\"'»”’“›`"
-_REPORTING = re.compile(r"\b(quot\w*|said|says|saying|called|calls|the word|the term|wrote|cit\w+|genannt|sagte|zitat|das wort|le mot|a dit|palabra|dijo|llam\w+)\W*$")
+WORD = re.compile(r"(?:[^\W_]|[@$])+")
+_REPORTS = r"\b(quot\w*|said|says|saying|called|calls|the word|the term|wrote|cit\w+|genannt|sagte|zitat|das wort|le mot|a dit|palabra|dijo|llam\w+)"
+_REPORTING = re.compile(_REPORTS + r"\W*$")
+# What may make the words after it quoted.
+_MARKS = re.compile(f"[{re.escape(_OPEN)}]|{_REPORTS}")
 
 
 class Automaton:
@@ -157,6 +164,8 @@ class Model:
     bias: float = 0.0
     slope: float = 1.0
     base: float = 0.0
+    quoted_bias: float = -3.0
+    quoted_slope: float = 0.0
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
@@ -198,21 +207,46 @@ class Scorer:
             out[text_no].append((words.distinct[code], *found[code]))
         return out, [lowered[i].as_py() if out[i] else "" for i in range(len(texts))]
 
-    def evidence(self, hits: list[tuple[str, str, int]], text: str) -> float:
-        """The weights of all hits, less where the window speaks for a quotation."""
-        total, at = 0.0, 0
+    def evidence(self, hits: list[tuple[str, str, int]], text: str) -> tuple[float, float]:
+        """The weights of all plain hits, and of all quoted ones."""
+        sums, at = [0.0, 0.0], 0
         for word, term, errors in hits:
-            at = text.find(word, at)
+            at = place(text, word, at)
             context = quoted(text, at, at + len(word)) if at >= 0 else 0.0
             at = max(at, 0) + len(word)
-            total += self.model.weight.get(term, 1.0) * (1.0 if errors == 0 else INEXACT) * (1 - (1 - QUOTED) * context)
-        return total
+            sums[context > 0] += self.model.weight.get(term, 1.0) * (1.0 if errors == 0 else INEXACT)
+        return sums[0], sums[1]
 
     def score(self, texts: pa.Array) -> np.ndarray:
         found, lowered = self.hits(texts)
-        sums = np.array([self.evidence(h, t) for h, t in zip(found, lowered)])
-        plain = 1 / (1 + np.exp(-(self.model.bias + self.model.slope * np.minimum(sums, 50.0))))
-        return np.where(sums > 0, plain, self.model.base)
+        sums = np.array([self.evidence(h, t) for h, t in zip(found, lowered)]).reshape(-1, 2)
+        m, (plain, quotes) = self.model, np.minimum(sums, 50.0).T
+        only_quoted = np.where(quotes > 0, 1 / (1 + np.exp(-(m.quoted_bias + m.quoted_slope * quotes))), m.base)
+        return np.where(plain > 0, 1 / (1 + np.exp(-(m.bias + m.slope * plain))), only_quoted)
+
+
+def place(text: str, word: str, start: int) -> int:
+    """Where ``word`` next stands as a whole word, or -1."""
+    at = text.find(word, start)
+    while at >= 0 and ((at and WORD.match(text[at - 1])) or WORD.match(text, at + len(word))):
+        at = text.find(word, at + 1)
+    return at
+
+
+def unquoted(text: str) -> str:
+    """The text with its quoted words blanked; quotation is looked for behind marks only."""
+    parts, kept, looked = [], 0, 0
+    for mark in _MARKS.finditer(text):
+        for word in WORD.finditer(text, max(looked, mark.end())):
+            if word.start() > mark.start() + WINDOW:
+                break
+            looked, whole = word.end(), not WORD.match(text[word.start() - 1])
+            if whole and quoted(text, word.start(), looked):
+                parts += [text[kept : word.start()], " " * (looked - word.start())]
+                kept = looked
+            if mark[1]:  # a word of reporting stands right before
+                break
+    return "".join([*parts, text[kept:]])
 
 
 def quoted(text: str, start: int, end: int) -> float:
@@ -245,10 +279,12 @@ def _without_copies(sample: DataFrame) -> DataFrame:
 
 def _item_counts(sample: DataFrame) -> DataFrame:
     """(item, stem, toxic, harmless, seen): texts of the sample with each word and word
-    beginning; seen: the harmless ones in the first half of the sample."""
+    beginning outside quotations; seen: the harmless ones in the first half of the sample."""
+    import pyarrow.compute as pc
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(batch.column("text"), BETWEEN, lower=True)
+        texts = pc.utf8_lower(batch.column("text")).to_pylist()
+        words = Words(pa.array([unquoted(t) for t in texts], pa.string()), BETWEEN)
         names = words.distinct.tolist()
         toxic = batch.column("y").to_pylist()
         found: dict[tuple[str, bool], list[int]] = {}
@@ -292,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     # Calibrated on texts whose harmless words the model has not been told; then told all.
     half_told = Model(terms, stems, _harmless(counts.where("NOT stem AND seen > 0"), model), weight)
     fitted = _calibrated(sample.where("NOT half"), half_told)
-    return Model(terms, stems, _harmless(counts.where("NOT stem AND harmless > 0"), model), weight, fitted.bias, fitted.slope, fitted.base)
+    return Model(terms, stems, _harmless(counts.where("NOT stem AND harmless > 0"), model), weight, *fitted)
 
 
 def _ratio(toxic: Column, harmless: Column, n_toxic: int, n_harmless: int) -> Column:
@@ -316,32 +352,42 @@ def _harmless(words: DataFrame, model: Model) -> list[str]:
     return [r.item for r in found.orderBy(F.desc("harmless"), "item").limit(100_000).collect()]
 
 
-def _calibrated(sample: DataFrame, model: Model) -> Model:
-    """Bias and slope of a logistic curve over the evidence, from counts in bins of it."""
+def _calibrated(sample: DataFrame, model: Model) -> tuple[float, float, float, float, float]:
+    """Bias and slope of a logistic curve over the evidence of plain hits, the rate of texts
+    without hits, and bias and slope over that of quoted hits, from counts in bins."""
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         scorer = _scorer(shared.value)
         found, lowered = scorer.hits(batch.column("text"))
-        sums = np.array([scorer.evidence(h, t) for h, t in zip(found, lowered)])
-        bins = np.where(sums > 0, np.minimum(np.ceil(sums * 2), 100), 0).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(bins), batch.column("y")], names=["bin", "y"])
-
-    counts = np.zeros((101, 2))
-    for b, y, k in map_batches(sample, run, "bin int, y int", holds=True).groupBy("bin", "y").count().collect():
-        counts[b, y] = k
-    model.base = float((counts[0, 1] + 0.5) / (counts[0].sum() + 1))
-    x, hits, rows = (np.arange(1, 101) - 0.5) / 2, counts[1:, 1] + 1e-3, counts[1:].sum(axis=1) + 2e-3
+        plain, quotes = np.array([scorer.evidence(h, t) for h, t in zip(found, lowered)]).reshape(-1, 2).T
+        only_quoted = (plain == 0) & (quotes > 0)
+        bins = np.minimum(np.ceil(np.where(only_quoted, quotes, plain) * 2), 100).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(only_quoted), pa.array(bins), batch.column("y")], names=["only_quoted", "bin", "y"])
+
+    counts = np.zeros((2, 101, 2))
+    for q, b, y, k in map_batches(sample, run, "only_quoted boolean, bin int, y int", holds=True).groupBy("only_quoted", "bin", "y").count().collect():
+        counts[int(q), b, y] = k
+    base = float((counts[0, 0, 1] + 0.5) / (counts[0, 0].sum() + 1))
     # Two texts that nobody has seen hold the curve where all have one label.
-    x, hits, rows = np.append(x, [0.0, 5.0]), np.append(hits, [0.5, 1.0]), np.append(rows, [1.0, 1.0])
-    beta = np.zeros(2)
-    features = np.stack([np.ones_like(x), x], axis=1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(features @ beta, -30, 30)))
-        hessian = (features * (rows * p * (1 - p))[:, None]).T @ features + 1e-2 * np.eye(2)
-        beta += np.clip(np.linalg.solve(hessian, features.T @ (hits - rows * p) - 1e-2 * beta), -2, 2)
-    model.bias, model.slope = float(beta[0]), float(max(0.0, beta[1]))
-    return model
+    plain = _curve(counts[0], [0.0, 5.0], [0.5, 1.0], [1.0, 1.0])
+    quotes = _curve(counts[1], [max(model.weight.values(), default=1.0)], [0.0], [QUOTING])
+    return *plain, base, *quotes
+
+
+def _curve(counts: np.ndarray, at: list[float], toxic: list[float], texts: list[float]) -> tuple[float, float]:
+    """Bias and slope, not below 0, fitted to bins of evidence and the given texts beside."""
+    x = np.append((np.arange(1, 101) - 0.5) / 2, at)
+    hits, rows = np.append(counts[1:, 1] + 1e-3, toxic), np.append(counts[1:].sum(axis=1) + 2e-3, texts)
+    for features in (np.stack([np.ones_like(x), x], axis=1), np.ones((len(x), 1))):
+        beta = np.zeros(features.shape[1])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(features @ beta, -30, 30)))
+            hessian = (features * (rows * p * (1 - p))[:, None]).T @ features + 1e-2 * np.eye(len(beta))
+            beta += np.clip(np.linalg.solve(hessian, features.T @ (hits - rows * p) - 1e-2 * beta), -2, 2)
+        if beta[-1] >= 0 and len(beta) == 2:
+            return float(beta[0]), float(beta[1])
+    return float(beta[0]), 0.0
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, threshold: float = THRESHOLD) -> DataFrame:

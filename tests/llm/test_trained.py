@@ -121,7 +121,7 @@ ABUSE = ["trash", "pathetic", "idiot", "worthless", "disgusting", "clown", "stup
 
 def prose(r, *more):
     """Some 30 harmless words, and ``more`` among them."""
-    words = ["".join(r.choice("bdfglnprtv") + r.choice("aeiou") for _ in range(r.randrange(3, 5))) for _ in range(30)]
+    words = ["".join(r.choice("bcdfghjklnpqrtvwxz") + r.choice("aeiou") for _ in range(r.randrange(3, 5))) for _ in range(30)]
     for m in more:
         words.insert(r.randrange(2, len(words) - 2), m)
     return " ".join(words)
@@ -168,6 +168,30 @@ def test_terms_that_few_toxic_texts_have(spark):
     assert (scorer.score(pa.array([prose(r) for _ in range(200)])) < toxicity.THRESHOLD).mean() > 0.98
 
 
+@pytest.mark.parametrize("quoting", [0, 100])
+def test_fitted_model_tells_quotation_from_abuse(spark, quoting):
+    r, toxic, harmless = abuse_and_prose(quoting)
+    scorer = fitted(spark, toxic, harmless)
+    assert set(ABUSE) <= set(scorer.model.terms)
+    plain = scorer.score(pa.array([prose(r, t) for t in ABUSE]))
+    quoted = scorer.score(pa.array([prose(r, f'"{t}"') for t in ABUSE]))
+    wrong = scorer.score(pa.array([prose(r, f"they said {t}") for t in ("idoit", "mroon", "trahs")]))
+    both = scorer.score(pa.array([prose(r, f'"{t}"', f"you {t}") for t in ABUSE]))
+    assert (plain >= toxicity.THRESHOLD).all() and (both >= toxicity.THRESHOLD).all()
+    assert (quoted < toxicity.THRESHOLD).all() and (wrong < toxicity.THRESHOLD).all()
+
+
+def test_unquoted_words_are_those_that_no_window_marks():
+    import random
+
+    r = random.Random(7)
+    parts = ["said", "the word", "idiot", '"', "'", "«", "»", "don't", "city", "é", ", ", "\n", "x" * 45, "@b"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) + r.choice(["", " "]) for _ in range(r.randrange(30)))
+        want = [m[0] for m in toxicity.WORD.finditer(text) if not toxicity.quoted(text, m.start(), m.end())]
+        assert toxicity.WORD.findall(toxicity.unquoted(text)) == want, text
+
+
 # --- personal data ----------------------------------------------------------------------------------
 
 
