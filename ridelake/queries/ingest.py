@@ -19,6 +19,7 @@ from ridelake.sources import status, trips, weather
 from ridelake.sources.feeds import NOW, NUMBERED_STATUS_SQL, Feeds, event_feeds, events
 
 STATIONS_PER_POLL = 32
+LINES_A_FILE = 1_000_000
 CUTOFF = dt.date(2024, 1, 20)
 
 
@@ -51,6 +52,16 @@ def land_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.read_months(spark, landing, _all_months(spark, landing)).drop("source")
 
 
+def _write_lines(lines: DataFrame, header: str, path: str, lines_a_file: int = LINES_A_FILE) -> None:
+    """Lines (day, value) as text files that each begin with the header. A file holds a day,
+    or a bucket of one where there are many lines; lines are streamed out, none gathered."""
+    buckets = 1 + lines.count() // lines_a_file
+    cut = lines.select("day", F.pmod(F.xxhash64("value"), F.lit(buckets)).alias("bucket"), F.lit(1).alias("place"), "value")
+    heads = cut.select("day", "bucket").distinct().select("day", "bucket", F.lit(0).alias("place"), F.lit(header).alias("value"))
+    rows = cut.unionByName(heads).repartition("day", "bucket").sortWithinPartitions("day", "bucket", "place")
+    rows.select("day", "bucket", "value").write.partitionBy("day", "bucket").option("lineSep", "\n").text(path)
+
+
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines read, kept and rejected, by reason. Of the trips, every 50th has a broken time,
     every 70th a field too few, every 90th no id, and every third no milliseconds."""
@@ -63,10 +74,7 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.concat_ws(",", ride, "rideable_type", start, end, F.lit("A,1,B,2,40.7,-74.0,40.8,-74.1"))
     line = F.when(n % 70 == 0, head).otherwise(F.concat(head, F.lit(",member")))
     header = ",".join(f.name for f in TRIPS)
-    # Each file begins with the header; files hold a day each.
-    lines = event_feeds(spark, sf_dir).trips.select(F.to_date("started_at").alias("day"), line.alias("line"))
-    files = lines.groupBy("day").agg(F.concat_ws("\n", F.lit(header), F.collect_list("line")).alias("value"))
-    files.repartition("day").write.partitionBy("day").option("lineSep", "\n").text(path)
+    _write_lines(event_feeds(spark, sf_dir).trips.select(F.to_date("started_at").alias("day"), line.alias("value")), header, path)
     kept = trips.read_trip_csv(spark, path).select(F.lit("kept").alias("outcome"))
     rejected = trips.trip_csv_rejects(spark, path).select(F.col("reason").alias("outcome"))
     return kept.unionByName(rejected).groupBy("outcome").agg(F.count("*").alias("n_lines"))

@@ -314,6 +314,17 @@ def test_archive_keeps_text_as_it_came(spark, tmp_path):
     assert row.publish_time == dt.datetime.fromtimestamp(1705312800)
 
 
+def test_csv_lines_are_streamed_out_in_several_files_a_day(spark, tmp_path):
+    from ridelake.queries.ingest import _write_lines
+
+    path = str(tmp_path / "csv")
+    lines = spark.range(1000).selectExpr("date'2024-01-01' + cast(id % 2 AS int) AS day", "concat('a', id) AS value")
+    _write_lines(lines, "head,er", path, lines_a_file=100)
+    files = [p.read_text().splitlines() for p in (tmp_path / "csv").rglob("part-*")]
+    assert len(files) == 22 and all(f[0] == "head,er" and "head,er" not in f[1:] for f in files)
+    assert sorted(x for f in files for x in f[1:]) == sorted(f"a{i}" for i in range(1000))
+
+
 def test_freshness_classes(spark):
     empty = spark.createDataFrame([], "t timestamp")
     old = spark.sql("SELECT timestamp'2024-01-28 23:00:00' AS t")
