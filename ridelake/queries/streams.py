@@ -12,21 +12,34 @@ from ridelake.sources.feeds import AS_OF
 from ridelake.streaming import status_stream as stream
 
 
+POLLS_A_FILE = 20_000
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls with the number of each written as its message id."""
+    numbered = F.concat(F.lit('{"message_id":"'), F.col("poll").cast("string"), F.lit('",'), F.expr("substring(value, 2)"))
+    return polls(spark, sf_dir).withColumn("value", numbered)
+
+
 def _poll_files(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
-    """Polls as JSON lines, in one folder per day; ``copies`` repeats every message."""
+    """Polls as JSON lines, in one folder per day and bucket, of which there are more the more
+    polls there are; ``copies`` repeats every message."""
     path = stage_path(spark, "polls")
-    rows = polls(spark, sf_dir)
+    rows = _messages(spark, sf_dir)
+    buckets = 1 + rows.count() * copies // POLLS_A_FILE
     if copies > 1:
         rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
-    rows.select("day", "value").repartitionByRange("day").write.partitionBy("day").text(path)
+    cut = rows.select("day", F.pmod(F.xxhash64("poll"), F.lit(buckets)).alias("bucket"), "value")
+    cut.repartition("day", "bucket").write.partitionBy("day", "bucket").text(path)
     return path
 
 
 def _shuffled_files(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
     """Polls as files that each hold messages of all days, and come in several batches."""
     path = stage_path(spark, "polls")
-    rows = polls(spark, sf_dir).select("value", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
-    rows.select("value").repartition(24, F.xxhash64("value", "copy")).write.text(path)
+    rows = _messages(spark, sf_dir).select("value", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
+    files = 24 * (1 + rows.count() // (24 * POLLS_A_FILE))
+    rows.repartition(files, F.xxhash64("value", "copy")).select("value").write.text(path)
     return path
 
 

@@ -17,15 +17,17 @@ from ridelake.sources.status import accepted, parse_stations, rejected
 
 
 def read_polls(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Polls from a folder of text files, one JSON document per line. A message is known
-    by its file and line, so equal lines stay apart."""
-    files = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("wholetext", True).text(path)
-    lines = files.select(
-        F.posexplode(F.split("value", "\n")).alias("line", "value"),
+    """Polls from a folder of text files, one JSON document per line; files are read line by
+    line, whatever their size. A message is known by the ``message_id`` written with it, or
+    else by its file and a hash of its line, which equal lines of one file share."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path).select(
+        "value",
         F.col("_metadata.file_path").alias("file"),
         F.to_json(F.struct("_metadata.file_name", "_metadata.file_size")).alias("attributes"),
     )
-    return lines.where("value <> ''").select("value", F.concat_ws("#", "file", "line").alias("message_id"), "attributes")
+    own = F.get_json_object("value", "$.message_id")
+    message = F.coalesce(own, F.concat_ws("#", "file", F.sha2("value", 256)))
+    return lines.where("value <> ''").select("value", message.alias("message_id"), "attributes")
 
 
 def stations(polls: DataFrame, keep: list[str] = ()) -> DataFrame:

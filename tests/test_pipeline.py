@@ -314,6 +314,27 @@ def test_archive_keeps_text_as_it_came(spark, tmp_path):
     assert row.publish_time == dt.datetime.fromtimestamp(1705312800)
 
 
+def test_files_of_polls_are_read_line_by_line(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    named = [json.dumps({"message_id": f"m{i}", **json.loads(poll(FULL))}) for i in (1, 2, 2)]
+    (tmp_path / "in" / "1.json").write_text("\n".join([*named, poll(FULL), ""]))
+    polls = stream.read_polls(spark, str(tmp_path / "in"))
+    assert "wholetext -> true" not in polls._jdf.queryExecution().logical().toString().lower()
+    table, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    stream.archive_raw(polls, table, ckpt, "sub").awaitTermination()
+    ids = [r.message_id for r in spark.read.parquet(table).collect()]
+    assert sorted(i for i in ids if i[0] == "m") == ["m1", "m2", "m2"] and len(ids) == 4
+
+
+def test_files_of_polls_grow_in_number(spark, sf_dir, monkeypatch):
+    from ridelake.queries import streams
+
+    few = [spark.read.text(make(spark, sf_dir)).inputFiles() for make in (streams._poll_files, streams._shuffled_files)]
+    monkeypatch.setattr(streams, "POLLS_A_FILE", 1)
+    many = [spark.read.text(make(spark, sf_dir)).inputFiles() for make in (streams._poll_files, streams._shuffled_files)]
+    assert all(len(b) > len(a) for a, b in zip(few, many))
+
+
 def test_csv_lines_are_streamed_out_in_several_files_a_day(spark, tmp_path):
     from ridelake.queries.ingest import _write_lines
 
