@@ -35,7 +35,7 @@ from ridelake.llm.common import held, id_and_text, map_batches
 
 PIECE_CHARS = 32768
 # Words a worker remembers; when there are more, the half it met most often stays.
-TABLE_WORDS = 800_000
+TABLE_WORDS = 400_000
 # Words the library is given in one string.
 TOGETHER = 64
 # Letters on both sides of a place within a run, and tokens that have to agree there.
@@ -64,7 +64,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self._lengths: np.ndarray | None = None
         self.stops = {c: int(self.whole([c])[0][0]) for c in _STOPS}
-        self._start_table({}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))
+        self._start_table({}, np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32))
 
     def _start_table(self, rows, starts, sizes, ids, seen) -> None:
         # Word -> row; a row's ids are ids[starts[row] :][: sizes[row]]; seen: how often met.
@@ -85,7 +85,7 @@ class Encoder:
         self._encode_words([*rest, *before])
         if stopped:
             row = np.array([self.rows[w[:-1]] for w in stopped], dtype=np.int64)
-            starts, sizes = self.starts[row], self.sizes[row] + 1
+            starts, sizes = self.starts[row].astype(np.int64), self.sizes[row] + 1
             ends = np.cumsum(sizes)
             at = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])
             ids = self.ids[np.minimum(at, self.used - 1)]
@@ -125,7 +125,7 @@ class Encoder:
         words = [w for w, k in zip(self.rows, keep.tolist()) if k]  # in the order of rows
         sizes = self.sizes[:n][keep]
         ids = self.ids[: self.used][np.repeat(keep, self.sizes[:n])]
-        self._start_table(dict(zip(words, range(len(words)))), np.cumsum(sizes) - sizes, sizes, ids, self.seen[:n][keep] // 2)
+        self._start_table(dict(zip(words, range(len(words)))), (np.cumsum(sizes) - sizes).astype(np.int32), sizes, ids, self.seen[:n][keep] // 2)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and where each text's begin (and the last's end)."""
@@ -171,7 +171,7 @@ class Encoder:
         head_sizes = np.array([len(h) for h in heads], dtype=np.int64)
         self.ids = _room(self.ids, self.used + len(head_ids))
         self.ids[self.used : self.used + len(head_ids)] = head_ids  # until the next words come
-        sizes, starts = self.sizes[row], self.starts[row]
+        sizes, starts = self.sizes[row].astype(np.int64), self.starts[row].astype(np.int64)
         sizes[first], starts[first] = head_sizes, self.used + np.cumsum(head_sizes) - head_sizes
         ends = np.cumsum(sizes)
         at = np.repeat((starts - ends + sizes).astype(np.int32), sizes)
@@ -193,10 +193,10 @@ class Encoder:
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
-    """The array, twice as long where ``size`` does not fit."""
+    """The array, a quarter longer than ``size`` where that does not fit."""
     if size <= len(array):
         return array
-    out = np.zeros(2 * size, dtype=array.dtype)
+    out = np.zeros(size + size // 4, dtype=array.dtype)
     out[: len(array)] = array
     return out
 

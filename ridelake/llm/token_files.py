@@ -37,7 +37,8 @@ OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
     "orc.create.index": "true",
     "orc.row.index.stride": str(ROW_GROUP),
-    "orc.stripe.size": str(64 << 20),
+    # A writer holds a stripe in memory; a few MB of ids are enough for long runs.
+    "orc.stripe.size": str(16 << 20),
     "compression": "zstd",
 }
 
@@ -68,6 +69,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
             columns = [batch.column("doc_id"), id_lists(ids, offsets), pa.array(np.diff(offsets)), pa.array(slices), pa.array(first + offsets[:-1])]
             first += int(offsets[-1])
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "slice", "first"])
+            del batch, ids, offsets, slices, columns
+            pa.default_memory_pool().release_unused()
 
     rows.mapInArrow(run, SCHEMA).write.options(**OPTIONS).orc(path)
 
