@@ -80,6 +80,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ridelake.llm.common import in_fold
+    from ridelake.llm.hmm import score_texts
+
+    return score_texts(_table(spark, sf_dir, "documents"), in_fold(F.col("doc_id"), 7, 2))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ridelake.llm.hard_negatives import hard_negatives, quantised
 
@@ -108,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_personal_data": op9_personal_data,
     "op10_bpe": op10_bpe,
+    "op11_hidden_markov": op11_hidden_markov,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_prefix_trie": op13_prefix_trie,
 }
