@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.operators.layout import drop_partitions, write_table
+from ridelake.operators.layout import write_table
 from ridelake.operators.ranking import latest_per_key
 from ridelake.session import stage
 
@@ -52,17 +52,12 @@ def upsert(
     of the changes alone. Of several changes to a key one wins: the first by ``order``,
     or without it the one with the highest values.
     """
-    spark = target.sparkSession
     order = list(order) or [F.desc_nulls_last(c) for c in target.columns if c not in keys]
     changes = stage(latest_per_key(changes.select(*target.columns), keys, order), "changes")
     days = changes.select(partition_by)
     if search_all:
         days = target.join(changes.select(*keys), keys, "left_semi").select(partition_by).unionByName(days)
     touched = [row[0] for row in days.distinct().collect()]  # partition values only: one per day
-    # Staged, because a table cannot be overwritten while it is read.
-    result = stage(merged(target.where(F.col(partition_by).isin(touched)), changes, keys), "merged")
-    write_table(result, path, partition_by, cluster_by)
-    filled = {row[0] for row in result.select(partition_by).distinct().collect()}
-    drop_partitions(spark, path, partition_by, [str(v) for v in touched if v not in filled])
-    spark.catalog.refreshByPath(path)
+    result = merged(target.where(F.col(partition_by).isin(touched)), changes, keys)
+    write_table(result, path, partition_by, cluster_by, drop=[str(v) for v in touched])
     return sorted(str(v) for v in touched)
