@@ -403,7 +403,15 @@ Q["stream_raw_archive"] = plain(
     """SELECT polled_at AS publish_time, 'station-status' AS subscription_name, count(*) AS stations
 FROM polled GROUP BY poll, polled_at"""
 )
-Q["stream_dedupe"] = plain("SELECT DISTINCT station_id, last_reported FROM accepted_reports")
+Q["stream_poll_rejects"] = Q["poll_rejects"]
+_STATION_REST = """eightd_has_available_keys DESC, is_installed DESC, is_renting DESC, is_returning DESC,
+  legacy_id DESC, num_bikes_disabled DESC, num_docks_disabled DESC, num_ebikes_available DESC,
+  num_scooters_available DESC, num_scooters_unavailable DESC"""
+Q["stream_dedupe"] = plain(
+    f"""SELECT {_STREAMED} FROM accepted_reports
+QUALIFY row_number() OVER (PARTITION BY station_id, last_reported ORDER BY api_last_updated DESC,
+  num_bikes_available DESC, num_docks_available DESC, {_STATION_REST}) = 1"""
+)
 Q["stream_windows"] = rounded(
     """(SELECT station_id, time_bucket(INTERVAL 5 MINUTE, last_reported) AS bucket_start,
     count(*) AS reports, avg(num_bikes_available) AS avg_bikes,

@@ -210,12 +210,17 @@ def status_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy("station_id", "timestamp").agg(F.count("*").alias("rejects"))
 
 
+def broken_polls(rows: DataFrame) -> DataFrame:
+    """Polls of which every tenth is cut off and every eleventh has no stations."""
+    n = F.col("poll")
+    broken = F.when(n % 10 == 3, F.expr("substring(value, 1, length(value) div 2)")).when(n % 11 == 4, '{"last_updated": 1}')
+    return rows.withColumn("value", F.coalesce(broken, F.col("value")))
+
+
 def poll_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polls that give rows, and those that do not, by reason. Every tenth poll is cut off,
     every eleventh has no stations."""
-    n = F.col("poll")
-    broken = F.when(n % 10 == 3, F.expr("substring(value, 1, length(value) div 2)")).when(n % 11 == 4, '{"last_updated": 1}')
-    rows = polls(spark, sf_dir).withColumn("value", F.coalesce(broken, F.col("value")))
+    rows = broken_polls(polls(spark, sf_dir))
     bad = status.rejected_polls(rows, "value").select(F.col("reason").alias("outcome"))
     good = status.parse_stations(rows, "value", utc(NOW), ["poll"]).select("poll").distinct().select(F.lit("read").alias("outcome"))
     return good.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("n_polls"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators import layout
-from ridelake.queries.ingest import polls
+from ridelake.queries.ingest import broken_polls, polls
 from ridelake.session import stage_path
 from ridelake.sources.feeds import AS_OF
 from ridelake.streaming import status_stream as stream
@@ -51,7 +51,7 @@ def stream_status_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, rejects = stage_path(spark, "status"), stage_path(spark, "rejects")
     source = stream.read_polls(spark, _poll_files(spark, sf_dir), files_per_batch=16)
     stream.write_status(source, table, rejects, stage_path(spark, "ckpt")).awaitTermination()
-    return spark.read.parquet(table).drop("ingestion_timestamp", "batch", "reported_on", *METADATA)
+    return layout.read_table(spark, table).drop("ingestion_timestamp", "reported_on", *METADATA)
 
 
 def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream.write_status(source, table, rejects, stage_path(spark, "ckpt")).awaitTermination()
     days = layout.partition_values(spark, table, "reported_on")
     stream.compact_days(spark, table, days[:-1])
-    kept = spark.read.parquet(table)
+    kept = layout.read_table(spark, table)
     named = kept.where("message_id IS NOT NULL AND attributes IS NOT NULL AND ingestion_timestamp IS NOT NULL")
     return named.groupBy("publish_time", "subscription_name").agg(
         F.count_distinct("message_id").alias("messages"), F.count("*").alias("reports")
@@ -75,14 +75,14 @@ def stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = stream.read_polls(spark, _poll_files(spark, sf_dir), files_per_batch=16)
     stream.write_status(source, table, rejects, stage_path(spark, "ckpt")).awaitTermination()
     layout.expire_partitions(spark, table, "reported_on", AS_OF, 10)
-    return spark.read.parquet(table).groupBy("reported_on").agg(F.count("*").alias("reports"))
+    return layout.read_table(spark, table).groupBy("reported_on").agg(F.count("*").alias("reports"))
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, rejects = stage_path(spark, "status"), stage_path(spark, "rejects")
     source = stream.read_polls(spark, _poll_files(spark, sf_dir), files_per_batch=16)
     stream.write_status(source, table, rejects, stage_path(spark, "ckpt")).awaitTermination()
-    kept = spark.read.parquet(rejects)
+    kept = layout.read_table(spark, rejects).where("document IS NULL")
     return kept.groupBy("station_id", "timestamp").agg(F.count("*").alias("rejects"))
 
 
@@ -101,23 +101,34 @@ def stream_raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_poll_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that came to the status table or its rejects, and messages that hold no
+    stations, by reason. Every tenth message is cut off, every eleventh has no stations."""
+    table, rejects, path = (stage_path(spark, n) for n in ("status", "rejects", "polls"))
+    broken_polls(_messages(spark, sf_dir)).select("day", "value").write.partitionBy("day").text(path)
+    stream.write_status(stream.read_polls(spark, path, 16), table, rejects, stage_path(spark, "ckpt")).awaitTermination()
+    bad = layout.read_table(spark, rejects)
+    read = layout.read_table(spark, table).select("message_id").unionByName(bad.where("document IS NULL").select("message_id"))
+    outcomes = read.distinct().select(F.lit("read").alias("outcome")).unionByName(
+        bad.where("document IS NOT NULL").select(F.col("reason").alias("outcome"))
+    )
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("n_polls"))
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message delivered twice, over many batches in any order of time: one report
-    for each station and second.
-
-    Two different reports of one station in one second share a key; the one with the most
-    bikes, then docks, stays where they come in one batch, so the result is the keys.
-    """
+    for each station and second, the one polled last, then the one with the highest values."""
     table = stage_path(spark, "distinct")
     source = stream.read_polls(spark, _shuffled_files(spark, sf_dir, copies=2), files_per_batch=4)
     stream.write_distinct(source, table, stage_path(spark, "ckpt")).awaitTermination()
-    return spark.read.parquet(table).select("station_id", "last_reported")
+    return stream.read_distinct(spark, table).drop("ingestion_timestamp")
 
 
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five-minute windows of all reports, which come in several batches out of time order."""
+    """Five-minute windows of all reports, whose messages come twice, in several batches out
+    of time order."""
     table = stage_path(spark, "windows")
-    source = stream.read_polls(spark, _shuffled_files(spark, sf_dir), files_per_batch=4)
+    source = stream.read_polls(spark, _shuffled_files(spark, sf_dir, copies=2), files_per_batch=4)
     stream.write_windows(source, table, stage_path(spark, "ckpt")).awaitTermination()
     return stream.read_windows(spark, table)
 
@@ -133,6 +144,7 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stream_status_sink": stream_status_sink,
     "stream_rejects": stream_rejects,
+    "stream_poll_rejects": stream_poll_rejects,
     "stream_metadata": stream_metadata,
     "stream_expiry": stream_expiry,
     "stream_raw_archive": stream_raw_archive,

@@ -49,11 +49,12 @@ def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where("valid").drop("valid", "reported_epoch", "reported_id")
 
 
-def rejected(parsed: DataFrame) -> DataFrame:
+def rejected(parsed: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Stations without a usable report time, with the time they gave."""
     return parsed.where("not valid").select(
         F.coalesce("reported_id", F.lit("unknown")).alias("station_id"),
         F.col("reported_epoch").alias("timestamp"),
+        *keep,
     )
 
 
@@ -62,11 +63,11 @@ def unreadable(body: Column, otherwise: str) -> Column:
     return F.when(F.try_parse_json(body).isNull(), "not JSON").otherwise(otherwise)
 
 
-def rejected_polls(polls: DataFrame, body: str) -> DataFrame:
-    """(document, reason) of polls that hold no list of stations, and so give no rows."""
+def rejected_polls(polls: DataFrame, body: str, keep: list[str] = ()) -> DataFrame:
+    """(document, reason) of polls that hold no stations, and so give no rows."""
     poll = F.from_json(F.col(body), STATUS_RESPONSE)
-    broken = polls.where(poll["data"]["stations"].isNull())
-    return broken.select(F.col(body).alias("document"), unreadable(F.col(body), "no stations").alias("reason"))
+    broken = polls.where(F.coalesce(F.size(poll["data"]["stations"]), F.lit(0)) < 1)
+    return broken.select(F.col(body).alias("document"), unreadable(F.col(body), "no stations").alias("reason"), *keep)
 
 
 def iso_utc(at: Column) -> Column:

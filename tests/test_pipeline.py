@@ -290,7 +290,7 @@ def test_latest_state_ignores_late_reports(spark, tmp_path):
         (tmp_path / "in" / f"{name}.json").write_text(poll({**FULL, "last_reported": at, "num_bikes_available": int(name)}) + "\n")
         stream.keep_latest(stream.read_polls(spark, source), state, ckpt).awaitTermination()
     assert rows(stream.read_latest(spark, state), "station_id", "num_bikes_available") == [("a", 2)]
-    assert layout.partition_values(spark, state, "version") == ["1", "2"]
+    assert len(layout.partition_values(spark, state, "bucket")) == 1
 
 
 def test_duplicates_across_batches_are_dropped(spark, tmp_path):
