@@ -389,6 +389,16 @@ Q["refresh_station_days"] = rounded(
 for name in ("refresh_lagging_trips", "refresh_backfill_station_days", "refresh_late_weather"):
     Q[name] = Q["fct_station_day"]
 Q["refresh_backfill"] = Q["fct_trips"]
+Q["refresh_reloaded_month"] = Q["fct_trips"]
+Q["refresh_reloaded_station_days"] = Q["fct_station_day"]
+Q["refresh_daily_tables"] = plain(
+    """SELECT 'int_station_daily_metrics' AS table_name, station_id, date_day, total_observations AS measure FROM station_daily
+UNION ALL SELECT 'int_trip_station_daily', station_id, date_day, trips_started FROM demand_daily
+UNION ALL SELECT 'int_station_weather_daily', station_id, date_day, total_observations FROM weather_enrich"""
+)
+Q["refresh_station_daily"] = Q["station_daily"]
+Q["refresh_demand_daily"] = Q["demand_daily"]
+Q["refresh_weather_daily"] = Q["weather_enrich"]
 Q["refresh_renamed_station"] = plain(
     """SELECT station_id, count(*) AS days, CASE station_id WHEN 'S7' THEN 2 ELSE 1 END AS versions,
   0 AS orphans FROM station_operations GROUP BY ALL"""

@@ -21,9 +21,9 @@ TABLES: dict[str, tuple[str, str | None, list[str]]] = {
     "stg_weather": ("staging", None, []),
     "stg_station_status": ("staging", None, []),
     "int_station_metrics": ("intermediate", None, []),
-    "int_station_daily_metrics": ("intermediate", None, []),
-    "int_trip_station_daily": ("intermediate", None, []),
-    "int_station_weather_daily": ("intermediate", None, []),
+    "int_station_daily_metrics": ("intermediate", "date_day", ["station_id"]),
+    "int_trip_station_daily": ("intermediate", "date_day", ["station_id"]),
+    "int_station_weather_daily": ("intermediate", "date_day", ["station_id"]),
     "int_station_daily_fact": ("intermediate", "date_day", ["station_id"]),
     "snap_station": ("snapshots", None, []),
     "dim_station": ("marts", None, []),
@@ -33,7 +33,6 @@ TABLES: dict[str, tuple[str, str | None, list[str]]] = {
     "fct_trips": ("marts", "start_date_key", ["start_station_key", "user_type_key"]),
     "fct_station_day": ("marts", "date_day", ["station_key"]),
 }
-PARTITION_TYPES = {"date_day": "date", "start_date_key": "bigint"}
 # What can be written at the same time, in dependency order.
 WAVES = [
     ["stg_trips"],
@@ -74,16 +73,17 @@ class Models:
     def opened(cls, spark: SparkSession, feeds: Feeds, now: dt.datetime, root: str) -> Models:
         """The tables written under ``root`` by an earlier run. Nothing is worked out again."""
         models = cls(spark, feeds, now, root)
-        for name, (layer, partition_by, _) in TABLES.items():
+        for name, (layer, _, _) in TABLES.items():
             if layer != "staging" and name != "int_station_metrics":
-                table = spark.read.parquet(models.data_path(name))
-                if partition_by:
-                    kind = PARTITION_TYPES[partition_by]
-                    table = table.withColumn(partition_by, F.col(partition_by).cast(kind))
-                models.__dict__[name] = table
-        models.__dict__["station_places"] = spark.read.parquet(models.data_path("station_places"))
+                models.reopen(name)
+        models.reopen("station_counts")
         return models
 
+    def reopen(self, name: str) -> DataFrame:
+        """The table as it is stored now; later uses of the model see it."""
+        self.__dict__[name] = read_table(self.spark, self.data_path(name))
+        return self.__dict__[name]
+
     def path(self, name: str) -> str:
         layer = TABLES[name][0] if name in TABLES else "state"
         return f"{self.root}/{layer}/{name}"
@@ -100,7 +100,7 @@ class Models:
         if layer == "staging":  # views over the raw tables
             return df
         if partition_by:
-            write_table(df, self.path(name), partition_by, cluster_by)
+            write_table(df, self.path(name), partition_by, cluster_by, whole=True)
         else:
             replace_table(df, self.path(name))
         return read_table(self.spark, self.data_path(name), df)
@@ -146,18 +146,18 @@ class Models:
         return self._keep("int_station_daily_fact", fact)
 
     @cached_property
-    def station_places(self) -> DataFrame:
-        """Names and places of stations so far. Kept, so that a refresh folds in those of
-        new trips instead of reading all trips again."""
-        places = dimensions.station_places(self.stg_trips)
+    def station_counts(self) -> DataFrame:
+        """Names and places of stations so far, counted by month. Kept, so that a refresh adds
+        those of new trips instead of reading all trips again."""
+        counts = dimensions.station_counts(self.stg_trips)
         if self.root is None:
-            return places
-        replace_table(places, self.path("station_places"))
-        return read_table(self.spark, self.data_path("station_places"), places)
+            return counts
+        write_table(counts, self.path("station_counts"), "month", ["station_id"], whole=True)
+        return read_table(self.spark, self.path("station_counts"), counts)
 
     @cached_property
     def snap_station(self) -> DataFrame:
-        master = dimensions.master_of(self.station_places, self.now)
+        master = dimensions.master_of(self.station_counts, self.now)
         return self._keep("snap_station", first_snapshot(master, "station_id"))
 
     @cached_property

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake import rules
@@ -10,6 +12,7 @@ from ridelake.functions import calendar
 from ridelake.functions.bands import choose
 from ridelake.functions.numeric import clamp, ratio
 from ridelake.operators.windows import last_rows, trailing
+from ridelake.session import stage
 
 SUPPLY = [
     "typical_capacity",
@@ -168,19 +171,58 @@ def station_daily_fact_since(
     return computed.where(F.col("date_day") >= first_day)
 
 
-def station_daily_fact_changed(
-    supply: DataFrame, demand: DataFrame, stored: DataFrame, days: Column, first_day: Column
-) -> DataFrame:
-    """The fact from ``first_day`` on, after the inputs of some days have changed.
+def frames_around(keys: DataFrame, reach: int = LOOK_BACK_ROWS) -> DataFrame:
+    """Which station-days a change reaches, and which of the others their frames need.
 
-    ``supply`` and ``demand`` hold the changed days, whole; ``days`` tells whether
-    ``date_day`` is one of them, and ``first_day`` is the first. The measures of other days
-    are the stored ones; trends are worked out again, as frames reach over changed days.
+    ``keys``: station_id, date_day, ``held`` (the row exists) and ``changed`` (it came, went
+    or was worked out again). A frame holds ``reach`` rows before its own, so a change reaches
+    that many rows of its station after it, and no further.
     """
-    base = with_balance(supply_demand(supply, demand))
-    kept = stored.where(~days & (F.col("date_day") >= first_day)).select(*base.columns)
-    used = {"station_id", "date_day", *[source for source, _ in (*ROLLING.values(), *LAGS.values())]}
-    before = stored.where(F.col("date_day") < first_day).select(*[c for c in base.columns if c in used])
-    history = last_rows(before, "station_id", "date_day", LOOK_BACK_ROWS)
-    rows = base.unionByName(kept).unionByName(history, allowMissingColumns=True)
-    return with_trend(with_history(rows)).where(F.col("date_day") >= first_day)
+    of_station = Window.partitionBy("station_id").orderBy("date_day")
+    later = of_station.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    place = F.sum(F.col("held").cast("int")).over(of_station)
+    placed = keys.withColumn("_place", place)
+    placed = placed.withColumn("_since", F.col("_place") - F.max(F.when(F.col("changed"), F.col("_place"))).over(of_station))
+    affected = F.col("held") & F.coalesce(F.col("changed") | (F.col("_since") <= reach), F.lit(False))
+    placed = placed.withColumn("affected", affected)
+    ahead = F.min(F.when(F.col("affected"), F.col("_place"))).over(later) - F.col("_place")
+    needed = F.col("held") & F.coalesce(ahead <= reach, F.lit(False))
+    return placed.select("station_id", "date_day", "affected", needed.alias("needed")).where("needed")
+
+
+def station_daily_fact_around(
+    supply: DataFrame, demand: DataFrame, stored: DataFrame, days: list[dt.date]
+) -> tuple[DataFrame, list[dt.date]]:
+    """The fact's partitions that change, whole, and their days, after the inputs of ``days``
+    have changed.
+
+    ``supply`` and ``demand`` hold those days, whole. Their rows are worked out again; so are
+    the trends of the rows whose frames reach a changed row, at most 27 rows of a station
+    after it. From the stored fact only the station and day of all rows are read, and more of
+    the days that change or that a frame needs.
+    """
+    key = ["station_id", "date_day"]
+    within = F.col("date_day").isin(days)
+    base = stage(with_balance(supply_demand(supply, demand)), "changed-days")
+    held, changed = F.lit(True).alias("held"), F.lit(True).alias("changed")
+    gone = stored.where(within).select(*key).join(base.select(*key), key, "left_anti")
+    keys = (
+        base.select(*key, held, changed)
+        .unionByName(gone.select(*key, F.lit(False).alias("held"), changed))
+        .unionByName(stored.where(~within).select(*key, held, F.lit(False).alias("changed")))
+    )
+    frames = stage(frames_around(keys), "frames")
+    # One value a day goes to the driver, so that scans prune by literals.
+    flags = {r[0]: r[1] for r in frames.groupBy("date_day").agg(F.max("affected")).collect()}
+    rewritten = sorted({*days, *(day for day, affected in flags.items() if affected)})
+    others = [day for day in rewritten if day not in set(days)]
+
+    affected = frames.where("affected").select(*key)
+    after = stored.where(F.col("date_day").isin(others))
+    kept = after.select(*base.columns).join(affected, key, "left_semi")
+    used = {*key, *[source for source, _ in (*ROLLING.values(), *LAGS.values())]}
+    before = stored.where(F.col("date_day").isin([d for d in flags if d not in set(days)]))
+    before = before.select(*[c for c in base.columns if c in used]).join(frames.where("NOT affected").select(*key), key, "left_semi")
+    rows = base.unionByName(kept).unionByName(before, allowMissingColumns=True)
+    computed = with_trend(with_history(rows)).join(affected, key, "left_semi")
+    return computed.select(*stored.columns).unionByName(after.join(affected, key, "left_anti").select(*stored.columns)), rewritten

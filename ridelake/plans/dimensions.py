@@ -14,41 +14,65 @@ from ridelake.functions import calendar
 from ridelake.functions.bands import choose, in_lists, in_ranges, ladder
 from ridelake.functions.calendar import utc
 from ridelake.functions.keys import instant_text, surrogate_key
-from ridelake.operators.aggregates import modal_values
 from ridelake.plans.staging import trip_ends
 
 TRACKED = ["station_name", "latitude", "longitude", "capacity", "region", "is_active"]
 # Degrees (about 100 m) below which a place counts as the same: positions are measured.
 MOVED = {"latitude": 0.001, "longitude": 0.001}
+# Decimals of a degree (about 10 m) of the cells that places are counted in.
+CELL_DIGITS = 4
 
 
-def station_places(trips: DataFrame) -> DataFrame:
-    """Every distinct name and place a trip end gives a station."""
-    return (
-        trip_ends(trips, ["station_name", "latitude", "longitude"])
-        .select("station_id", "station_name", "latitude", "longitude")
-        .where("station_name is not null")
-        .distinct()
-    )
+def station_counts(trips: DataFrame) -> DataFrame:
+    """How many trip ends give a station a name and a place, per month of start.
+
+    Places are counted in cells, so noise of measured positions does not make the table grow:
+    it holds a row for each month, station, name and cell. Counts of a month are added up
+    or, when the month is loaded again, replaced.
+    """
+    month = F.date_format("started_at", "yyyy-MM").alias("month")
+    ends = trip_ends(trips.withColumn("month", month), ["station_name", "latitude", "longitude"], ["month"])
+    cells = {f"{c}_cell": F.round(c, CELL_DIGITS) for c in ("latitude", "longitude")}
+    return _summed(ends.where("station_name IS NOT NULL").withColumns(cells).withColumn("n", F.lit(1).cast("long")))
+
+
+def merged_counts(*counts: DataFrame) -> DataFrame:
+    """Counts of several sets of trips as those of all."""
+    return _summed(reduce(DataFrame.unionByName, counts))
+
+
+_COUNTED = ["month", "station_id", "station_name", "latitude_cell", "longitude_cell"]
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    places = [F.min(c).alias(c) for c in ("latitude", "longitude")]
+    return rows.groupBy(*_COUNTED).agg(*places, F.sum("n").alias("n")).select("station_id", "station_name", "latitude_cell", "longitude_cell", "latitude", "longitude", "n", "month")
 
 
 def station_master(trips: DataFrame, updated_at: dt.datetime) -> DataFrame:
     """Every station named by a trip end, with its most frequent name and place."""
-    return master_of(station_places(trips), updated_at)
+    return master_of(station_counts(trips), updated_at)
 
 
-def master_of(places: DataFrame, updated_at: dt.datetime) -> DataFrame:
-    """Stations of distinct places.
+def master_of(counts: DataFrame, updated_at: dt.datetime) -> DataFrame:
+    """Stations with the name that most trip ends give them, the lowest on ties, and the
+    cell that most lie in; the place is the lowest latitude and longitude found there.
 
     Exactly one row per id: two rows for a renamed station would later double its
     trips. Trips carry neither capacity nor region.
     """
-    stations = modal_values(places, ["station_id"], ["station_name"], ["latitude", "longitude"])
-    return stations.select(
+    names = counts.groupBy("station_id", "station_name").agg(F.sum("n").alias("n"))
+    names = names.groupBy("station_id").agg(F.min_by("station_name", F.struct(-F.col("n"), "station_name")).alias("station_name"))
+    cell = ["latitude_cell", "longitude_cell"]
+    places = counts.groupBy("station_id", *cell).agg(F.sum("n").alias("n"), F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"))
+    # A known place before an unknown one, whatever their numbers.
+    order = F.struct(F.col("latitude_cell").isNull() | F.col("longitude_cell").isNull(), -F.col("n"), *cell)
+    places = places.groupBy("station_id").agg(F.min_by(F.struct("latitude", "longitude"), order).alias("place"))
+    return names.join(places, "station_id").select(
         "station_id",
         "station_name",
-        "latitude",
-        "longitude",
+        "place.latitude",
+        "place.longitude",
         F.lit(None).cast("long").alias("capacity"),
         F.lit(None).cast("string").alias("region"),
         F.lit(True).alias("is_active"),

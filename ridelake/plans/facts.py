@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.functions.calendar import date_key, utc
@@ -18,6 +18,15 @@ SHORT_TRIP_BELOW_MINUTES = 5
 LONG_TRIP_ABOVE_MINUTES = 60
 
 
+def trip_key() -> Column:
+    return surrogate_key(F.col("ride_id"))
+
+
+def first_trip(trips: DataFrame) -> list[Column]:
+    """Which of several rows of one trip counts: the one with the highest values."""
+    return [F.desc_nulls_last(c) for c in trips.columns if c != "trip_key"]
+
+
 def fct_trips(trips: DataFrame, stations: DataFrame, user_types: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """One row per trip with its keys, durations, distance and flags.
 
@@ -36,7 +45,7 @@ def fct_trips(trips: DataFrame, stations: DataFrame, user_types: DataFrame, load
     minutes = elapsed("MINUTE", start, end)
     places = ["start_lat", "start_lng", "end_lat", "end_lng"]
     return keyed.select(
-        surrogate_key(F.col("ride_id")).alias("trip_key"),
+        trip_key().alias("trip_key"),
         F.col("ride_id").alias("trip_id"),
         F.coalesce("_from", unknown_station_key()).alias("start_station_key"),
         F.coalesce("_to", unknown_station_key()).alias("end_station_key"),

@@ -21,6 +21,8 @@ from ridelake.sources.feeds import NOW, NUMBERED_STATUS_SQL, Feeds, event_feeds,
 STATIONS_PER_POLL = 32
 LINES_A_FILE = 1_000_000
 CUTOFF = dt.date(2024, 1, 20)
+# Early enough for most trips of the month to give a station its new name.
+RENAMED = dt.date(2024, 1, 10)
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> str:
@@ -366,19 +368,78 @@ def refresh_late_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir, "late weather", late).fct_station_day
 
 
+def _reloaded(spark: SparkSession, sf_dir: str) -> Models:
+    """A warehouse whose trips of January were loaded again: the first load had trips that the
+    second lacks, lacked some, and had others on other days, at other stations and longer."""
+    cached = (spark.sparkContext.applicationId, f"{sf_dir}, reloaded")
+    if cached not in _WAREHOUSES:
+        feeds = event_feeds(spark, sf_dir)
+        n, start, end = F.regexp_extract("ride_id", "[0-9]+", 0).cast("long"), F.col("started_at"), F.col("ended_at")
+        earlier = F.expr("make_interval(0, 0, 0, 2)")
+        first = feeds.trips.where(n % 29 != 3).withColumns(
+            {
+                "started_at": F.when(n % 13 == 5, start - earlier).otherwise(start),
+                "ended_at": F.when(n % 13 == 5, end - earlier).when(n % 17 == 2, end + earlier).otherwise(end),
+                "end_station_id": F.when(n % 19 == 7, F.lit("S29")).otherwise(F.col("end_station_id")),
+            }
+        )
+        gone = feeds.trips.where(n % 31 == 4).withColumn("ride_id", F.concat(F.lit("X"), "ride_id"))
+        january = F.date_format("started_at", "yyyy-MM") == "2024-01"
+        first = first.unionByName(gone).where(january)
+        root = stage_path(spark, "reloaded")
+        Models(spark, Feeds(first, feeds.weather, feeds.status), NOW, root).build()
+        arrived = Feeds(feeds.trips, feeds.weather.limit(0), feeds.status.limit(0))
+        _WAREHOUSES[cached] = refresh(spark, feeds, arrived, NOW, root, reloaded=["2024-01"])
+    return _WAREHOUSES[cached]
+
+
+def refresh_reloaded_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip fact after a month was loaded again, with trips removed, added and corrected."""
+    return _reloaded(spark, sf_dir).fct_trips
+
+
+def refresh_reloaded_station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reloaded(spark, sf_dir).fct_station_day
+
+
+def refresh_daily_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station-days of the three daily tables after an incremental run, by day and table."""
+    m, tables = _in_step(spark, sf_dir), None
+    for name, measure in (("int_station_daily_metrics", "total_observations"), ("int_trip_station_daily", "trips_started"), ("int_station_weather_daily", "total_observations")):
+        rows = m.table(name).select(F.lit(name).alias("table_name"), "station_id", "date_day", F.col(measure).cast("long").alias("measure"))
+        tables = rows if tables is None else tables.unionByName(rows)
+    return tables
+
+
+def refresh_station_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supply table, whole, after an incremental run."""
+    return _in_step(spark, sf_dir).int_station_daily_metrics
+
+
+def refresh_demand_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demand table, whole, after a month was loaded again."""
+    return _reloaded(spark, sf_dir).int_trip_station_daily
+
+
+def refresh_weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supply table with weather after the weather of every other day came later."""
+    late = {"weather": F.dayofmonth("weather_date") % 2 == 0}
+    return _refreshed(spark, sf_dir, "late weather", late).int_station_weather_daily
+
+
 def refresh_renamed_station(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the operations view per station, and facts without a dimension row, after
-    a station got another name between two runs."""
+    a station got another name between two runs, which most of its trips came to give it."""
     feeds = event_feeds(spark, sf_dir)
     renamed = {
         f"{end}_station_name": F.when(
-            (F.col(f"{end}_station_id") == "S7") & (F.col("started_at") >= F.lit(CUTOFF)), F.lit("Corner of S7")
+            (F.col(f"{end}_station_id") == "S7") & (F.col("started_at") >= F.lit(RENAMED)), F.lit("Corner of S7")
         ).otherwise(F.col(f"{end}_station_name"))
         for end in ("start", "end")
     }
     feeds = Feeds(trips=feeds.trips.withColumns(renamed), weather=feeds.weather, status=feeds.status)
-    late = {"trips": F.col("started_at") >= F.lit(CUTOFF), "status": F.col("last_reported") >= F.lit(CUTOFF)}
-    m = _refreshed(spark, sf_dir, "renamed", late, dt.datetime.combine(CUTOFF, dt.time()), feeds)
+    late = {"trips": F.col("started_at") >= F.lit(RENAMED), "status": F.col("last_reported") >= F.lit(RENAMED)}
+    m = _refreshed(spark, sf_dir, "renamed", late, dt.datetime.combine(RENAMED, dt.time()), feeds)
     known = m.dim_station.select("station_key")
     ends = m.fct_trips.select(F.explode(F.array("start_station_key", "end_station_key")).alias("station_key"))
     orphans = ends.unionByName(m.fct_station_day.select("station_key")).join(known, "station_key", "left_anti")
@@ -423,5 +484,11 @@ QUERIES = {
     "refresh_backfill_station_days": refresh_backfill_station_days,
     "refresh_late_weather": refresh_late_weather,
     "refresh_renamed_station": refresh_renamed_station,
+    "refresh_reloaded_month": refresh_reloaded_month,
+    "refresh_reloaded_station_days": refresh_reloaded_station_days,
+    "refresh_daily_tables": refresh_daily_tables,
+    "refresh_station_daily": refresh_station_daily,
+    "refresh_demand_daily": refresh_demand_daily,
+    "refresh_weather_daily": refresh_weather_daily,
     "materialize_view": materialize_view,
 }
