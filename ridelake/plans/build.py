@@ -73,10 +73,9 @@ class Models:
     def opened(cls, spark: SparkSession, feeds: Feeds, now: dt.datetime, root: str) -> Models:
         """The tables written under ``root`` by an earlier run. Nothing is worked out again."""
         models = cls(spark, feeds, now, root)
-        for name, (layer, _, _) in TABLES.items():
-            if layer != "staging" and name != "int_station_metrics":
-                models.reopen(name)
-        models.reopen("station_counts")
+        stored = [n for n, (layer, _, _) in TABLES.items() if layer != "staging" and n != "int_station_metrics"]
+        with ThreadPoolExecutor(8) as pool:  # most of the time goes to listing files
+            list(pool.map(models.reopen, [*stored, "station_counts"]))
         return models
 
     def reopen(self, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,6 +78,13 @@ def _replaced(m: Models, fresh: DataFrame, reloaded: list[str], days: list[int])
     return stored.where(again).unionByName(stored.where(~again & other).join(keys, "trip_key", "left_semi"))
 
 
+def _together(*steps: Callable[[], None]) -> None:
+    """Run steps that do not need each other, so that their jobs share the executors."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for job in [pool.submit(step) for step in steps]:
+            job.result()
+
+
 def _as_day(key: int) -> dt.date:
     return dt.date(key // 10000, key // 100 % 100, key % 100)
 
@@ -126,19 +134,29 @@ def refresh(
         rides = m.stg_trips.where(_on(days, F.to_date("started_at")) | _on(days, F.to_date("ended_at")))
         _swap(m, "int_trip_station_daily", demand_daily(rides).where(_on(days, F.col("date_day"))), days)
 
-    # None of the three needs another's tables, so their jobs share the executors.
-    with ThreadPoolExecutor(3) as pool:
-        for job in [pool.submit(step) for step in ([trips, supplied, demanded] if days else [trips])]:
-            job.result()
-    if days:
+    rewritten: list[dt.date] = []
+
+    def measured() -> None:
+        _together(supplied, demanded)
         changed = _on(days, F.col("date_day"))
-        rows, rewritten = daily.station_daily_fact_around(
+        rows, reached = daily.station_daily_fact_around(
             m.int_station_weather_daily.where(changed), m.int_trip_station_daily.where(changed), m.int_station_daily_fact, days
         )
-        _swap(m, "int_station_daily_fact", rows, rewritten)
-        recent = m.int_station_daily_fact.where(_on(rewritten, F.col("date_day")))
-        _swap(m, "fct_station_day", facts.fct_station_day(recent, m.dim_station, now), rewritten)
-        held = partition_values(spark, m.path("int_station_daily_fact"), "date_day")
-        span = [F.lit(day).cast("date").alias(name) for day, name in ((min(held, default=None), "min_date"), (max(held, default=None), "max_date"))]
-        _whole(m, "dim_date", dimensions.dim_date(spark.range(1).select(*span), now.date(), now))
-    return Models.opened(spark, feeds, now, root)
+        _swap(m, "int_station_daily_fact", rows, reached)
+        rewritten.extend(reached)
+
+    _together(*([trips, measured] if days else [trips]))
+    if days:
+
+        def station_days() -> None:
+            recent = m.int_station_daily_fact.where(_on(rewritten, F.col("date_day")))
+            _swap(m, "fct_station_day", facts.fct_station_day(recent, m.dim_station, now), rewritten)
+
+        def dates() -> None:
+            held = partition_values(spark, m.path("int_station_daily_fact"), "date_day")
+            span = {"min_date": min(held, default=None), "max_date": max(held, default=None)}
+            bounds = spark.range(1).select(*[F.lit(day).cast("date").alias(name) for name, day in span.items()])
+            _whole(m, "dim_date", dimensions.dim_date(bounds, now.date(), now))
+
+        _together(station_days, dates)
+    return m
