@@ -403,6 +403,10 @@ Q["refresh_renamed_station"] = plain(
     """SELECT station_id, count(*) AS days, CASE station_id WHEN 'S7' THEN 2 ELSE 1 END AS versions,
   0 AS orphans FROM station_operations GROUP BY ALL"""
 )
+Q["clustered_row_groups"] = plain(
+    """SELECT start_date_key, count(*) AS n_rows, min(start_station_key) AS lowest, max(start_station_key) AS highest,
+  0 AS overlaps FROM fct_trips GROUP BY start_date_key"""
+)
 Q["materialize_view"] = Q["weather_impact"]
 
 # --- streams ------------------------------------------------------------------------------

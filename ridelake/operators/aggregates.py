@@ -53,11 +53,20 @@ def merged_mean(n: str, mean: str) -> str:
 
 def merged_stddev(n: str, mean: str, variance: str) -> str:
     """Sample standard deviation of a group from the count, mean and population
-    variance of its parts; null for fewer than two values."""
-    within, between = f"sum({n} * {variance})", f"sum({n} * {mean} * {mean})"
-    center = f"try_divide(pow(sum({n} * {mean}), 2), sum({n}))"
-    spread = f"greatest(0.0D, {within} + {between} - {center})"
-    return f"if(sum({n}) > 1, sqrt(try_divide({spread}, sum({n}) - 1)), NULL)"
+    variance of its parts; null for fewer than two values.
+
+    Parts are merged one by one: the sum of squared deviations grows by the new part's own
+    and by the squared difference of the means, so large values lose no digits. A group
+    has one part for each value of a small domain, which is all its list holds.
+    """
+    part = f"struct({n} AS n, {mean} AS m, {n} * {variance} AS s)"
+    merged = (
+        "struct(a.n + b.n AS n, a.m + (b.m - a.m) * b.n / (a.n + b.n) AS m, "
+        "a.s + b.s + (b.m - a.m) * (b.m - a.m) * a.n * b.n / (a.n + b.n) AS s)"
+    )
+    parts = f"filter(collect_list({part}), x -> x.n > 0)"
+    whole = f"reduce({parts}, struct(0L AS n, 0D AS m, 0D AS s), (a, b) -> {merged}, t -> if(t.n > 1, sqrt(t.s / (t.n - 1)), NULL))"
+    return f"cast({whole} AS double)"
 
 
 def sql_columns(expressions: dict[str, str]) -> list[Column]:

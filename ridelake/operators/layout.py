@@ -15,7 +15,7 @@ import json
 import uuid
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,6 +193,46 @@ def vacuum(spark: SparkSession, path: str) -> int:
     return len(left)
 
 
+ROW_GROUPS = "value string, file string, row_group int, n_rows long, lowest string, highest string"
+
+
+def row_groups(spark: SparkSession, path: str, column: str, values: list[str] | None = None) -> DataFrame:
+    """Rows and range of a column in each row group of a table's files, from the Parquet
+    footers alone: shows how well the files are clustered. Footers are read on the driver, a
+    few KB a file; name partition ``values`` to look at some of a large table."""
+    state = manifest(spark, path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for folder in state.folders if values is None else state.of(values):
+        fs, where = filesystem(spark, f"{path}/{folder}")
+        for status in fs.listStatus(where):
+            name = status.getPath().getName()
+            if not name.endswith(".parquet"):
+                continue
+            source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromStatus(status, conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+            try:
+                for i, block in enumerate(reader.getFooter().getBlocks()):
+                    chunks = [c for c in block.getColumns() if c.getPath().toDotString() == column]
+                    stats = chunks[0].getStatistics()
+                    known = stats.hasNonNullValue()
+                    ends = (stats.minAsString(), stats.maxAsString()) if known else (None, None)
+                    found.append((state.value(folder), name, i, block.getRowCount(), *ends))
+            finally:
+                reader.close()
+    return spark.createDataFrame(found, ROW_GROUPS)
+
+
+def overlapping(groups: DataFrame) -> DataFrame:
+    """(value, n_rows, lowest, highest, overlaps): for each partition value its rows, range,
+    and how many row groups begin below the end of the one before them in their file."""
+    in_file = Window.partitionBy("value", "file").orderBy("row_group")
+    apart = groups.withColumn("below", F.col("lowest") < F.lag("highest").over(in_file))
+    return apart.groupBy("value").agg(
+        F.sum("n_rows").alias("n_rows"), F.min("lowest").alias("lowest"), F.max("highest").alias("highest"), F.count_if("below").alias("overlaps")
+    )
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Replace an unpartitioned table as a whole, or not at all.
 

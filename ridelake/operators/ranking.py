@@ -78,6 +78,27 @@ def number_by_leading_key(
     return numbered.withColumn(name, F.col("_before") + F.col(within)).drop("_before")
 
 
+def number_by_levels(df: DataFrame, first: str, second: str, rest: list[str], name: str) -> DataFrame:
+    """Row number over the whole table by ``first`` descending, then ``second`` and ``rest``,
+    as a lazy plan: defining it starts no job and stores nothing.
+
+    For a summary in which ``first`` is a count, so that its values are few beside the rows
+    they count, and ``first`` and ``second`` together are shared by few rows. Rows are
+    numbered within both; a table of the sizes of those groups, and one of those of
+    ``first``, give the rows before them. No window sees more than one of these.
+    """
+    before = lambda of, by: F.coalesce(F.sum("_rows").over(of.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = df.groupBy(F.col(first).alias("_first"), F.col(second).alias("_second")).agg(F.count("*").alias("_rows"))
+    starts = sizes.groupBy(F.col("_first").alias("_of")).agg(F.sum("_rows").alias("_rows"))
+    starts = starts.select("_of", before(Window.partitionBy(), F.desc("_of")).alias("_earlier"))
+    inner = sizes.select("_first", "_second", before(Window.partitionBy("_first"), F.asc("_second")).alias("_inner"))
+    offsets = inner.join(starts, F.col("_first") == F.col("_of")).select("_first", "_second", (F.col("_earlier") + F.col("_inner")).alias("_before"))
+    local = F.row_number().over(Window.partitionBy(first, second).orderBy(*[F.asc(c) for c in rest]))
+    same = (F.col(first) == F.col("_first")) & F.col(second).eqNullSafe(F.col("_second"))
+    numbered = df.withColumn("_local", local).join(offsets, same)
+    return numbered.withColumn(name, F.col("_before") + F.col("_local")).select(*df.columns, name)
+
+
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """The first ``k`` rows; each task keeps k rows, no full sort."""
     return df.orderBy(*order).limit(k)

@@ -18,7 +18,7 @@ from ridelake.functions.calendar import utc
 from ridelake.functions.numeric import elapsed, ratio
 from ridelake.operators.ranking import (
     latest_per_key,
-    number_all,
+    number_by_levels,
     number_within,
 )
 
@@ -345,9 +345,8 @@ def routes(
 ) -> DataFrame:
     """Routes with their popularity rank over the whole window."""
     counted = route_counts(trips, stations, users, as_of, days)
-    ties = ["start_station_id", "end_station_id", "user_type_name", "rideable_type"]
-    order = [F.desc("trip_count"), *[F.asc(c) for c in ties]]
-    return number_all(counted, order, "popularity_rank").orderBy("popularity_rank")
+    rest = ["end_station_id", "user_type_name", "rideable_type"]
+    return number_by_levels(counted, "trip_count", "start_station_id", rest, "popularity_rank").orderBy("popularity_rank")
 
 
 def weather_impact(

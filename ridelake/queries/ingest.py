@@ -450,6 +450,13 @@ def refresh_renamed_station(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.join(versions, "station_id").crossJoin(orphans)
 
 
+def clustered_row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and station keys of each day of the written trip fact, from the footers of its
+    files, and how many row groups overlap the one before them."""
+    groups = layout.row_groups(spark, warehouse(spark, sf_dir).path("fct_trips"), "start_station_key")
+    return layout.overlapping(groups).withColumn("start_date_key", F.col("value").cast("long")).drop("value")
+
+
 def materialize_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weather view stored by day, after a refresh of its last ten days."""
     view = stage(warehouse(spark, sf_dir).vw_weather_impact, "view")
@@ -490,5 +497,6 @@ QUERIES = {
     "refresh_station_daily": refresh_station_daily,
     "refresh_demand_daily": refresh_demand_daily,
     "refresh_weather_daily": refresh_weather_daily,
+    "clustered_row_groups": clustered_row_groups,
     "materialize_view": materialize_view,
 }

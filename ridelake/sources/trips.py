@@ -49,18 +49,21 @@ def trip_csv_rejects(spark: SparkSession, path: str) -> DataFrame:
 _FAULTY = "broken_line IS NOT NULL OR ride_id IS NULL OR started_at IS NULL"
 
 
-def land_trips(csv: DataFrame, path: str) -> None:
+def land_trips(csv: DataFrame, path: str, source: str | None = None) -> None:
     """Write to the Parquet landing zone, ``year=yyyy/month=MM/source=<file>``.
 
-    What a source file brought to a month lies in a folder of its own, so landing the file
-    again replaces it. Rows that come from no file count as one source.
+    What a source brought to a month lies in a folder of its own, so landing it again
+    replaces it. A source is known by the name given, or else by the file's name and a hash
+    of its whole path, which tells files of one name in two folders apart. Rows that come
+    from no file need a name; without one they all count as the source ``rows``.
     """
-    start, file = F.col("started_at"), F.element_at(F.split(F.input_file_name(), "/"), -1)
+    start, file = F.col("started_at"), F.input_file_name()
+    known = F.concat_ws("-", F.element_at(F.split(file, "/"), -1), F.substring(F.md5(file), 1, 8))
     months = csv.withColumns(
         {
             "year": F.date_format(start, "yyyy"),
             "month": F.date_format(start, "MM"),
-            "source": F.when(file == "", "rows").otherwise(file),
+            "source": F.lit(source) if source else F.when(file == "", "rows").otherwise(known),
         }
     )
     # One shuffle by month; adaptive execution splits a month as its size asks for.

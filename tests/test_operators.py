@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import statistics
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -334,3 +335,42 @@ def test_version_lookup_is_open_to_the_left(spark):
     facts = spark.sql("SELECT * FROM VALUES ('s', timestamp'2023-01-01'), ('s', timestamp'2024-01-20'), ('t', timestamp'2024-01-01'), ('u', timestamp'2024-01-01') AS f(sid, at)")
     found = joins.lookup_version(facts, versions, "id", "sid", F.col("at"), {"key": "k"})
     assert sorted((r.sid, r.at.year, r.k) for r in found.collect()) == [("s", 2023, 1), ("s", 2024, 2), ("t", 2024, 3), ("u", 2024, None)]
+
+
+def test_stddev_of_large_values_keeps_its_digits(spark):
+    """Values near 1e9 in uneven parts, against two passes over all of them."""
+    rows = [("g", i % 7, 1e9 + (i * 37 % 101) / 1000) for i in range(500)] + [("one", 0, 5.0), ("none", 0, None)]
+    df = spark.createDataFrame(rows, "g string, part int, v double")
+    parts = df.groupBy("g", "part").agg(F.count("v").alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("s"))
+    got = {r.g: r.dev for r in parts.groupBy("g").agg(F.expr(aggregates.merged_stddev("n", "m", "s")).alias("dev")).collect()}
+    values = [Decimal(v) for g, _, v in rows if g == "g"]
+    mean = sum(values) / len(values)
+    want = float((sum((v - mean) ** 2 for v in values) / (len(values) - 1)).sqrt())
+    assert abs(got["g"] - want) < 1e-6 and got["one"] is None and got["none"] is None
+
+
+def test_numbers_by_levels(spark):
+    rows = [(i % 5, f"s{i % 7}" if i % 11 else None, f"e{i % 13}", i) for i in range(700)]
+    df = spark.createDataFrame(rows, "n int, a string, b string, c int")
+    got = {r.c: r.rank for r in ranking.number_by_levels(df, "n", "a", ["b", "c"], "rank").collect()}
+    order = sorted(rows, key=lambda r: (-r[0], r[1] is not None, r[1] or "", r[2], r[3]))
+    assert got == {r[3]: i for i, r in enumerate(order, 1)}
+
+
+def test_row_groups_show_clustering(spark, tmp_path):
+    df = spark.range(60_000).selectExpr("id % 2 AS day", "md5(cast(id AS string)) AS k", "repeat(md5(cast(id * 7 AS string)), 4) AS rest")
+    conf, key = spark._jsc.hadoopConfiguration(), "parquet.block.size"
+    conf.set(key, str(200_000))
+    try:
+        layout.write_table(df, str(tmp_path / "sorted"), "day", ["k"])
+        layout.write_table(df, str(tmp_path / "loose"), "day", ["rest"])
+    finally:
+        conf.unset(key)
+    groups = layout.row_groups(spark, str(tmp_path / "sorted"), "k")
+    assert groups.count() > 6
+    by_day = {r.value: r for r in layout.overlapping(groups).collect()}
+    assert {(r.n_rows, r.overlaps) for r in by_day.values()} == {(30_000, 0)}
+    ends = {str(r.day): (r.lo, r.hi) for r in df.groupBy("day").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect()}
+    assert {d: (r.lowest, r.highest) for d, r in by_day.items()} == ends
+    assert sum(r.overlaps for r in layout.overlapping(layout.row_groups(spark, str(tmp_path / "loose"), "k")).collect()) > 2
+    assert layout.row_groups(spark, str(tmp_path / "sorted"), "k", ["1"]).select("value").distinct().count() == 1

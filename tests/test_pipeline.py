@@ -11,7 +11,7 @@ from ridelake import session
 from ridelake.functions.calendar import utc
 from ridelake.operators import layout
 from ridelake.plans import monitor, quality
-from ridelake.plans.build import TABLES, WAVES, Models
+from ridelake.plans.build import TABLES, VIEWS, WAVES, Models
 from ridelake.queries.ingest import warehouse
 from ridelake.queries.models import models
 from ridelake.session import stage_root
@@ -183,6 +183,21 @@ def test_csv_with_empty_fields_lands_by_month(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1]
 
 
+def test_files_of_one_name_do_not_replace_each_other(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    rides = spark.sql("SELECT timestamp'2024-01-02' AS started_at, id FROM VALUES ('a'), ('b') AS t(id)")
+    for folder in "ab":
+        rides.where(F.col("id") == folder).coalesce(1).write.parquet(str(tmp_path / folder / "x"))
+        (made,) = (tmp_path / folder / "x").glob("part-*")
+        made.rename(tmp_path / folder / "trips.parquet")
+    for folder in "aba":
+        trips.land_trips(spark.read.parquet(str(tmp_path / folder / "trips.parquet")), landing)
+    assert rows(spark.read.parquet(landing), "id") == [("a",), ("b",)]
+    for name in ("one", "two", "one"):
+        trips.land_trips(rides.limit(1), landing, source=name)
+    assert spark.read.parquet(landing).count() == 4
+
+
 def test_backfill_months_cross_the_year():
     assert trips.last_months(dt.date(2024, 2, 15)) == ["2023-11", "2023-12", "2024-01"]
     assert trips.last_months(dt.date(2024, 1, 1), 1) == ["2023-12"]
@@ -256,7 +271,7 @@ def test_defining_views_starts_no_job(spark, sf_dir, tmp_path):
     group = "views-are-lazy"
     spark.sparkContext.setJobGroup(group, "views")
     try:
-        for view in ("vw_station_operations", "vw_trip_analytics_daily", "vw_weather_impact", "vw_station_operations_realtime"):
+        for view in VIEWS:
             built.table(view)
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     finally:
