@@ -133,12 +133,10 @@ class Words:
 
 def sampled(labels: DataFrame, column: str, most: int) -> DataFrame:
     """About ``most`` rows at the most of each value of ``column``, chosen by a hash of all
-    columns; all rows where there are fewer. Only the 200 most frequent values count."""
-    counts = {r[0]: r[1] for r in labels.where(F.col(column).isNotNull()).groupBy(column).count().orderBy(F.desc("count"), column).limit(200).collect()}
-    if not counts:
-        return labels.where(F.lit(False))
-    share = F.lit(None)
-    for value, n in counts.items():
-        share = F.when(F.col(column) == value, F.lit(min(1.0, most / n))).otherwise(share)
+    columns; all rows where there are fewer."""
+    share = free_name(labels, "share")
+    labels = labels.where(F.col(column).isNotNull())
+    counts = labels.groupBy(F.col(column).alias(f"{share}_of")).agg((F.lit(float(most)) / F.count(F.lit(1))).alias(share))
     chance = F.pmod(F.xxhash64(F.lit("sample"), *labels.columns), F.lit(1 << 30)) / float(1 << 30)
-    return labels.where(chance < share)
+    joined = labels.join(counts, F.col(column) == F.col(f"{share}_of"))
+    return joined.where(chance < F.least(F.col(share), F.lit(1.0))).select(*labels.columns)

@@ -4,20 +4,22 @@ Words are runs of letters and digits in lower case. A spaced seed is a fixed mas
 ``SPAN`` consecutive words that ignores some positions; its hash covers the others, so
 words that were replaced at ignored positions do not hide a passage. Every place of every
 item and document is hashed under each mask; where hashes of an item and a document meet,
-the item is laid along the document at that shift and the stretch with the best score
-(equal word +1, other word -2) is measured: an item is found when the stretch has at least
-``LEAST`` equal words (all words of a shorter item) in a share of ``SHARE`` or more.
+the item is laid along the document at that shift, and the stretch with the most equal words
+among those in a share of ``SHARE`` or more is measured: an item is found when it has at
+least ``LEAST`` of them (all words of a shorter item). Besides, ``LEAST`` words in a row are
+hashed with nothing ignored, so a passage whose ends alone are equal is met as well.
 
 Document places first pass a bitmap of all item hashes, whose size is fixed whatever the
 number of items. Places that pass are joined with the items' hashes by Spark; neighbouring
 places make one region, which carries its words for the measurement. So a passage in a third
 of all documents costs each of them one region, and no task meets more than its share.
 
-Items of fewer than ``SPAN`` words are found as a whole only: their words, with nothing
+Items of fewer than ``LEAST`` words are found as a whole only: their words, with nothing
 ignored, are one hash of their own length.
 
 Defined cases: null and empty texts and items have no places; equal items count each; rows
-equal in ``doc_id`` and text fare alike; null ``doc_id`` are searched like others; other
+equal in ``doc_id`` and text fare alike; of stretches with equally many words the first counts;
+very long texts are searched whole; null ``doc_id`` are searched like others; other
 columns are returned unchanged by ``without_benchmark``, whatever their names.
 """
 
@@ -35,6 +37,8 @@ from ridelake.session import stage
 MASKS = ("11101001011", "11010011101", "10111100101")
 SPAN = len(MASKS[0])
 LEAST, SHARE = 10, 0.75
+# Equal words that make up for one other.
+_COST = SHARE / (1 - SHARE)
 # Bits of the map that document places pass first; 2 MB.
 MAP_BITS = 1 << 24
 # Words a region carries on both sides of its places, and gaps it bridges.
@@ -96,7 +100,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
         out: list[tuple[int, np.ndarray, np.ndarray]] = []
         for item, words in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist()):
             h = np.array(words, dtype=np.int64).view(np.uint64)
-            found = [short_hashes(h, len(h))] if len(h) < SPAN else [seed_hashes(h, m) for m in range(len(MASKS))]
+            found = [short_hashes(h, min(len(h), LEAST)), *(seed_hashes(h, m) for m in range(len(MASKS)))]
             out += [(item, f, np.arange(len(f))) for f in found]
         item = np.concatenate([np.full(len(f), i, dtype=np.int64) for i, f, _ in out])
         seed = np.concatenate([f for _, f, _ in out]).view(np.int64)
@@ -123,24 +127,30 @@ def _passes(bits: np.ndarray, seeds: np.ndarray) -> np.ndarray:
 
 
 def best_stretch(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """(begin, end, equal words) in the document's words of the best stretch of the item
-    laid from ``shift`` on."""
+    """(begin, end, equal words) in the document's words of the item laid from ``shift`` on:
+    of the stretches in which a share of ``SHARE`` is equal, the one with the most."""
     lo, hi = max(0, shift), min(len(doc), shift + len(item))
     if lo >= hi:
         return 0, 0, 0
     same = doc[lo:hi] == item[lo - shift : hi - shift]
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-    below = np.minimum.accumulate(total)
-    end = int(np.argmax(total - below))
-    begin = int(np.argmin(total[: end + 1]))
-    return lo + begin, lo + end, int(same[begin:end].sum())
+    # The share is met where the sum of these is not below 0.
+    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -_COST))])
+    equal = np.concatenate([[0], np.cumsum(same)])
+    # For each end the earliest begin with a sum as low: one of the places of a new minimum.
+    low = np.minimum.accumulate(total)
+    places = np.flatnonzero(np.concatenate([[True], low[1:] < low[:-1]]))
+    begins = places[np.searchsorted(-total[places], -total, side="left")]
+    end = int(np.argmax(equal - equal[begins]))
+    begin = int(begins[end])
+    return lo + begin, lo + end, int(equal[end] - equal[begin])
 
 
 def found_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(ka, kb, item, begin, end, same): stretches of items in documents, in words; ka and
     kb stand for the document's row."""
     known, seeds = item_seeds(items)
-    lengths = sorted(r[0] for r in known.select(F.size("words").alias("n")).where(F.col("n") < SPAN).distinct().collect())
+    lengths = sorted(r[0] for r in known.select(F.size("words").alias("n")).where(F.col("n") < LEAST).distinct().collect())
+    lengths.append(LEAST)
     shared = docs.sparkSession.sparkContext.broadcast((bitmap(seeds), lengths))
     ka, kb = _row_key()
     rows = docs.select(ka.alias("ka"), kb.alias("kb"), F.col("text").cast("string").alias("text"))
@@ -190,8 +200,7 @@ def found_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
         out = []
         for stretch, words, shift, start in zip(*(batch.column(c).to_pylist() for c in ("stretch", "words", "shift", "start"))):
             begin, end, same = best_stretch(np.array(stretch), np.array(words), shift)
-            long_enough = same >= min(LEAST, len(words)) and same >= SHARE * (end - begin)
-            out.append((start + begin, start + end, same if long_enough else 0))
+            out.append((start + begin, start + end, same if same >= min(LEAST, len(words)) else 0))
         columns = [batch.column(c) for c in ("ka", "kb", "item")]
         columns += [pa.array([o[i] for o in out], pa.int64()) for i in range(3)]
         return pa.RecordBatch.from_arrays(columns, names=["ka", "kb", "item", "begin", "end", "same"])

@@ -8,13 +8,16 @@ the text and the log share of the language add up; their normalised exponents ar
 languages' scores.
 
 The model is fitted on at most about ``per_language`` documents of each language (a bounded
-sample, chosen by hash); it keeps the ``WORDS`` most frequent words and ``GRAMS`` n-grams.
+sample, chosen by hash), however many languages there are; it keeps the ``WORDS`` most
+frequent words and ``GRAMS`` n-grams, or ``CELLS`` scores.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a text whose
 letters the model has never seen gets the most frequent language and its share; without
 any labelled row every text is ``und``; repeated rows come out as often as they come in; a
 null ``doc_id`` is never learned from and not held out; other columns are ignored, or
-returned unchanged by ``accepted``.
+returned unchanged by ``accepted``. Of languages with equal scores the one with more labelled
+rows is chosen, then the first by name. Very long texts are scored whole, a batch of words at
+a time.
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ from ridelake.llm.common import Words, free_name, held, in_fold, map_batches, sa
 
 PER_LANGUAGE = 3000
 WORDS, GRAMS = 200_000, 200_000
+# Scores (an item in a language) of either table at most, 64 MB: with more than 80 languages
+# there are fewer items, and words beyond them are scored by their n-grams.
+CELLS = 1 << 24
 ORDERS = (5, 4, 3, 2, 1)
 BETWEEN = r"[^\p{L}]+"
 UNKNOWN = "und"
@@ -145,11 +151,15 @@ def _counted(found: Counter) -> pa.RecordBatch:
 
 def _table(counts: DataFrame, languages: list[str], most: int) -> tuple[list[str], np.ndarray]:
     """The ``most`` most frequent items, and their log frequency in each language."""
-    cells = counts.groupBy("item").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    cells = counts.groupBy("item").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by"))
     totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
-    top = cells.where("n > 1").orderBy(F.desc("n"), "item").limit(most)
-    top = top.select("item", *(F.coalesce(F.col("by")[lang], F.lit(0)).alias(f"c{i}") for i, lang in enumerate(languages))).toArrow()
-    n = np.stack([top.column(f"c{i}").to_numpy() for i in range(len(languages))], axis=1).astype(np.float64) if top.num_rows else np.zeros((0, len(languages)))
+    top = cells.where("n > 1").orderBy(F.desc("n"), "item").limit(most).select("item", F.col("by.lang").alias("lang"), F.col("by.n").alias("k")).toArrow()
+    n = np.zeros((top.num_rows, len(languages)))
+    place = dict(zip(languages, range(len(languages))))
+    if top.num_rows:
+        langs, k = (top.column(c).combine_chunks() for c in ("lang", "k"))
+        row = np.repeat(np.arange(top.num_rows), np.diff(langs.offsets.to_numpy()))
+        n[row, [place[x] for x in langs.flatten().to_pylist()]] = k.flatten().to_numpy()
     total = np.array([totals.get(lang, 0) for lang in languages], dtype=np.float64)
     scores = np.log((n + 0.5) / (total + 0.5 * max(1, top.num_rows)))
     return top.column("item").to_pylist(), scores.astype(np.float32)
@@ -159,13 +169,14 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """A model from (text, lang)."""
     from ridelake.session import stage
 
-    shares = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()
+    shares = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # one row a language
     languages = [r[0] for r in shares]
     prior = np.log(np.array([r[1] for r in shares], dtype=np.float64) / max(1, sum(r[1] for r in shares)))
     sample = sampled(labelled.withColumn("kind", F.col("lang")), "kind", per_language).select("text", "lang")
     words = stage(_counts(sample, "words"), "language-words")
-    word_list, word_scores = _table(words, languages, WORDS)
-    gram_list, gram_scores = _table(_counts(words, "grams"), languages, GRAMS)
+    most = CELLS // max(1, len(languages))
+    word_list, word_scores = _table(words, languages, min(WORDS, most))
+    gram_list, gram_scores = _table(_counts(words, "grams"), languages, min(GRAMS, most))
     return Model(languages, prior, word_list, word_scores, gram_list, gram_scores)
 
 

@@ -314,23 +314,39 @@ def plausible(kind: int, text: str) -> bool:
     return 8 <= len(digits) <= 15 and len(digits) * 2 >= len(text)
 
 
+def joined_pieces(whole: list[tuple[int, int, int, float]], pieces: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+    """Spans put together from the pieces that windows have cut: those of one kind that
+    overlap or touch are one span, as sure as the surest. Pieces within a whole span go."""
+    out: list[tuple[int, int, int, float]] = []
+    for kind, a, b, score in sorted(pieces):
+        if any(k == kind and x <= a and b <= y for k, x, y, _ in whole):
+            continue
+        if out and out[-1][0] == kind and a <= out[-1][2]:
+            out[-1] = (kind, out[-1][1], max(b, out[-1][2]), max(score, out[-1][3]))
+        else:
+            out.append((kind, a, b, score))
+    return out
+
+
 def added_spans(tagger: Tagger, texts: list[str], known: list[list[Span]]) -> list[list[Span]]:
     """Spans the tagger adds to those of the patterns, for each text."""
     coded = [classes(t) for t in texts]
     places = [(i, start) for i, x in enumerate(coded) for start in window_starts(x)]
     found: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
+    parts: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]  # cut by a window's edge
     for at in range(0, len(places), 1024):
         part = places[at : at + 1024]
         tagged = tagger.decode(np.stack([_window(coded[i], start) for i, start in part]))
         for (i, start), spans in zip(part, tagged):
             length = len(coded[i])
             for kind, a, b, score in spans:
-                # A span cut by the window is whole in the next one.
-                cut = (a == 0 and start > 0) or (b == WINDOW and start + WINDOW < length)
-                if not cut and start + b <= length:
-                    found[i].append((kind, start + a, start + b, round(score, 6)))
+                cut = (a == 0 and start > 0, b == WINDOW and start + WINDOW < length)
+                if start + b <= length:
+                    pieces = parts if any(cut) else found
+                    pieces[i].append((kind, start + a, start + b, round(score, 6)))
     out = []
-    for text, spans, base in zip(texts, found, known):
+    for text, spans, cut_spans, base in zip(texts, found, parts, known):
+        spans = spans + joined_pieces(spans, cut_spans)
         free = [s for s in spans if s[3] >= SURE and not any(s[1] < e and b < s[2] for _, b, e in base)]
         out.append([(k, a, b) for k, a, b, _ in reconcile(free) if plausible(k, text[a:b])])
     return out

@@ -339,8 +339,8 @@ def _ratio(toxic: Column, harmless: Column, n_toxic: int, n_harmless: int) -> Co
 
 
 def _harmless(words: DataFrame, model: Model) -> list[str]:
-    """Words of harmless texts that an inexact match would take for a term; of these only
-    the 100,000 most frequent."""
+    """Words of harmless texts that an inexact match would take for a term; all of them, as
+    the sample of texts bounds them."""
     shared = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -349,7 +349,7 @@ def _harmless(words: DataFrame, model: Model) -> list[str]:
         return batch.filter(pa.array(hit, pa.bool_()))
 
     found = map_batches(words.select("item", "harmless"), run, "item string, harmless long", holds=True)
-    return [r.item for r in found.orderBy(F.desc("harmless"), "item").limit(100_000).collect()]
+    return [r.item for r in found.orderBy("item").collect()]
 
 
 def _calibrated(sample: DataFrame, model: Model) -> tuple[float, float, float, float, float]:
