@@ -138,5 +138,6 @@ def sampled(labels: DataFrame, column: str, most: int) -> DataFrame:
     labels = labels.where(F.col(column).isNotNull())
     counts = labels.groupBy(F.col(column).alias(f"{share}_of")).agg((F.lit(float(most)) / F.count(F.lit(1))).alias(share))
     chance = F.pmod(F.xxhash64(F.lit("sample"), *labels.columns), F.lit(1 << 30)) / float(1 << 30)
-    joined = labels.join(counts, F.col(column) == F.col(f"{share}_of"))
+    # A row for each value, of which the models keep a list as well; the texts stay in place.
+    joined = labels.join(F.broadcast(counts), F.col(column) == F.col(f"{share}_of"))
     return joined.where(chance < F.least(F.col(share), F.lit(1.0))).select(*labels.columns)
