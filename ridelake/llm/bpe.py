@@ -36,8 +36,8 @@ from ridelake.llm.common import held, id_and_text, map_batches
 PIECE_CHARS = 32768
 # Words a worker remembers; when there are more, the half it met most often stays.
 TABLE_WORDS = 600_000
-# Words the library is given in one string.
-TOGETHER = 64
+# Words the library is given in one string, and strings in one call.
+TOGETHER, AT_ONCE = 64, 512
 # Letters on both sides of a place within a run, and tokens that have to agree there.
 RUN, AGREE = 64, 4
 WINDOW = 32
@@ -72,9 +72,13 @@ class Encoder:
         self.rows, self.starts, self.sizes, self.ids, self.seen, self.used = rows, starts, sizes, ids, seen, len(ids)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, straight from the library."""
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=np.int32) for e in found]
+        """Ids of each text, straight from the library, some texts at a time: what it returns
+        takes many times the room of the ids."""
+        out: list[np.ndarray] = []
+        for i in range(0, len(texts), AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False)
+            out += [np.array(e.ids, dtype=np.int32) for e in found]
+        return out
 
     def _add(self, words: list[str]) -> None:
         """Encode words that follow a blank, or begin with a line end, and remember them. A full stop or comma behind

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -45,14 +46,20 @@ def held(key: object, build: Callable[[], T]) -> T:
     """An object that a worker process keeps for its next tasks: one at a time, so what an
     earlier job has left gives way."""
     if key not in _HELD:
-        _HELD.clear()
+        release()
         _HELD[key] = build()
     return _HELD[key]
 
 
 def release() -> None:
-    """Drop what the worker process holds."""
-    _HELD.clear()
+    """Drop what the worker process holds, and give the room back to the system, as the
+    worker lives on for other jobs."""
+    if _HELD:
+        _HELD.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, holds: bool = False) -> DataFrame:
