@@ -38,6 +38,8 @@ PIECE_CHARS = 32768
 TABLE_WORDS = 600_000
 # Words the library is given in one string, and strings in one call.
 TOGETHER, AT_ONCE = 64, 512
+# Lists of ids that are decoded in one call: as Python numbers they take ten times the room.
+DECODED = 64
 # Letters on both sides of a place within a run, and tokens that have to agree there.
 RUN, AGREE = 64, 4
 WINDOW = 32
@@ -346,9 +348,11 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
 
 
 def _with_text(batch: pa.RecordBatch, spec: str) -> pa.RecordBatch:
-    ids = [x or [] for x in batch.column("ids").to_pylist()]
-    texts = encoder(spec).tokenizer.decode_batch(ids, skip_special_tokens=False)
-    return batch.append_column("decoded", pa.array(texts, pa.string()))
+    tokenizer, texts = encoder(spec).tokenizer, []
+    for i in range(0, batch.num_rows, DECODED):
+        ids = [x or [] for x in batch.column("ids").slice(i, DECODED).to_pylist()]
+        texts.append(pa.array(tokenizer.decode_batch(ids, skip_special_tokens=False), pa.string()))
+    return batch.append_column("decoded", pa.concat_arrays(texts) if texts else pa.array([], pa.string()))
 
 
 def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
