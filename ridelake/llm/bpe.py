@@ -38,6 +38,8 @@ PIECE_CHARS = 32768
 TABLE_WORDS = 600_000
 # Words the library is given in one string, and strings in one call.
 TOGETHER, AT_ONCE = 64, 512
+# Bytes of texts whose words are looked up together.
+SLICE = 2 << 20
 # Lists of ids that are decoded in one call: as Python numbers they take ten times the room.
 DECODED = 64
 # Letters on both sides of a place within a run, and tokens that have to agree there.
@@ -328,21 +330,22 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
         return batch.append_column("ids", id_lists(*encoder(spec.value).encode(batch.column("text"))))
 
     def whole(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("no", "copies", "text", "ids"))))
-        pieces = [(text.encode(), np.array(ids, dtype=np.int32)) for _, _, text, ids in rows]
+        rows = table.sort_by("no").combine_chunks()
+        texts, lists = rows.column("text").to_pylist(), rows.column("ids").combine_chunks()
+        pieces = [(text.encode(), lists[i].values.to_numpy().astype(np.int32)) for i, text in enumerate(texts)]
         ids = join_tree(encoder(spec.value), pieces)
-        copies = rows[0][1]
+        copies = rows.column("copies")[0].as_py()
         doc = pa.array(table.column("doc_id").to_pylist()[:1] * copies, pa.int64())
         lists = id_lists(np.tile(ids, copies), np.arange(copies + 1) * len(ids))
         out = pa.RecordBatch.from_arrays([doc, lists], names=["doc_id", "ids"])
         return pa.Table.from_batches([_with_text(out, spec.value) if decoded else out])
 
-    few = map_batches(rows.where(~is_long), short, schema, holds=True)
+    few = map_batches(rows.where(~is_long), short, schema, holds=True, most=SLICE)
     key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit("key"), F.col("text")).alias("b")]
     pieces = map_batches(rows.where(is_long).select("doc_id", *key, "text"), cut, "doc_id long, a long, b long, no int, text string")
     # Equal rows meet as one; their number is kept.
     pieces = pieces.groupBy("doc_id", "a", "b", "no").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids array<int>", holds=True)
+    encoded = map_batches(pieces, each, "doc_id long, a long, b long, no int, text string, copies long, ids array<int>", holds=True, most=SLICE)
     many = encoded.groupBy("doc_id", "a", "b").applyInArrow(whole, schema)
     return few.unionByName(many)
 

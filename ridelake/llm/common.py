@@ -11,6 +11,7 @@ from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,9 +63,21 @@ def release() -> None:
             trim(0)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, holds: bool = False) -> DataFrame:
-    """``fn`` for every Arrow batch of ``df``. ``holds``: whether ``fn`` uses ``held``; if
-    not, what the worker holds is dropped."""
+def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``most`` bytes of text; a longer text is a run."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    ends, a = np.cumsum(sizes, dtype=np.int64), 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] - sizes[a] + most, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
+def map_batches(
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, holds: bool = False, most: int | None = None
+) -> DataFrame:
+    """``fn`` for every Arrow batch of ``df``, or for its ``slices``. ``holds``: whether ``fn``
+    uses ``held``; if not, what the worker holds is dropped."""
     prepare_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +85,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
             release()
         for batch in batches:
             if batch.num_rows:
-                yield fn(batch)
+                yield from map(fn, slices(batch, most) if most else [batch])
 
     return df.mapInArrow(run, schema)
 

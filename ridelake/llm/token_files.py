@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridelake.llm.bpe import encoder, id_lists, read_spec
-from ridelake.llm.common import prepare_workers, id_and_text, map_batches
+from ridelake.llm.bpe import SLICE, encoder, id_lists, read_spec
+from ridelake.llm.common import prepare_workers, id_and_text, map_batches, slices
 from ridelake.session import stage_path
 
 END_ID = 0
@@ -62,14 +62,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         from pyspark import TaskContext
 
         slice_no, first = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, SLICE)):
             ids, offsets = encoder(spec.value).encode(batch.column("text"))
             ids, offsets = np.insert(ids, offsets[1:], end_id), offsets + np.arange(len(offsets))
-            slices = np.full(batch.num_rows, slice_no, dtype=np.int32)
-            columns = [batch.column("doc_id"), id_lists(ids, offsets), pa.array(np.diff(offsets)), pa.array(slices), pa.array(first + offsets[:-1])]
+            numbers = np.full(batch.num_rows, slice_no, dtype=np.int32)
+            columns = [batch.column("doc_id"), id_lists(ids, offsets), pa.array(np.diff(offsets)), pa.array(numbers), pa.array(first + offsets[:-1])]
             first += int(offsets[-1])
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_tokens", "slice", "first"])
-            del batch, ids, offsets, slices, columns
+            del batch, ids, offsets, numbers, columns
             pa.default_memory_pool().release_unused()
 
     rows.mapInArrow(run, SCHEMA).write.options(**OPTIONS).orc(path)

@@ -13,6 +13,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ridelake.llm import bpe, token_files
+from ridelake.llm.bpe import digests
+from ridelake.llm.common import slices
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -99,3 +101,21 @@ def test_a_frequent_doc_id_is_spread_and_lookups_push_the_id_down(spark, tmp_pat
     assert tokens.count() == 500 and ids(tokens) == [7] * 500
     plan = tokens.where("doc_id = 7")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(doc_id,7)" in plan
+
+
+def test_slices_hold_all_rows_in_order_and_little_text():
+    texts = ["", None, "ab", "c" * 50, "d", "é" * 3, "", "e" * 8, "f" * 9]
+    batch = pa.RecordBatch.from_pydict({"no": list(range(9)), "text": pa.array(texts, pa.string())})
+    found = list(slices(batch.slice(1), 10))
+    assert [n for part in found for n in part.column("no").to_pylist()] == list(range(1, 9))
+    sizes = [[len((t or "").encode()) for t in part.column("text").to_pylist()] for part in found]
+    assert all(sum(s) <= 10 or len(s) == 1 for s in sizes) and len(found) == 5
+    assert list(slices(batch.slice(0, 0), 10)) == []
+
+
+def test_results_do_not_depend_on_slices(spark, monkeypatch):
+    rows = [(i, ("word " * (i % 7) + f"x{i}\n") * (1 + i % 5)) for i in range(60)] + [(60, None), (61, ""), (62, "long " * 9000)]
+    given_docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(digests(given_docs, PATH).collect())
+    monkeypatch.setattr(bpe, "SLICE", 40)
+    assert sorted(digests(given_docs, PATH).collect()) == whole and len(whole) == 63
