@@ -59,7 +59,8 @@ _CUT = re.compile(f"(?<=[^{WHITE}])(?= )")
 class Encoder:
     """The library's tokenizer with a bounded table of words."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, table_words: int | None = None):
+        self.table_words = table_words or TABLE_WORDS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -129,7 +130,8 @@ class Encoder:
         """Keep the half of the words that were met most often."""
         n = len(self.rows)
         keep = np.zeros(n, dtype=bool)
-        keep[np.argpartition(-self.seen[:n], TABLE_WORDS // 2)[: TABLE_WORDS // 2]] = True
+        half = self.table_words // 2
+        keep[np.argpartition(-self.seen[:n], half)[:half]] = True
         words = [w for w, k in zip(self.rows, keep.tolist()) if k]  # in the order of rows
         sizes = self.sizes[:n][keep]
         ids = self.ids[: self.used][np.repeat(keep, self.sizes[:n])]
@@ -155,7 +157,7 @@ class Encoder:
         needed = np.zeros(len(words.dictionary), dtype=bool)
         needed[codes[~first]] = True
         distinct = words.dictionary.filter(pa.array(needed)).to_numpy(zero_copy_only=False).tolist()
-        if len(self.rows) > TABLE_WORDS:
+        if len(self.rows) > self.table_words:
             self._shrink()
         rows = list(map(self.rows.get, distinct))
         missing = [i for i, row in enumerate(rows) if row is None]
@@ -217,9 +219,9 @@ def _odd_texts(texts: pa.Array, odd: np.ndarray) -> list[str | None]:
     return out
 
 
-def encoder(spec: str) -> Encoder:
+def encoder(spec: str, table_words: int | None = None) -> Encoder:
     """One encoder per worker process and tokenizer."""
-    return held(("tokenizer", spec), lambda: Encoder(spec))
+    return held(("tokenizer", spec, table_words), lambda: Encoder(spec, table_words))
 
 
 def halves(text: str, most: int) -> list[str]:
@@ -300,11 +302,12 @@ def id_lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
-def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, decoded: bool = False, table_words: int | None = None) -> DataFrame:
     """(doc_id, ids array<int>) of whole texts. ``tokenizer``: path of the library's file.
 
     With ``decoded`` the ids' text comes as a third column, as from ``decode``, but made by
-    the worker that has the ids.
+    the worker that has the ids. ``table_words``: words a worker remembers (``TABLE_WORDS``);
+    fewer take less memory and more time.
     """
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
@@ -313,9 +316,9 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
     schema = "doc_id long, ids array<int>" + ", decoded string" * decoded
 
     def short(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = id_lists(*encoder(spec.value).encode(batch.column("text")))
+        ids = id_lists(*encoder(spec.value, table_words).encode(batch.column("text")))
         out = pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=["doc_id", "ids"])
-        return _with_text(out, spec.value) if decoded else out
+        return _with_text(out, encoder(spec.value, table_words)) if decoded else out
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = [
@@ -327,18 +330,18 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, (_, t) in enumerate(names)], names=[n for n, _ in names])
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.append_column("ids", id_lists(*encoder(spec.value).encode(batch.column("text"))))
+        return batch.append_column("ids", id_lists(*encoder(spec.value, table_words).encode(batch.column("text"))))
 
     def whole(table: pa.Table) -> pa.Table:
         rows = table.sort_by("no").combine_chunks()
         texts, lists = rows.column("text").to_pylist(), rows.column("ids").combine_chunks()
         pieces = [(text.encode(), lists[i].values.to_numpy().astype(np.int32)) for i, text in enumerate(texts)]
-        ids = join_tree(encoder(spec.value), pieces)
+        ids = join_tree(encoder(spec.value, table_words), pieces)
         copies = rows.column("copies")[0].as_py()
         doc = pa.array(table.column("doc_id").to_pylist()[:1] * copies, pa.int64())
         lists = id_lists(np.tile(ids, copies), np.arange(copies + 1) * len(ids))
         out = pa.RecordBatch.from_arrays([doc, lists], names=["doc_id", "ids"])
-        return pa.Table.from_batches([_with_text(out, spec.value) if decoded else out])
+        return pa.Table.from_batches([_with_text(out, encoder(spec.value, table_words)) if decoded else out])
 
     few = map_batches(rows.where(~is_long), short, schema, holds=True, most=SLICE)
     key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit("key"), F.col("text")).alias("b")]
@@ -350,8 +353,8 @@ def encode(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, deco
     return few.unionByName(many)
 
 
-def _with_text(batch: pa.RecordBatch, spec: str) -> pa.RecordBatch:
-    tokenizer, texts = encoder(spec).tokenizer, []
+def _with_text(batch: pa.RecordBatch, enc: Encoder) -> pa.RecordBatch:
+    tokenizer, texts = enc.tokenizer, []
     for i in range(0, batch.num_rows, DECODED):
         ids = [x or [] for x in batch.column("ids").slice(i, DECODED).to_pylist()]
         texts.append(pa.array(tokenizer.decode_batch(ids, skip_special_tokens=False), pa.string()))
@@ -364,14 +367,14 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
     spec = spark.sparkContext.broadcast(read_spec(tokenizer))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return _with_text(batch, spec.value)
+        return _with_text(batch, encoder(spec.value))
 
     return map_batches(tokens.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded string", holds=True)
 
 
-def digests(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS) -> DataFrame:
+def digests(docs: DataFrame, tokenizer: str, piece_chars: int = PIECE_CHARS, table_words: int | None = None) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the decimal ids and of the decoded text."""
-    both = encode(docs, tokenizer, piece_chars, decoded=True)
+    both = encode(docs, tokenizer, piece_chars, decoded=True, table_words=table_words)
     decimal = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select(
         "doc_id",

@@ -57,10 +57,15 @@ def release() -> None:
     worker lives on for other jobs."""
     if _HELD:
         _HELD.clear()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed room to the system: workers wait for other tasks beside those at work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
@@ -77,7 +82,8 @@ def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, holds: bool = False, most: int | None = None
 ) -> DataFrame:
     """``fn`` for every Arrow batch of ``df``, or for its ``slices``. ``holds``: whether ``fn``
-    uses ``held``; if not, what the worker holds is dropped."""
+    uses ``held``; if not, what the worker holds is dropped. Freed room goes back to the system
+    at the end of a task, with ``most`` after each batch."""
     prepare_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,6 +92,10 @@ def map_batches(
         for batch in batches:
             if batch.num_rows:
                 yield from map(fn, slices(batch, most) if most else [batch])
+            del batch
+            if most:
+                give_back()
+        give_back()
 
     return df.mapInArrow(run, schema)
 
