@@ -50,7 +50,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text, for each document."""
-    return digests(docs, tokenizer_path())
+    # Executors that have been through four stages have less room for remembered words.
+    return digests(docs, tokenizer_path(), table_words=200_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
